@@ -160,8 +160,8 @@ def _annotate(
     The model is opened once per partition.  A document it fails on keeps its
     row: ``status`` is ``error``, ``error`` tells why and ``out`` is null.
     """
-    schema = T.StructType(list(df.schema.fields))
-    schema = schema.add(out, kind).add("status", "string").add("error", "string")
+    added = T.StructType.fromDDL(f"{out} {kind}, status string, error string")
+    schema = T.StructType(df.schema.fields + added.fields)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = open_model()

@@ -92,7 +92,7 @@ def line_chunks(df: DataFrame, *, doc: str = "doc_id", text: str = "text") -> Da
         return let(
             ends,
             lambda e: let(
-                F.when(F.coalesce(F.element_at(e, -1), F.lit(0)) < n, F.array_append(e, n)).otherwise(e),
+                F.when(F.coalesce(F.get(e, F.size(e) - 1), F.lit(0)) < n, F.array_append(e, n)).otherwise(e),
                 lambda b: F.transform(
                     b,
                     lambda end, k: let(
