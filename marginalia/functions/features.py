@@ -32,7 +32,7 @@ def is_title(t: Column) -> Column:
 
 
 def vowel_count(t: Column) -> Column:
-    return F.length(t) - F.length(F.translate(F.lower(t), "aeiou", ""))
+    return F.regexp_count(t, F.lit("[aeiouAEIOU]"))
 
 
 def has_digit(t: Column) -> Column:
@@ -50,28 +50,39 @@ def all_punctuation(t: Column) -> Column:
 
 def share(t: Column, char_class: str) -> Column:
     """Share 0..1 of the characters in ``char_class``; 0 for the empty token."""
-    hits = F.length(t) - F.length(F.regexp_replace(t, char_class, ""))
-    return F.when(F.length(t) == 0, F.lit(0.0)).otherwise(hits / F.length(t))
+    return F.when(F.length(t) == 0, F.lit(0.0)).otherwise(F.regexp_count(t, F.lit(char_class)) / F.length(t))
 
 
 def token_features(t: Column) -> dict[str, Column]:
-    """All features that need the token alone, by output name."""
+    """All features that need the token alone, by output name.
+
+    Counts of the four character classes serve flags and shares alike; the
+    generated code computes each count once per token.
+    """
+    size = F.length(t)
+    digits, punct, upper, lower = (
+        F.regexp_count(t, F.lit(c)) for c in ("[0-9]", PUNCT, "[A-Z]", "[a-z]")
+    )
+
+    def part(count: Column) -> Column:
+        return F.when(size == 0, F.lit(0.0)).otherwise(count / size)
+
     return {
-        "AllPunctuations": all_punctuation(t),
-        "HasPunctuation": has_punctuation(t),
-        "Digit": is_digit(t),
+        "AllPunctuations": punct == size,
+        "HasPunctuation": punct > 0,
+        "Digit": (digits == size) & (size > 0),
         "Lowercase": F.lower(t),
         "Title": is_title(t),
         "Uppercase": F.upper(t),
         "Vowel_count": vowel_count(t),
-        "digit_in_words": has_digit(t),
+        "digit_in_words": digits > 0,
         "last_2": last_chars(t, 2),
         "last_3": last_chars(t, 3),
-        "length": F.length(t),
-        "percentageDigit": share(t, "[0-9]"),
-        "percentagePunc": share(t, PUNCT),
-        "percentageUpper": share(t, "[A-Z]"),
-        "percentagelower": share(t, "[a-z]"),
+        "length": size,
+        "percentageDigit": part(digits),
+        "percentagePunc": part(punct),
+        "percentageUpper": part(upper),
+        "percentagelower": part(lower),
     }
 
 

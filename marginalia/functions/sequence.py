@@ -74,11 +74,6 @@ def running_total(values: Column) -> Column:
     )
 
 
-def joined_starts(tokens: Column) -> Column:
-    """Start of every token in the text made by joining them with one blank."""
-    return running_total(F.transform(tokens, lambda t: F.length(t) + 1))
-
-
 def positions(array: Column, test: Callable[[Column, Column], Column]) -> Column:
     """Indexes (from 0) of the elements for which ``test(element, index)`` holds."""
     return F.array_compact(F.transform(array, lambda x, i: F.when(test(x, i), i)))
@@ -94,20 +89,43 @@ def segments(bounds: Column, size: Column) -> Column:
     )
 
 
+MARK = "\ue000"  # a private-use character put between pieces
+MARKED_CHARS = 4_000_000  # longest text that is taken apart into characters
+
+
+def starts(pieces: Column, gap: int) -> Column:
+    """Start of every piece in the text made by joining them with ``gap`` blanks (0 or 1).
+
+    The pieces are joined with a mark and the marks' positions read off, one
+    light pass over the characters.  Texts that hold the mark themselves, and
+    very long ones, take ``running_total``.
+    """
+
+    def read_off(joined: Column) -> Column:
+        at = positions(F.split(joined, ""), lambda c, i: c == MARK)
+        return F.concat(F.array(F.lit(0)), F.transform(at, lambda i, k: (i + 1) if gap else (i - k)))
+
+    def choose(joined: Column, ps: Column) -> Column:
+        marks = F.length(joined) - F.length(F.replace(joined, F.lit(MARK), F.lit("")))
+        return F.when(
+            (marks == F.size(ps) - 1) & (F.length(joined) <= MARKED_CHARS), read_off(joined)
+        ).otherwise(running_total(F.transform(ps, lambda p: F.length(p) + gap)))
+
+    return let(pieces, lambda ps: let(F.array_join(ps, MARK), lambda joined: choose(joined, ps)))
+
+
 def counts_up_to(points: Column, marks: Column) -> Column:
-    """For each of the ``points``, how many ``marks`` are <= it.
+    """For each of the ``points``, how many ``marks`` are <= it (all ints >= 0).
 
-    One sort of both arrays together: the r-th point in value order stands at
-    index j, so j - r marks come before it.  Neither array need be sorted.
+    One sort of both together: the r-th point in value order stands at index j,
+    so j - r marks come before it.  A value, whether it is a point, and its index
+    are packed into one long, so plain longs are sorted.
     """
+    high, flag = 1 << 32, 1 << 31
     both = F.sort_array(
         F.concat(
-            F.transform(
-                marks, lambda m: F.struct(m.alias("at"), F.lit(0).alias("point"), F.lit(0).alias("k"))
-            ),
-            F.transform(
-                points, lambda p, k: F.struct(p.alias("at"), F.lit(1).alias("point"), k.alias("k"))
-            ),
+            F.transform(marks, lambda m: m.cast("long") * high),
+            F.transform(points, lambda p, k: p.cast("long") * high + flag + k),
         )
     )
     return let(
@@ -115,10 +133,10 @@ def counts_up_to(points: Column, marks: Column) -> Column:
         lambda b: F.transform(
             F.sort_array(
                 F.transform(
-                    positions(b, lambda x, i: x["point"] == 1),
-                    lambda j, r: F.struct(F.get(b, j)["k"].alias("k"), (j - r).alias("n")),
+                    positions(b, lambda x, i: x.bitwiseAND(flag) != 0),
+                    lambda j, r: F.get(b, j).bitwiseAND(flag - 1) * high + (j - r),
                 )
             ),
-            lambda x: x["n"],
+            lambda x: x.bitwiseAND(high - 1).cast("int"),
         ),
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from marginalia.functions.sequence import joined_starts, let, positions, segments
+from marginalia.functions.sequence import let, positions, running_total, segments, starts
 from marginalia.functions.text import ASCII_SPACES
 
 OUTSIDE = "O"
@@ -62,35 +62,67 @@ def token_offsets(tokens: Column) -> Column:
     return let(
         tokens,
         lambda tk: let(
-            joined_starts(tk),
-            lambda starts: F.transform(
+            starts(tk, 1),
+            lambda at: F.transform(
                 tk,
                 lambda t, i: F.struct(
                     t.alias("token"),
-                    F.get(starts, i).alias("tok_start"),
-                    (F.get(starts, i) + F.length(t)).alias("tok_end"),
+                    F.get(at, i).alias("tok_start"),
+                    (F.get(at, i) + F.length(t)).alias("tok_end"),
                 ),
             ),
         ),
     )
 
 
-def _span(tokens: Column, starts: Column, seg: Column, kind: Column) -> Column:
-    first, last = seg["first"], seg["last"]
-    return F.struct(
-        F.array_join(F.slice(tokens, first + 1, last - first + 1), " ").alias("text"),
-        F.get(starts, first).alias("start"),
-        (F.get(starts, last) + F.length(F.get(tokens, last))).alias("end"),
-        kind.alias("type"),
-    )
+def _cut_to(array: Column, n: Column) -> Column:
+    return F.when(F.size(array) == n, array).otherwise(F.slice(array, F.lit(1), n))
+
+
+def _spans(tokens: Column, labels: Column, is_cut, is_entity, kind) -> Column:
+    """Entities from cuts of a label sequence.
+
+    ``is_cut(labels, label, i)`` tells where a stretch of tokens begins; only
+    stretches are measured and added up, not single tokens.  Sequences are cut
+    to the shorter side.
+    """
+
+    def measured(tk: Column, bounds: Column, n: Column) -> Column:
+        return F.transform(
+            segments(bounds, n),
+            lambda s: F.struct(
+                s["first"].alias("first"),
+                F.array_join(F.slice(tk, s["first"] + 1, s["last"] - s["first"] + 1), " ").alias("text"),
+            ),
+        )
 
+    def entities(parts: Column, lb: Column) -> Column:
+        return let(
+            running_total(F.transform(parts, lambda p: F.length(p["text"]) + 1)),
+            lambda at: F.transform(
+                F.filter(
+                    F.transform(parts, lambda p, k: p.withField("start", F.get(at, k))),
+                    lambda p: is_entity(F.get(lb, p["first"])),
+                ),
+                lambda p: F.struct(
+                    p["text"].alias("text"),
+                    p["start"].alias("start"),
+                    (p["start"] + F.length(p["text"])).alias("end"),
+                    kind(F.get(lb, p["first"])).alias("type"),
+                ),
+            ),
+        )
+
+    def decode(tk: Column, lb: Column) -> Column:
+        return let(
+            positions(lb, lambda x, i: (i == 0) | is_cut(lb, x, i)),
+            lambda bounds: let(measured(tk, bounds, F.size(lb)), lambda parts: entities(parts, lb)),
+        )
 
-def _align(tokens: Column, labels: Column, body) -> Column:
-    """Positional pairing, cut to the shorter side."""
     return let(
         F.least(F.size(tokens), F.size(labels)),
         lambda n: let(
-            F.slice(tokens, F.lit(1), n), lambda tk: let(F.slice(labels, F.lit(1), n), lambda lb: body(tk, lb))
+            _cut_to(tokens, n), lambda tk: let(_cut_to(labels, n), lambda lb: decode(tk, lb))
         ),
     )
 
@@ -102,41 +134,21 @@ def bio_spans(tokens: Column, labels: Column) -> Column:
     type, anything else closes it; an ``I`` with nothing open is ignored.
     """
 
-    def decode(tk: Column, lb: Column) -> Column:
-        bounds = positions(lb, lambda x, i: ~continues(x))
-        return let(
-            bounds,
-            lambda b: let(
-                joined_starts(tk),
-                lambda starts: F.transform(
-                    F.filter(segments(b, F.size(lb)), lambda s: begins(F.get(lb, s["first"]))),
-                    lambda s: _span(tk, starts, s, label_type(F.get(lb, s["first"]))),
-                ),
-            ),
-        )
+    def is_cut(lb: Column, label: Column, i: Column) -> Column:
+        closes = ~continues(label) & (F.get(lb, i - 1) != OUTSIDE)
+        return (label != OUTSIDE) & begins(label) | closes
 
-    return _align(tokens, labels, decode)
+    return _spans(tokens, labels, is_cut, begins, label_type)
 
 
 def run_spans(tokens: Column, labels: Column) -> Column:
     """Runs of equal labels as entities; runs labelled ``O`` are dropped."""
-
-    def decode(tk: Column, lb: Column) -> Column:
-        bounds = positions(lb, lambda x, i: (i == 0) | (x != F.get(lb, i - 1)))
-        return let(
-            bounds,
-            lambda b: let(
-                joined_starts(tk),
-                lambda starts: F.transform(
-                    F.filter(
-                        segments(b, F.size(lb)), lambda s: F.get(lb, s["first"]) != OUTSIDE
-                    ),
-                    lambda s: _span(tk, starts, s, F.get(lb, s["first"])),
-                ),
-            ),
-        )
-
-    return _align(tokens, labels, decode)
+    return _spans(
+        tokens, labels,
+        lambda lb, label, i: label != F.get(lb, i - 1),
+        lambda label: label != OUTSIDE,
+        lambda label: label,
+    )
 
 
 def carry_sections(entities: Column) -> Column:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from marginalia.functions.sequence import let, running_total
+from marginalia.functions.sequence import MARK, let, starts
 
 # The characters that end a token, and those a trim removes.
 SPACE_RANGES = (
@@ -103,7 +103,7 @@ def with_starts(pieces) -> Column:
     return let(
         _col(pieces),
         lambda p: let(
-            running_total(F.transform(p, F.length)),
+            starts(p, 0),
             lambda s: F.transform(
                 p,
                 lambda x, i: F.struct(
@@ -116,27 +116,37 @@ def with_starts(pieces) -> Column:
     )
 
 
-def char_tokens(c, base=None) -> Column:
-    """``array<struct<token, start, end>>`` with offsets into the text itself.
+# Pieces of ASCII text: a token and the separators after it.  The mark ends a
+# sentence, FOREIGN stands for a character that is not ASCII; since neither is
+# ASCII, the text itself cannot hold them.
+FOREIGN = "\ue001"
+ASCII_SEPARATORS = ASCII_SPACES + ";.,:"
+_ASCII_SEPARATOR = r"\t-\r\x1c-\x20;.,:" + MARK + FOREIGN
+PIECE_CUT = f"(?<=[{_ASCII_SEPARATOR}])(?=[^{_ASCII_SEPARATOR}])"
 
-    ``base`` (an int column) is added to the offsets.
+
+def marked_model_text(c) -> Column:
+    """``model_text`` with a mark at every sentence cut."""
+    return F.regexp_replace(model_text(c), SENTENCE_CUT, MARK)
+
+
+def marked_scope_text(c) -> Column:
+    """The text with marks at scope cuts and ``FOREIGN`` for non-ASCII characters."""
+    plain = F.regexp_replace(returns_to_newlines(c), NON_ASCII, FOREIGN)
+    return F.regexp_replace(plain, rf"(?<=[.?])(?=[\s{FOREIGN}]+[A-Z])|(?<=\n)", MARK)
+
+
+def piece_token(piece: Column) -> Column:
+    return F.rtrim(piece, F.lit(ASCII_SEPARATORS + MARK + FOREIGN))
+
+
+def ascii_tokens(c) -> Column:
+    """``tokens`` with ``ascii_drop`` on each, in passes over the whole text.
+
+    A token of non-ASCII characters alone stays, as the empty token.
     """
-    base = F.lit(0) if base is None else base
-    cut = f"(?<={SEPARATOR})(?={NOT_SEPARATOR})"
-    return F.filter(
-        F.transform(
-            with_starts(F.split(_col(c), cut, -1)),
-            lambda p: let(
-                F.regexp_replace(p["piece"], SEPARATOR + "+$", ""),
-                lambda t: F.struct(
-                    t.alias("token"),
-                    (p["start"] + base).alias("start"),
-                    (p["start"] + base + F.length(t)).alias("end"),
-                ),
-            ),
-        ),
-        lambda t: t["token"] != "",
-    )
+    joined = F.array_join(tokens(c), " ")
+    return F.when(joined == "", F.array().cast("array<string>")).otherwise(F.split(ascii_drop(joined), " ", -1))
 
 
 def text_lines(c) -> Column:

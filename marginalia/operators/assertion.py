@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marginalia.functions import text as tx
-from marginalia.functions.sequence import counts_up_to, let
+from marginalia.functions.sequence import MARK, counts_up_to, let, starts
 from marginalia.operators.text import explode_rows
 
 NEGATED = "negated"
@@ -27,24 +27,39 @@ Cues = list[tuple[str, str]]
 
 
 def scope_tokens(text: Column) -> Column:
-    """``array<struct<token, start, end, line, sent_id>>`` in document order.
+    """``array<struct<word, start, end, stop, sent_id>>`` in document order.
 
-    ``line`` counts the lines of the cue form of the text: no cue spans two.
+    ``word`` is the token in lower case.  No cue runs on past a token with
+    ``stop``: a line end, a sentence end or a non-ASCII character follows it.
     """
-    tokens = F.flatten(
+    pieces = F.flatten(
         F.transform(
-            tx.with_starts(F.split(tx.cue_text(text), r"(?<=\n)", -1)),
-            lambda p, i: F.transform(
-                tx.char_tokens(p["piece"], p["start"]), lambda t: t.withField("line", i)
+            F.split(tx.marked_scope_text(text), MARK, -1),
+            lambda s, i: F.transform(
+                F.split(s, tx.PIECE_CUT, -1), lambda p: F.struct(i.alias("sent_id"), p.alias("piece"))
             ),
         )
     )
-    scopes = F.transform(tx.with_starts(tx.scope_sentences(text)), lambda s: s["start"])
+
+    def described(p: Column, at: Column) -> Column:
+        return let(
+            F.lower(tx.piece_token(p["piece"])),
+            lambda word: F.struct(
+                word.alias("word"),
+                at.alias("start"),
+                (at + F.length(word)).alias("end"),
+                (p["piece"].contains("\n") | p["piece"].contains(tx.FOREIGN)).alias("stop"),
+                p["sent_id"].alias("sent_id"),
+            ),
+        )
+
     return let(
-        tokens,
-        lambda tk: let(
-            counts_up_to(F.transform(tk, lambda t: t["start"]), scopes),
-            lambda n: F.transform(tk, lambda t, i: t.withField("sent_id", F.get(n, i) - 1)),
+        pieces,
+        lambda ps: let(
+            starts(F.transform(ps, lambda p: p["piece"]), 0),
+            lambda at: F.filter(
+                F.transform(ps, lambda p, i: described(p, F.get(at, i))), lambda t: t["word"] != ""
+            ),
         ),
     )
 
@@ -76,18 +91,19 @@ def find_cues(tokens: Column, cues: Cues) -> Column:
         """Words of the longest cue that starts at token ``i``."""
 
         def fits(n: int) -> Column:
-            words = F.transform(F.slice(tk, i + 1, F.lit(n)), lambda x: F.lower(x["token"]))
-            end = F.get(tk, i + n - 1)
-            whole = (end["line"] == t["line"]) & (end["sent_id"] == t["sent_id"])
+            whole = F.get(tk, i + n - 1)["sent_id"] == t["sent_id"]
+            for step in range(n - 1):
+                whole = whole & ~F.get(tk, i + step)["stop"]
+            words = F.transform(F.slice(tk, i + 1, F.lit(n)), lambda x: x["word"])
             return whole & F.array_join(words, " ").isin(sorted(table[n]))
 
-        chain = F.when(~F.lower(t["token"]).isin(openers), F.lit(None).cast("int"))
+        chain = F.when(~t["word"].isin(openers), F.lit(None).cast("int"))
         for n in lengths:
             chain = chain.when(fits(n), F.lit(n))
         return chain
 
     def cue(tk: Column, i: Column, n: Column) -> Column:
-        phrase = F.array_join(F.transform(F.slice(tk, i + 1, n), lambda x: F.lower(x["token"])), " ")
+        phrase = F.array_join(F.transform(F.slice(tk, i + 1, n), lambda x: x["word"]), " ")
         first, last = F.get(tk, i), F.get(tk, i + n - 1)
         return F.struct(
             i.alias("first"),
@@ -140,15 +156,17 @@ def _placed(es: Column, tokens: Column) -> Column:
 
 def _nearest(placed: Column, cues: Column, kind: str, before: bool) -> Column:
     """The nearest cue of a kind wholly before (after) each entity, or null."""
-    edge = "last" if before else "first"
-    points = F.transform(placed, lambda p: (p["first"] - 1) if before else p["last"])
-    return let(
-        F.filter(cues, lambda c: c["kind"] == kind),
-        lambda cs: F.transform(
-            counts_up_to(points, F.transform(cs, lambda c: c[edge])),
-            lambda n: F.when(n > 0, F.get(cs, n - 1)) if before else F.get(cs, n),
-        ),
-    )
+
+    def pick(cs: Column) -> Column:
+        if before:
+            passed = counts_up_to(
+                F.transform(placed, lambda p: p["first"]), F.transform(cs, lambda c: c["last"] + 1)
+            )
+            return F.transform(passed, lambda n: F.when(n > 0, F.get(cs, n - 1)))
+        begun = counts_up_to(F.transform(placed, lambda p: p["last"]), F.transform(cs, lambda c: c["first"]))
+        return F.transform(begun, lambda n: F.get(cs, n))
+
+    return let(F.filter(cues, lambda c: c["kind"] == kind), pick)
 
 
 def _reaches(p: Column, cue: Column, stop: Column, before: bool, reach: int) -> Column:

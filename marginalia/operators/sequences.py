@@ -146,28 +146,32 @@ def bio_entities(
 ) -> DataFrame:
     """BIO decode of a row table with offsets: ``(doc, text, start, end, type)``.
 
-    The rules are those of ``functions.spans.bio_spans``.  A segment begins at
-    every label that is not ``I``; the ``I`` rows that open a chunk continue the
-    last segment of the chunk before.
+    The rules are those of ``functions.spans.bio_spans``.  Outside rows are
+    dropped first, so only entity tokens are shuffled; a gap in the positions
+    then closes an entity.  ``I`` rows that open a chunk may continue the last
+    segment of the chunk before.
     """
     per_chunk, _ = _chunk_windows(doc, [pos])
-    rows = df.withColumn("_chunk", position_chunk(pos) if chunk is None else chunk)
-    rows = rows.withColumn("_head", (~continues(F.col(label))).cast("int"))
+    rows = df.filter(begins(F.col(label)) | continues(F.col(label)))
+    rows = rows.withColumn("_chunk", position_chunk(pos) if chunk is None else chunk)
+    gap = F.coalesce(F.col(pos) != F.lag(pos).over(per_chunk) + 1, F.lit(False))
+    rows = rows.withColumn("_head", (begins(F.col(label)) | gap).cast("int"))
     rows = rows.withColumn("_seg", F.sum("_head").over(per_chunk))
-    # An outside row needs no text; it only closes what is open.
-    kept = F.when(F.col(label) != "O", F.struct(F.col(pos).alias("at"), F.col(token).alias("text")))
     local = rows.groupBy(doc, "_chunk", "_seg").agg(
         F.min_by(label, pos).alias("_label"),
         F.min(start).alias("start"),
         F.max(end).alias("end"),
-        F.collect_list(kept).alias("_pieces"),
+        F.min(pos).alias("_from"),
+        F.max(pos).alias("_to"),
+        F.collect_list(F.struct(F.col(pos).alias("at"), F.col(token).alias("text"))).alias("_pieces"),
     )
     inner, edge = _edges(local, doc, "_seg")
-    over_edges = Window.partitionBy(doc).orderBy("_chunk", "_seg")
-    edge = edge.withColumn("_group", F.sum((F.col("_seg") != 0).cast("int")).over(over_edges))
-    edge = edge.filter(F.col("_group") > 0)
+    over_edges = Window.partitionBy(doc).orderBy("_from")
+    joins = continues(F.col("_label")) & (F.col("_from") == F.lag("_to").over(over_edges) + 1)
+    edge = edge.withColumn("_new", F.when(joins, 0).otherwise(1))
+    edge = edge.withColumn("_group", F.sum("_new").over(over_edges))
     merged = edge.groupBy(doc, "_group").agg(
-        F.min_by("_label", F.struct("_chunk", "_seg")).alias("_label"),
+        F.min_by("_label", "_from").alias("_label"),
         F.min("start").alias("start"),
         F.max("end").alias("end"),
         F.flatten(F.collect_list("_pieces")).alias("_pieces"),

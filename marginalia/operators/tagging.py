@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from marginalia.functions import features as ft
 from marginalia.functions import spans as sp
 from marginalia.functions import text as tx
-from marginalia.functions.sequence import let, positions, running_total, segments
+from marginalia.functions.sequence import MARK, let, positions, running_total, segments
 from marginalia.operators.lookup import BROADCAST_BYTES, lookup
 from marginalia.operators.text import explode_rows
 
@@ -31,7 +31,7 @@ def rule_labels(tokens: Column, kind: Callable[[Column], Column] = ft.rule_type)
 
 def rule_tags(df: DataFrame, *, doc: str = "doc_id", text: str = "text", keep: tuple[str, ...] = (), kind=ft.rule_type) -> DataFrame:
     """``(doc, keep..., tokens, labels)`` by the built-in rule; one row per document."""
-    tokens = F.transform(tx.tokens(text), tx.ascii_drop)
+    tokens = tx.ascii_tokens(text)
     pair = let(tokens, lambda tk: F.struct(tk.alias("tokens"), rule_labels(tk, kind).alias("labels")))
     return df.select(doc, *keep, pair.alias("_t")).select(
         doc, *keep, F.col("_t.tokens").alias("tokens"), F.col("_t.labels").alias("labels")
@@ -42,67 +42,81 @@ def lexicon_tags(
     df: DataFrame, gazetteer: DataFrame, *, doc: str = "doc_id", text: str = "text", word: str = "word",
     kind: str = "type", broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """``(doc, pos, token, label)`` by a gazetteer ``(word, type)``.
+    """``(doc, pos, token, label, tok_start, tok_end)`` by a gazetteer ``(word, type)``.
 
-    The previous token travels with each row and is looked up as well, so that
-    B and I are told apart without a window.
+    Offsets in the blank-joined text come along.  The previous token travels
+    with each row and is looked up as well, so that B and I are told apart
+    without a window.
     """
     tokens = let(
-        F.transform(tx.tokens(text), tx.ascii_drop),
+        sp.token_offsets(tx.ascii_tokens(text)),
         lambda tk: F.transform(
-            tk, lambda t, i: F.struct(t.alias("token"), F.when(i > 0, F.get(tk, i - 1)).alias("before"))
+            tk, lambda t, i: t.withField("before", F.when(i > 0, F.get(tk, i - 1)["token"]))
         ),
     )
-    rows = explode_rows(df, tokens, doc).select(
-        doc, "pos", F.col("item.token").alias("token"), F.col("item.before").alias("_before")
-    )
+    rows = explode_rows(df, tokens, doc).select(doc, "pos", "item.*")
     types = gazetteer.groupBy(word).agg(F.min(kind).alias("_type"))
     args = {"word": word, "salt_by": [doc, "pos"], "broadcast_bytes": broadcast_bytes}
     rows = lookup(rows, types, F.col("token"), **args)
-    rows = lookup(rows, types.withColumnRenamed("_type", "_type_before"), F.col("_before"), **args)
+    rows = lookup(rows, types.withColumnRenamed("_type", "_type_before"), F.col("before"), **args)
     label = sp.bio_label(F.col("_type"), F.col("_type_before"))
-    return rows.select(doc, "pos", "token", label.alias("label"))
+    return rows.select(doc, "pos", "token", label.alias("label"), "tok_start", "tok_end")
 
 
-def rule_entities(sentence: Column, kind: Callable[[Column], Column] = ft.rule_type) -> Column:
-    """Entities of one sentence with offsets into it, as a model would give them.
+def rule_entities(marked: Column, kind: Callable[[Column], Column] = ft.rule_type) -> Column:
+    """Entities of a text with character offsets, as a model would give them.
 
-    Neighbouring tokens of one type make an entity; its text is the sentence
-    text from its first to its last character.
+    ``marked`` is ASCII text with a mark wherever a sentence ends.  Neighbouring
+    tokens of one type in one sentence make an entity; its text is the text
+    from its first to its last character.
     """
-    cut = f"(?<={tx.SEPARATOR})(?={tx.NOT_SEPARATOR})"
 
-    def described(p: Column) -> Column:
+    def unmarked(text: Column) -> Column:
+        return F.replace(text, F.lit(MARK), F.lit(""))
+
+    def measured(ps: Column, bounds: Column, kinds: Column) -> Column:
+        return F.transform(
+            segments(bounds, F.size(ps)),
+            lambda s: F.struct(
+                unmarked(F.array_join(F.slice(ps, s["first"] + 1, s["last"] - s["first"] + 1), "")).alias("text"),
+                F.get(kinds, s["first"]).alias("type"),
+            ),
+        )
+
+    def entities(parts: Column) -> Column:
         return let(
-            F.regexp_replace(p["piece"], tx.SEPARATOR + "+$", ""),
-            lambda t: F.struct(
-                p["piece"].alias("piece"),
-                p["start"].alias("start"),
-                (p["start"] + F.length(t)).alias("end"),
-                kind(t).alias("type"),
+            running_total(F.transform(parts, lambda p: F.length(p["text"]))),
+            lambda at: F.transform(
+                F.filter(
+                    F.transform(parts, lambda p, k: p.withField("start", F.get(at, k))),
+                    lambda p: p["type"].isNotNull(),
+                ),
+                lambda p: let(
+                    tx.piece_token(p["text"]),
+                    lambda text: F.struct(
+                        text.alias("text"),
+                        p["start"].alias("start"),
+                        (p["start"] + F.length(text)).alias("end"),
+                        p["type"].alias("type"),
+                    ),
+                ),
             ),
         )
 
-    def entity(ts: Column, s: Column) -> Column:
-        first, last = F.get(ts, s["first"]), F.get(ts, s["last"])
-        pieces = F.slice(ts, s["first"] + 1, s["last"] - s["first"] + 1)
-        joined = F.array_join(F.transform(pieces, lambda p: p["piece"]), "")
-        return F.struct(
-            F.regexp_replace(joined, tx.SEPARATOR + "+$", "").alias("text"),
-            first["start"].alias("start"),
-            last["end"].alias("end"),
-            first["type"].alias("type"),
+    def decode(ps: Column, kinds: Column) -> Column:
+        def is_cut(k: Column, i: Column) -> Column:
+            before = F.get(kinds, i - 1)
+            ended = k.isNotNull() & F.get(ps, i - 1).contains(MARK)
+            return (i == 0) | ~k.eqNullSafe(before) | ended
+
+        return let(
+            positions(kinds, is_cut),
+            lambda bounds: let(measured(ps, bounds, kinds), entities),
         )
 
     return let(
-        F.transform(tx.with_starts(F.split(sentence, cut, -1)), described),
-        lambda ts: let(
-            positions(ts, lambda t, i: (i == 0) | ~t["type"].eqNullSafe(F.get(ts, i - 1)["type"])),
-            lambda b: F.transform(
-                F.filter(segments(b, F.size(ts)), lambda s: F.get(ts, s["first"])["type"].isNotNull()),
-                lambda s: entity(ts, s),
-            ),
-        ),
+        F.split(marked, tx.PIECE_CUT, -1),
+        lambda ps: let(F.transform(ps, lambda p: kind(tx.piece_token(p))), lambda kinds: decode(ps, kinds)),
     )
 
 

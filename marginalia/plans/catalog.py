@@ -101,6 +101,10 @@ def rule_labels(spark, folder):
 
 
 def lexicon_labels(spark, folder):
+    return lexicon_tagged(spark, folder).drop("tok_start", "tok_end")
+
+
+def lexicon_tagged(spark, folder):
     return tg.lexicon_tags(documents(spark, folder), gazetteer(spark, folder))
 
 
@@ -115,7 +119,7 @@ def label_align(spark, folder):
 
 
 def token_offsets(spark, folder):
-    offsets = sp.token_offsets(F.transform(tx.tokens("text"), tx.ascii_drop))
+    offsets = sp.token_offsets(tx.ascii_tokens("text"))
     return ot.explode_rows(documents(spark, folder), offsets, "doc_id").select("doc_id", "pos", "item.*")
 
 
@@ -129,7 +133,7 @@ def bio_entities(spark, folder):
 
 
 def bio_entity_rows(spark, folder):
-    return sq.bio_entities(sq.token_offsets(lexicon_labels(spark, folder)))
+    return sq.bio_entities(lexicon_tagged(spark, folder))
 
 
 def entity_arrays(spark, folder):

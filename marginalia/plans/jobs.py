@@ -33,7 +33,7 @@ def token_job(
     if open_tagger is None:
         tagged = tg.rule_tags(docs, doc=doc, text=text, keep=keep, kind=kind)
     else:
-        tokens = docs.select(doc, *keep, F.transform(tx.tokens(text), tx.ascii_drop).alias("tokens"))
+        tokens = docs.select(doc, *keep, tx.ascii_tokens(text).alias("tokens"))
         tagged = tg.tag_sequences(tokens, open_tagger)
     status = [c for c in ("status", "error") if c in tagged.columns]
     labels = F.coalesce("labels", F.array().cast("array<string>"))
@@ -49,17 +49,17 @@ def sentence_job(
     Without ``open_model`` the built-in rule finds the entities; without ``cues``
     no assertion is added.
     """
-    split = docs.select(doc, *keep, text, tx.sentences(tx.model_text(text)).alias("sentences"))
     if open_model is None:
-        found = split.withColumn("found", tg.rule_found(F.col("sentences"), kind))
+        raw = docs.select(doc, *keep, text, tg.rule_entities(tx.marked_model_text(text), kind).alias("entities"))
     else:
+        split = docs.select(doc, *keep, text, tx.sentences(tx.model_text(text)).alias("sentences"))
         found = tg.tag_sentences(split, open_model)
-    status = [c for c in ("status", "error") if c in found.columns]
-    entities = let(
-        tg.document_offsets(F.coalesce("found", F.array().cast(tg.FOUND_TYPE)), F.col("sentences")),
-        lambda es: sp.drop_empty_entities(sp.carry_sections(sp.trim_entity_text(es))),
+        moved = tg.document_offsets(F.coalesce("found", F.array().cast(tg.FOUND_TYPE)), F.col("sentences"))
+        raw = found.select(doc, *keep, "status", "error", text, moved.alias("entities"))
+    finished = let(
+        sp.trim_entity_text(F.col("entities")), lambda es: sp.drop_empty_entities(sp.carry_sections(es))
     )
-    result = found.select(doc, *keep, *status, text, entities.alias("entities"))
+    result = raw.withColumn("entities", finished)
     if cues:
         result = asr.assert_entities(result, cues, text=text)
     return result.drop(text)
