@@ -119,12 +119,13 @@ def _spans(tokens: Column, labels: Column, is_cut, is_entity, kind) -> Column:
             lambda bounds: let(measured(tk, bounds, F.size(lb)), lambda parts: entities(parts, lb)),
         )
 
-    return let(
-        F.least(F.size(tokens), F.size(labels)),
-        lambda n: let(
-            _cut_to(tokens, n), lambda tk: let(_cut_to(labels, n), lambda lb: decode(tk, lb))
-        ),
-    )
+    def aligned(tk: Column, lb: Column) -> Column:
+        return let(
+            F.least(F.size(tk), F.size(lb)),
+            lambda n: let(_cut_to(tk, n), lambda t: let(_cut_to(lb, n), lambda x: decode(t, x))),
+        )
+
+    return let(tokens, lambda tk: let(labels, lambda lb: aligned(tk, lb)))
 
 
 def bio_spans(tokens: Column, labels: Column) -> Column:

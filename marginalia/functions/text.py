@@ -29,7 +29,7 @@ def _col(c) -> Column:
 
 def ascii_drop(c) -> Column:
     """Remove every non-ASCII character (the text gets shorter)."""
-    return F.regexp_replace(_col(c), NON_ASCII, "")
+    return F.regexp_replace(_col(c), NON_ASCII + "+", "")
 
 
 def ascii_blank(c) -> Column:
@@ -145,8 +145,9 @@ def ascii_tokens(c) -> Column:
 
     A token of non-ASCII characters alone stays, as the empty token.
     """
-    joined = F.array_join(tokens(c), " ")
-    return F.when(joined == "", F.array().cast("array<string>")).otherwise(F.split(ascii_drop(joined), " ", -1))
+    # The empty piece at the end keeps "no token" apart from "one empty token".
+    joined = F.array_join(F.array_append(tokens(c), ""), " ")
+    return let(F.split(ascii_drop(joined), " ", -1), lambda a: F.slice(a, 1, F.size(a) - 1))
 
 
 def text_lines(c) -> Column:

@@ -23,13 +23,16 @@ def whole_files(
 ) -> DataFrame:
     """``(doc_id, path, text)``, one row per file with this suffix.
 
+    Spark's file scans pass over files of zero length; they give no row.
+
     ``min_partitions`` sets the session's ``spark.sql.files.minPartitionNum``:
     the scan itself is then split finer, and nothing is shuffled.
     """
     if min_partitions:
         spark.conf.set("spark.sql.files.minPartitionNum", str(min_partitions))
-    reader = spark.read.option("wholetext", True).option("pathGlobFilter", f"*{suffix}")
-    files = reader.option("recursiveFileLookup", recursive).text(folder)
+    files = spark.read.text(
+        folder, wholetext=True, pathGlobFilter=f"*{suffix}", recursiveFileLookup=recursive
+    )
     make_id = ky.short_id if short_ids else ky.document_id
     named = files.select(_path().alias("path"), F.col("value").alias("text"))
     return named.select(make_id(F.col("path")).alias("doc_id"), "path", "text")
@@ -54,9 +57,8 @@ def list_keys(
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
     root = folder.split("://", 1)[-1].rstrip("/") + "/"
-    path = F.url_decode(F.replace(F.col("path"), F.lit("+"), F.lit("%2B")))
     # The path ends in root + key, whatever form its scheme has.
-    key = F.substring_index(path, root, -1)
+    key = F.substring_index("path", root, -1)
     keys = files.select(
         key.alias("key"), "length", F.col("modificationTime").alias("modified")
     )

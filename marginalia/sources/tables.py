@@ -5,13 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
+TASKS_PER_CORE = 3
+
+
 def partition_floor(df: DataFrame, floor: int | None = None) -> DataFrame:
-    """At least ``floor`` partitions (default: one per core of the cluster).
+    """At least ``floor`` partitions (default: three per core of the cluster).
 
     A corpus in a few large row groups would leave cores idle; a large corpus
     has more splits than cores and passes through without a shuffle.
     """
-    floor = floor or df.sparkSession.sparkContext.defaultParallelism
+    floor = floor or TASKS_PER_CORE * df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(floor) if df.rdd.getNumPartitions() < floor else df
 
 

@@ -19,8 +19,8 @@ def arriving_documents(
     spark: SparkSession, folder: str, *, suffix: str = ".txt", files_per_batch: int = 100_000
 ) -> DataFrame:
     """``(doc_id, text)`` of whole files as they appear in the folder."""
-    reader = spark.readStream.option("wholetext", True).option("pathGlobFilter", f"*{suffix}")
-    files = reader.option("maxFilesPerTrigger", files_per_batch).text(folder)
+    reader = spark.readStream.option("maxFilesPerTrigger", files_per_batch)
+    files = reader.text(folder, wholetext=True, pathGlobFilter=f"*{suffix}")
     return files.select(document_id(F.col("_metadata.file_path")).alias("doc_id"), F.col("value").alias("text"))
 
 
