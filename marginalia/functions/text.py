@@ -27,19 +27,29 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def replace_foreign(c, put: str, each: bool = True) -> Column:
+    """Put ``put`` for every non-ASCII character (or for every run of them).
+
+    ASCII text, whose bytes are as many as its characters, skips the pattern.
+    """
+    c = _col(c)
+    pattern = NON_ASCII if each else NON_ASCII + "+"
+    return F.when(F.octet_length(c) == F.length(c), c).otherwise(F.regexp_replace(c, pattern, put))
+
+
 def ascii_drop(c) -> Column:
     """Remove every non-ASCII character (the text gets shorter)."""
-    return F.regexp_replace(_col(c), NON_ASCII + "+", "")
+    return replace_foreign(c, "", each=False)
 
 
 def ascii_blank(c) -> Column:
     """Put a blank in place of every non-ASCII character (length is kept)."""
-    return F.regexp_replace(_col(c), NON_ASCII, " ")
+    return replace_foreign(c, " ")
 
 
 def ascii_newline(c) -> Column:
     """Put a newline in place of every non-ASCII character (length is kept)."""
-    return F.regexp_replace(_col(c), NON_ASCII, "\n")
+    return replace_foreign(c, "\n")
 
 
 def returns_to_newlines(c) -> Column:
@@ -132,7 +142,7 @@ def marked_model_text(c) -> Column:
 
 def marked_scope_text(c) -> Column:
     """The text with marks at scope cuts and ``FOREIGN`` for non-ASCII characters."""
-    plain = F.regexp_replace(returns_to_newlines(c), NON_ASCII, FOREIGN)
+    plain = replace_foreign(returns_to_newlines(c), FOREIGN)
     return F.regexp_replace(plain, rf"(?<=[.?])(?=[\s{FOREIGN}]+[A-Z])|(?<=\n)", MARK)
 
 
@@ -146,8 +156,12 @@ def ascii_tokens(c) -> Column:
     A token of non-ASCII characters alone stays, as the empty token.
     """
     # The empty piece at the end keeps "no token" apart from "one empty token".
-    joined = F.array_join(F.array_append(tokens(c), ""), " ")
-    return let(F.split(ascii_drop(joined), " ", -1), lambda a: F.slice(a, 1, F.size(a) - 1))
+    return let(
+        F.array_join(F.array_append(tokens(c), ""), " "),
+        lambda joined: let(
+            F.split(ascii_drop(joined), " ", -1), lambda a: F.slice(a, 1, F.size(a) - 1)
+        ),
+    )
 
 
 def text_lines(c) -> Column:

@@ -343,7 +343,7 @@ def oracle_sql() -> dict[str, str]:
             to_json(list({{'text': text, 'start': start, 'end': "end", 'type': type}} ORDER BY start))::VARCHAR AS records
             FROM entities GROUP BY doc_id""",
         "entity_counts": f"""WITH {LABELS}, {BIO} SELECT d.lang, e.type, count(*) AS entities,
-            sum(e."end" - e.start) AS chars FROM entities e JOIN documents d USING (doc_id) GROUP BY d.lang, e.type""",
+            sum(e."end" - e.start)::BIGINT AS chars FROM entities e JOIN documents d USING (doc_id) GROUP BY d.lang, e.type""",
         "run_entities": f"""WITH {LINES},
             ruled AS (SELECT doc_id, pos, {drop('line')} AS raw, coalesce({kind(drop('line'))}, 'O') AS raw_label FROM lines),
             blanked AS (SELECT doc_id, pos, CASE WHEN raw IN (' ', '  ', '-') THEN '' ELSE raw END AS token,
@@ -390,7 +390,7 @@ def oracle_sql() -> dict[str, str]:
         "page_counts": f"""WITH {PAGES},
             a AS (SELECT page_id, count(*) AS n FROM page GROUP BY page_id),
             b AS (SELECT page_id, count(*) AS n, sum(length(line)) AS c FROM page_lines GROUP BY page_id)
-            SELECT p.page_id, coalesce(a.n, 0) AS pages, coalesce(b.n, 0) AS lines, coalesce(b.c, 0) AS chars
+            SELECT p.page_id, coalesce(a.n, 0) AS pages, coalesce(b.n, 0) AS lines, coalesce(b.c, 0)::BIGINT AS chars
             FROM pages p LEFT JOIN a USING (page_id) LEFT JOIN b USING (page_id)""",
         "page_entities": f"""WITH {PAGE_TEXT}, {sentence_entities('page_text', 'page_id')}
             SELECT page_id, text, start, "end", type FROM entities""",
