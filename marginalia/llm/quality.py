@@ -26,11 +26,11 @@ class Settings:
     #: Labelled rows that are learned from at most: those with the lowest hash of their id.
     max_rows: int = 6000
     bits: int = 18
-    epochs: int = 4
-    alpha: float = 0.3
+    epochs: int = 10
+    alpha: float = 1.0
     beta: float = 1.0
-    l1: float = 0.2
-    l2: float = 1.0
+    l1: float = 0.05
+    l2: float = 0.1
 
 
 def terms(word: bytes) -> tuple[int, ...]:
@@ -138,22 +138,22 @@ def scores(
     weights = docs.sparkSession.sparkContext.broadcast(
         trained(docs, labels, settings, key=key, text=text, label=label)
     )
-    rows = docs.select(F.col(key).alias("doc_id"), *extra, F.col(text).cast("binary").alias("_text"))
+    rows = docs.select(F.col(key).alias("doc_id"), *extra, F.col(text).cast("binary").alias("__text"))
 
     def run(batches):
         known, w = Memo(terms), weights.value
-        for batch in stretches(batches, "_text", STRETCH_BYTES):
+        for batch in stretches(batches, "__text", STRETCH_BYTES):
             found = []
-            for body in batch.column("_text").to_pylist():
+            for body in batch.column("__text").to_pylist():
                 numbers = features(body or b"", known, settings.bits)
                 index, value = scaled(numbers)
                 found.append(float(w[index] @ value))
             score = 1 / (1 + np.exp(-np.clip(np.array(found), -35, 35)))
-            kept = batch.drop_columns(["_text"])
+            kept = batch.drop_columns(["__text"])
             yield pa.RecordBatch.from_arrays(
                 [*kept.columns, pa.array(score, pa.float64()), pa.array((score >= threshold).astype(np.int32), pa.int32())],
                 [*kept.schema.names, "score", "predicted"],
             )
 
-    kept = ", ".join(f"{n} {k}" for n, k in rows.dtypes if n != "_text")
+    kept = ", ".join(f"{n} {k}" for n, k in rows.dtypes if n != "__text")
     return rows.mapInArrow(run, f"{kept}, score double, predicted int")
