@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from uuid import uuid4
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -15,6 +16,8 @@ from marginalia.session import ensure_checkpoint_dir
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: The characters of ``[\x20\x09-\x0D]``.
 BLANKS = " \t\n\x0b\x0c\r"
+#: Keys of eight bytes that are broadcast at most: some tens of MB in a hash table.
+BROADCAST_KEYS = 500_000
 
 
 def table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
@@ -33,12 +36,24 @@ def fold_remainder(doc_id: Column, parts: int = 5) -> Column:
 
 
 def settled(df: DataFrame) -> DataFrame:
-    """The rows, computed once and kept in the folder that ``spark.checkpoint.dir`` names.
+    """The rows, computed once and kept as a table in the folder that ``spark.checkpoint.dir`` names.
 
-    Later stages read the files, so a lost executor costs a read, not the work.
+    Later stages read the table, so a lost executor costs a read, not the work.
+    Columns are stored compressed, which takes far less room than a checkpoint of rows.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/settled-{uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def narrowed(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """The rows of ``df`` whose key is in the settled, distinct ``keys``.
+
+    At most ``BROADCAST_KEYS`` keys, which are counted first, are broadcast, so that
+    wide rows stay where they are; more of them are joined by a shuffle.
+    """
+    few = keys.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS
+    return df.join(F.broadcast(keys) if few else keys, key, "left_semi")
 
 
 def stretches(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:

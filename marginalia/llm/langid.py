@@ -138,12 +138,12 @@ def trained(docs: DataFrame, path: str, settings: Settings, *, key: str, text: s
     best = best.groupBy("_lang").agg(F.array_sort(F.collect_set(F.xxhash64("_key"))).alias("hashes"))
     limits = best.select("_lang", F.element_at("hashes", F.least(F.size("hashes"), F.lit(settings.max_rows))).alias("_most"))
     rows = known.join(F.broadcast(limits), F.col(lang) == F.col("_lang")).filter(order <= F.col("_most"))
-    rows = rows.select(F.col("_lang"), F.col(text).cast("binary").alias("_text"))
+    rows = rows.select(F.col("_lang"), F.col(text).cast("binary").alias("__text"))
 
     def counted(batches):
-        for batch in stretches(batches, "_text", STRETCH_BYTES):
+        for batch in stretches(batches, "__text", STRETCH_BYTES):
             counts: dict[tuple[str, bytes], int] = {}
-            for language, body in zip(batch.column("_lang").to_pylist(), batch.column("_text").to_pylist()):
+            for language, body in zip(batch.column("_lang").to_pylist(), batch.column("__text").to_pylist()):
                 for word in (body or b"").split():
                     counts[language, word] = counts.get((language, word), 0) + 1
             pairs = [(language, p, n) for (language, word), n in counts.items() for p in parts(word, settings.word_chars)]
@@ -184,7 +184,7 @@ def languages(
     """
     names, chance = trained(labelled, path, settings, key=key, text=text, lang=lang)
     model = docs.sparkSession.sparkContext.broadcast(np.vstack([chance, np.zeros((1, len(names)))]) if names else None)
-    rows = docs.select(F.col(key).alias("doc_id"), *extra, F.col(text).cast("binary").alias("_text"))
+    rows = docs.select(F.col(key).alias("doc_id"), *extra, F.col(text).cast("binary").alias("__text"))
 
     def run(batches):
         pieces, table = load_pieces(path, settings.piece_chars), model.value
@@ -200,8 +200,8 @@ def languages(
             of = dict(zip(order, logs))
             return {w: None if not ps else of[ps[0]] if len(ps) == 1 else sum(of[p] for p in ps) for w, ps in cut.items()}
 
-        for batch in stretches(batches, "_text", STRETCH_BYTES):
-            texts = [(x or b"").split() for x in batch.column("_text").to_pylist()]
+        for batch in stretches(batches, "__text", STRETCH_BYTES):
+            texts = [(x or b"").split() for x in batch.column("__text").to_pylist()]
             predicted, score = [], []
             known = memo.take(set().union(*texts), scored) if names else {}
             for words in texts:
@@ -214,11 +214,11 @@ def languages(
                 best = int(total.argmax())
                 predicted.append(names[best])
                 score.append(float(1 / np.exp(total - total[best]).sum()))
-            kept = batch.drop_columns(["_text"])
+            kept = batch.drop_columns(["__text"])
             yield pa.RecordBatch.from_arrays(
                 [*kept.columns, pa.array(predicted, pa.string()), pa.array(score, pa.float64())],
                 [*kept.schema.names, "lang_pred", "score"],
             )
 
-    kept = ", ".join(f"{n} {k}" for n, k in rows.dtypes if n != "_text")
+    kept = ", ".join(f"{n} {k}" for n, k in rows.dtypes if n != "__text")
     return rows.mapInArrow(run, f"{kept}, lang_pred string, score double")
