@@ -25,11 +25,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marginalia.llm.common import Memo, settled, stretches, word_hash
+from marginalia.llm.common import Memo, narrowed, settled, stretches, word_hash
 
 SHINGLE_WORDS = 5
 STRETCH_BYTES = 1_000_000
-SKETCH_CELLS = 128
+SKETCH_BITS = 2048
 #: A signature's open pairs beyond so many are told apart by a second, independent set of signatures first.
 OPEN_PAIRS = 2_000
 
@@ -98,15 +98,16 @@ def signatures(elements: np.ndarray, similarity: Similarity, seed: int = 0) -> n
     out = []
     spread = mixed(elements + np.uint64(seed) * np.uint64(0xD6E8FEB86659FD93))
     value = mixed(spread ^ _ODD)
-    part_of, cell_of = (spread >> np.uint64(34)).astype(np.int64), (spread & np.uint64(0x3FFFFFFF)).astype(np.int64)
+    part_of, cell_of = spread >> np.uint64(34), spread & np.uint64(0x3FFFFFFF)
     for band in similarity.bands(len(elements)):
         n1, n2, spare, kept = layout(similarity.differing(band))
-        at = part_of % n1 * n2 + cell_of % n2
-        order = np.argsort(at, kind="stable")
-        ends = np.searchsorted(at[order], np.arange(n1 * n2 + 1))
-        run = np.concatenate([np.zeros(1, np.uint64), np.cumsum(value[order], dtype=np.uint64)])
-        sums = (run[ends[1:]] - run[ends[:-1]]).reshape(n1, n2) @ kept.astype(np.uint64)
-        counts = np.diff(ends).reshape(n1, n2) @ kept
+        # Numbers of 30 bits, scaled to the parts and to their cells.
+        part, cell = (part_of * np.uint64(n1)) >> np.uint64(30), (cell_of * np.uint64(n2)) >> np.uint64(30)
+        at = (part * np.uint64(n2) + cell).astype(np.int64)
+        cells = np.zeros(n1 * n2, np.uint64)
+        np.add.at(cells, at, value)
+        sums = cells.reshape(n1, n2) @ kept.astype(np.uint64)
+        counts = np.bincount(at, minlength=n1 * n2).reshape(n1, n2) @ kept
         full = counts > 0
         place = np.arange(sums.size, dtype=np.uint64).reshape(sums.shape) + np.uint64(band << 40) + np.uint64(seed << 56)
         signed = mixed(sums + mixed(place))
@@ -117,14 +118,9 @@ def signatures(elements: np.ndarray, similarity: Similarity, seed: int = 0) -> n
 
 
 def sketch(elements: np.ndarray) -> bytes:
-    """How many elements fall into each of ``SKETCH_CELLS`` cells."""
-    return np.bincount((mixed(elements) % np.uint64(SKETCH_CELLS)).astype(np.int64), minlength=SKETCH_CELLS).astype("<u4").tobytes()
-
-
-def could_be_similar(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
-    """Whether sets with these rows of counts can be: no cell has more in common than the smaller count."""
-    common = np.minimum(a, b).sum(1)
-    return 100 * common >= percent * (a.sum(1) + b.sum(1) - common)
+    """For each of ``SKETCH_BITS`` cells, whether an odd number of elements falls into it."""
+    cells = (mixed(elements) % np.uint64(SKETCH_BITS)).astype(np.int64)
+    return np.packbits((np.bincount(cells, minlength=SKETCH_BITS) & 1).astype(bool)).tobytes()
 
 
 def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -135,6 +131,17 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * common >= percent * (len(a) + len(b) - common)
 
 
+def could_be_similar(a: np.ndarray, b: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets with these rows of bits and sums of sizes can be similar.
+
+    Each bit that differs takes an element that only one of the sets has, so the
+    sets differ in at least as many elements as bits.
+    """
+    differing = np.bitwise_count(a ^ b).sum(1, dtype=np.int64)
+    common = (sizes - differing) // 2
+    return 100 * common >= percent * (sizes - common)
+
+
 def shingle_sets(docs: DataFrame) -> DataFrame:
     """``(id, elements)`` of ``(id, text)``: the whole text's set, as numbers of 64 bits; texts without words are left out."""
 
@@ -229,32 +236,41 @@ def shared(sigs: DataFrame) -> DataFrame:
 def verified(pairs: DataFrame, docs: DataFrame, about: DataFrame, percent: int) -> DataFrame:
     """The distinct ``(a, b)`` of similar sets.
 
-    Counts by cell, which move first, leave few pairs of unlike sets; then only the
-    texts of what is left move, and sets are compared whole.
+    Sketches, which move first, leave few pairs of unlike sets; then only the texts
+    of what is left move, and sets are compared whole.
     """
     kind = dict(pairs.dtypes)["a"]
-    counts = about.select("id", "sketch")
 
     def can_be(batches):
         for batch in batches:
-            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u4").reshape(-1, SKETCH_CELLS) for c in ("left", "right"))
-            yield batch.select(["a", "b"]).filter(pa.array(could_be_similar(a.astype(np.int64), b, percent)))
+            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, SKETCH_BITS // 8) for c in ("left", "right"))
+            yield batch.select(["a", "b", "equal"]).filter(pa.array(could_be_similar(a, b, batch.column("sizes").to_numpy(), percent)))
 
     def are(batches):
+        known, held, center = Memo(word_hash), None, None
         for batch in batches:
-            keep = [similar(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent)
-                    for x, y in zip(batch.column("left").to_pylist(), batch.column("right").to_pylist())]
+            keep = []
+            for name, left, right in zip(*(batch.column(c).to_pylist() for c in ("a", "left", "right"))):
+                if held != (name, left):
+                    held, center = (name, left), shingles(left.lower().split(), known)
+                keep.append(similar(center, shingles(right.lower().split(), known), percent))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    def beside(rows, columns, values):
-        left = columns.select(F.col("id").alias("a"), F.col(values).alias("left"))
-        right = columns.select(F.col("id").alias("b"), F.col(values).alias("right"))
-        return rows.join(left, "a").join(right, "b").select("a", "b", "left", "right")
-
-    likely = settled(beside(pairs.select("a", "b").distinct(), counts, "sketch").mapInArrow(can_be, f"a {kind}, b {kind}").distinct())
-    wanted = likely.select(F.col("a").alias("id")).unionByName(likely.select(F.col("b").alias("id"))).distinct()
-    sets = shingle_sets(docs.join(wanted, "id", "left_semi"))
-    return beside(likely, sets, "elements").mapInArrow(are, f"a {kind}, b {kind}").distinct()
+    left, right = (
+        about.select(F.col("id").alias(x), F.col("sketch").alias(side), F.col("n_shingles").alias(f"n_{x}"), F.col("hash").alias(f"hash_{x}"))
+        for x, side in (("a", "left"), ("b", "right"))
+    )
+    fits = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
+    counted = pairs.select("a", "b").distinct().join(left, "a").join(right, "b").filter(fits).select(
+        "a", "b", "left", "right", (F.col("n_a") + F.col("n_b")).alias("sizes"), (F.col("hash_a") == F.col("hash_b")).alias("equal")
+    )
+    likely = settled(counted.mapInArrow(can_be, f"a {kind}, b {kind}, equal boolean").distinct())
+    equal, other = likely.filter("equal").select("a", "b"), likely.filter("NOT equal").select("a", "b")
+    first, second = settled(other.select("a").distinct()), settled(other.select("b").distinct())
+    lefts = narrowed(docs.withColumnRenamed("id", "a"), first, "a").select("a", F.col("text").alias("left"))
+    rights = narrowed(docs.withColumnRenamed("id", "b"), second, "b").select("b", F.col("text").alias("right"))
+    both = other.join(rights, "b").join(lefts, "a").select("a", "b", "left", "right")
+    return both.mapInArrow(are, f"a {kind}, b {kind}").unionByName(equal).distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -312,7 +328,7 @@ def links(docs: DataFrame, about: DataFrame, similarity: Similarity) -> DataFram
     pool = rest.filter(F.col("open") <= OPEN_PAIRS).select("sig", F.lit(0).cast("long").alias("sig2"), "id", "root")
     many = rest.filter(F.col("open") > OPEN_PAIRS).select("sig", "id", "root")
     if not many.isEmpty():
-        again = signed(shingle_sets(docs.join(many.select("id").distinct(), "id", "left_semi")), similarity, seed=1)
+        again = signed(shingle_sets(narrowed(docs, settled(many.select("id").distinct()), "id")), similarity, seed=1)
         pool = pool.unionByName(many.join(again.withColumnRenamed("sig", "sig2"), "id").select("sig", "sig2", "id", "root"))
     one = pool.select("sig", "sig2", F.col("id").alias("a"), F.col("root").alias("root_a"))
     two = pool.select("sig", "sig2", F.col("id").alias("b"), F.col("root").alias("root_b"))
