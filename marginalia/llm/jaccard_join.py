@@ -304,18 +304,19 @@ def components(links: DataFrame) -> DataFrame:
 def links(docs: DataFrame, about: DataFrame, similarity: Similarity) -> DataFrame:
     """``(id, root)`` of the ids of ``docs`` ``(id, text)`` that are linked with another.
 
-    First each set is compared with the smallest id of each signature it shares and
-    with the one before it, which is linear in the signatures, and the links found
-    are joined into components: a group of near copies, however large, is one then.
+    First each set is compared with one other, the smallest id of most of the
+    signatures it shares, and the links found are joined into components: most of a
+    group of near copies, however large, is one then.
     What is left are pairs of one signature but of different components. Each of
     them is compared too, so no link is lost; where a signature has many, both
     sides must also share a signature of a second, independent deal.
     """
     percent = similarity.percent
     buckets = settled(shared(signed(shingle_sets(docs), similarity)))
-    near = buckets.select(F.col("low").alias("a"), F.col("id").alias("b")).unionByName(
-        buckets.select(F.col("before").alias("a"), F.col("id").alias("b"))
-    ).filter("a < b").distinct()
+    # Of the smallest ids that a set shares a signature with, the one it shares most with.
+    near = buckets.filter("low < id").groupBy("low", "id").agg(F.count("*").alias("n")).groupBy("id").agg(
+        F.max_by("low", F.struct("n", -F.col("low"))).alias("a")
+    ).select("a", F.col("id").alias("b"))
     found = settled(verified(near, docs, about, percent))
     roots = settled(components(found))
     placed = buckets.select("sig", "id").join(roots, "id", "left").select("sig", "id", F.coalesce("root", "id").alias("root"))
@@ -333,7 +334,7 @@ def links(docs: DataFrame, about: DataFrame, similarity: Similarity) -> DataFram
     one = pool.select("sig", "sig2", F.col("id").alias("a"), F.col("root").alias("root_a"))
     two = pool.select("sig", "sig2", F.col("id").alias("b"), F.col("root").alias("root_b"))
     pairs = one.join(two, ["sig", "sig2"]).filter("a < b AND root_a <> root_b").select("a", "b").distinct()
-    more = settled(verified(pairs.join(near, ["a", "b"], "left_anti"), docs, about, percent))
+    more = settled(verified(pairs, docs, about, percent))
     return roots if more.isEmpty() else settled(components(found.unionByName(more)))
 
 
