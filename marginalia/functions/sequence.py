@@ -1,6 +1,6 @@
 """Ordered-sequence work inside one row, on array columns.
 
-A document is one row, so what the reference does by walking a list can be done
+A document is one row, so what the operators does by walking a list can be done
 on an array column of that row: no shuffle, no sort, no window.  All functions
 are linear in the array length up to a square-root factor in ``running_total``.
 """

@@ -34,7 +34,10 @@ def _with_carry(df: DataFrame, key: str, summary: Column, carry) -> DataFrame:
     summaries = df.groupBy(key, "_chunk").agg(summary.alias("_summary"))
     over_chunks = Window.partitionBy(key).orderBy("_chunk")
     carried = summaries.select(key, "_chunk", carry(F.col("_summary"), over_chunks).alias("_carry"))
-    return df.join(carried, [key, "_chunk"])
+    # A null key or chunk is a key like any other: its rows stay.
+    carried = carried.withColumnsRenamed({key: "_key", "_chunk": "_part"})
+    same = df[key].eqNullSafe(carried["_key"]) & df["_chunk"].eqNullSafe(carried["_part"])
+    return df.join(carried, same).drop("_key", "_part")
 
 
 def running_sum(

@@ -200,11 +200,14 @@ def tag_sequences(
     """Label every document with a sequence model, one document = one sequence.
 
     The tagger gets the sequence (a list of tokens, or of feature rows as dicts)
-    and gives one label per element.
+    and gives one label per element; any other number is an error of the document.
     """
 
     def labels(tagger, values: list) -> list[str]:
-        return [str(label) for label in tagger(values)]
+        found = [str(label) for label in tagger(values)]
+        if len(found) != len(values):
+            raise ValueError(f"{len(found)} labels for {len(values)} elements")
+        return found
 
     return _annotate(df, open_tagger, sequence, labels, out, "array<string>")
 

@@ -12,7 +12,7 @@ from marginalia.operators.text import explode_rows
 LOG_LINES = 2  # fixed value: lines a tagger prints before its labels
 
 
-def _path():
+def stored_path():
     """The file's path as it is stored (the metadata column is URL-encoded)."""
     return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
 
@@ -34,7 +34,7 @@ def whole_files(
         folder, wholetext=True, pathGlobFilter=f"*{suffix}", recursiveFileLookup=recursive
     )
     make_id = ky.short_id if short_ids else ky.document_id
-    named = files.select(_path().alias("path"), F.col("value").alias("text"))
+    named = files.select(stored_path().alias("path"), F.col("value").alias("text"))
     return named.select(make_id(F.col("path")).alias("doc_id"), "path", "text")
 
 

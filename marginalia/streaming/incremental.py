@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from marginalia.functions.keys import document_id
+from marginalia.sources.files import stored_path
 
 
 def arriving_documents(
@@ -21,7 +22,7 @@ def arriving_documents(
     """``(doc_id, text)`` of whole files as they appear in the folder."""
     reader = spark.readStream.option("maxFilesPerTrigger", files_per_batch)
     files = reader.text(folder, wholetext=True, pathGlobFilter=f"*{suffix}")
-    return files.select(document_id(F.col("_metadata.file_path")).alias("doc_id"), F.col("value").alias("text"))
+    return files.select(document_id(stored_path()).alias("doc_id"), F.col("value").alias("text"))
 
 
 def annotate_arrivals(

@@ -134,3 +134,18 @@ def test_dense_index_over_many_partitions(spark):
 
 def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_of_a_null_key_stay(spark):
+    from marginalia.operators import sequences as sq
+
+    rows = spark.createDataFrame([(None, 0, "a"), ("x", 0, "b"), ("x", 1, "cc")], "doc_id string, pos int, token string")
+    assert sq.token_offsets(rows).count() == 3
+
+
+def test_a_wrong_number_of_labels_is_an_error(spark):
+    from marginalia.operators.tagging import tag_sequences
+
+    docs = spark.createDataFrame([("d", ["a", "b"])], "doc_id string, tokens array<string>")
+    row = tag_sequences(docs, lambda: lambda tokens: ["O"]).first()
+    assert row["status"] == "error" and row["labels"] is None and "1 labels for 2" in row["error"]
