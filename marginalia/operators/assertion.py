@@ -21,9 +21,9 @@ NEGATED = "negated"
 AFFIRMED = "affirmed"
 REACH = 5  # tokens between a cue and the entity it can reach
 KINDS = ("pre", "post", "pseudo", "term")
-MAX_CUES = 2_000  # cues become part of the plan; a cue list is a small parameter
 
-Cues = list[tuple[str, str]]
+# Pairs (cue, kind), or a table of those two columns: a dictionary, which becomes part of the plan.
+Cues = list[tuple[str, str]] | DataFrame
 
 
 def scope_tokens(text: Column) -> Column:
@@ -66,10 +66,8 @@ def scope_tokens(text: Column) -> Column:
 
 def _by_words(cues: Cues) -> dict[int, dict[str, str]]:
     """Cues by number of words: normalised phrase to kind."""
-    if len(cues) > MAX_CUES:
-        raise ValueError(f"{len(cues)} cues; at most {MAX_CUES} fit in a plan")
     table: dict[int, dict[str, str]] = defaultdict(dict)
-    for cue, kind in cues:
+    for cue, kind in cues.select("cue", "kind").toLocalIterator() if isinstance(cues, DataFrame) else cues:
         if kind not in KINDS:
             raise ValueError(f"unknown cue kind {kind!r}")
         words = cue.lower().split()
@@ -85,7 +83,15 @@ def find_cues(tokens: Column, cues: Cues) -> Column:
     table = _by_words(cues)
     openers = sorted({phrase.split()[0] for phrases in table.values() for phrase in phrases})
     lengths = sorted(table, reverse=True)
-    kind_of = F.create_map(*[F.lit(x) for n in lengths for pair in sorted(table[n].items()) for x in pair])
+
+    def kind_of(phrase: Column) -> Column:
+        """One hashed set per kind, so the time of a lookup does not grow with the list."""
+        chain = F.lit(None).cast("string")
+        for kind in KINDS:
+            of_kind = sorted(p for phrases in table.values() for p, k in phrases.items() if k == kind)
+            if of_kind:
+                chain = F.when(phrase.isin(of_kind), F.lit(kind)).otherwise(chain)
+        return chain
 
     def match(tk: Column, t: Column, i: Column) -> Column:
         """Words of the longest cue that starts at token ``i``."""
@@ -108,7 +114,7 @@ def find_cues(tokens: Column, cues: Cues) -> Column:
         return F.struct(
             i.alias("first"),
             (i + n - 1).alias("last"),
-            kind_of[phrase].alias("kind"),
+            kind_of(phrase).alias("kind"),
             phrase.alias("cue"),
             first["sent_id"].alias("sent_id"),
             first["start"].alias("start"),

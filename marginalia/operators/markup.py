@@ -33,28 +33,58 @@ def _elements(markup: Column, tag: str) -> Column:
     )
 
 
+def _rewritten(c: Column, pattern: str, change) -> Column:
+    """Every match of the pattern replaced by ``change(match)``, in one pass from left to right."""
+
+    def joined(pieces: Column, found: Column) -> Column:
+        parts = F.transform(
+            pieces, lambda p, i: F.concat(p, F.coalesce(change(F.get(found, i)), F.lit("")))
+        )
+        return F.array_join(parts, "")
+
+    return let(
+        F.split(c, pattern, -1),
+        lambda pieces: let(
+            F.regexp_extract_all(c, F.lit(pattern), F.lit(0)), lambda found: joined(pieces, found)
+        ),
+    )
+
+
 def unescape(c: Column) -> Column:
-    """Character references to characters, ``&amp;`` last."""
+    """Character references to characters, each decoded once."""
 
-    def one(text: Column, ref: Column) -> Column:
+    def decoded(ref: Column) -> Column:
         hexed = F.substring(ref, 3, 1).isin("x", "X")
-        digits = F.regexp_extract(ref, "[0-9A-Fa-f]+", 0)
-        code = F.when(hexed, F.conv(digits, 16, 10)).otherwise(digits).cast("long")
+        digits = F.regexp_extract(ref, "^&#[xX]?0*([0-9A-Fa-f]*);$", 1)
+        known = F.length(digits) <= 7  # no character has a longer number, leading zeros apart
+        code = F.when(known, F.when(hexed, F.conv(digits, 16, 10)).otherwise(digits).try_cast("long"))
         valid = (code > 0) & (code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
         char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
-        return F.when(valid, F.replace(text, ref, char)).otherwise(text)
+        named = F.when(ref == "&lt;", "<").when(ref == "&gt;", ">").when(ref == "&quot;", '"')
+        named = named.when(ref == "&apos;", "'").when(ref == "&amp;", "&")
+        return F.when(~ref.startswith("&#"), named).otherwise(F.when(valid, char).otherwise(ref))
 
-    numeric = F.aggregate(
-        F.array_distinct(
-            F.regexp_extract_all(c, F.lit(r"&#(?:[xX][0-9A-Fa-f]{1,6}|[0-9]{1,7});"), F.lit(0))
-        ),
-        c,
-        one,
-    )
-    text = F.when(c.contains("&#"), numeric).otherwise(c)
-    for name, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")):
-        text = F.replace(text, F.lit(name), F.lit(char))
-    return text
+    references = r"&(?:#[xX][0-9A-Fa-f]+|#[0-9]+|lt|gt|quot|apos|amp);"
+    return F.when(c.contains("&"), _rewritten(c, references, decoded)).otherwise(c)
+
+
+def plain_markup(markup: Column, skip: tuple[str, ...] = ()) -> Column:
+    """Markup without comments and the elements to skip; CDATA sections become escaped text.
+
+    Whatever begins first counts: a comment in a skipped element is part of it, and the reverse.
+    """
+    skipped = "".join(rf"|<{tag}(?:\s[^>]*)?>.*?</{tag}\s*>" for tag in skip)
+    pattern = rf"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>{skipped}"
+
+    def text(found: Column) -> Column:
+        inner = F.substring(found, F.lit(10), F.length(found) - 12)
+        for char, ref in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):
+            inner = F.replace(inner, F.lit(char), F.lit(ref))
+        return F.when(found.startswith("<![CDATA["), inner).otherwise(F.lit(""))
+
+    if skip:
+        return _rewritten(markup, pattern, text)
+    return F.when(markup.contains("<!"), _rewritten(markup, pattern, text)).otherwise(markup)
 
 
 def attribute_words(word_tag: str, attribute: str):
@@ -83,13 +113,12 @@ def pages(
 ) -> Column:
     """``array<array<string>>``: the line texts of every page.
 
-    ``skip`` names elements (scripts, styles) removed with their content first.
+    ``skip`` names elements (scripts, styles) removed with their content first,
+    together with comments.
     """
     content = content or attribute_words("String", "CONTENT")
-    for tag in skip:
-        markup = F.regexp_replace(markup, rf"(?s)<{tag}(?:\s[^>]*)?>.*?</{tag}\s*>", "")
     return F.transform(
-        _elements(markup, page),
+        _elements(plain_markup(markup, skip), page),
         lambda p: F.transform(_elements(p, line), lambda x: unescape(content(x))),
     )
 

@@ -22,7 +22,7 @@ from marginalia.operators import sequences as sq
 from marginalia.operators import tagging as tg
 from marginalia.operators import text as ot
 from marginalia.plans import jobs
-from marginalia.sinks.files import entity_json
+from marginalia.sinks.files import OK, entity_json, with_outcome
 from marginalia.sources.tables import partition_floor, read_table
 
 # The page tables use other element names than the default markup.
@@ -343,6 +343,13 @@ def failed_taggings(spark, folder):
     return result.select("doc_id", "status", "error")
 
 
+def pending_after_failures(spark, folder):
+    """Documents that are still to do after a run whose tagger failed on some."""
+    docs = documents(spark, folder)
+    done = with_outcome(jobs.token_job(docs, open_picky_tagger)).filter(F.col("status") == OK)
+    return metrics.pending_documents(docs.select("doc_id"), done)
+
+
 def urls(spark, folder):
     return read_table(spark, folder, "pages", "page_id", "url")
 
@@ -428,8 +435,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         bio_entity_rows, entity_arrays, run_entities, blank_rule, role_runs, event_runs, turn_sections,
         event_sections, sentence_offsets, section_carry, entity_trim, page_entities, in_lexicon, lemma_lookup,
         stem_vocab, stem_function, feature_table, feature_lines, cue_spans, assertions, entity_records,
-        user_sequence_tagger, user_sentence_model, failed_taggings, key_filter, key_prefix, doc_key, batches,
-        pending_docs, run_summary, output_count, align_diagnostics, failed_docs, processed_keys,
+        user_sequence_tagger, user_sentence_model, failed_taggings, pending_after_failures, key_filter, key_prefix,
+        doc_key, batches, pending_docs, run_summary, output_count, align_diagnostics, failed_docs, processed_keys,
     ):
         catalog[query.__name__] = query
     return catalog

@@ -60,7 +60,7 @@ def sentence_job(
         sp.trim_entity_text(F.col("entities")), lambda es: sp.drop_empty_entities(sp.carry_sections(es))
     )
     result = raw.withColumn("entities", finished)
-    if cues:
+    if cues is not None:
         result = asr.assert_entities(result, cues, text=text)
     return result.drop(text)
 

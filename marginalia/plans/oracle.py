@@ -410,6 +410,8 @@ def oracle_sql() -> dict[str, str]:
             SELECT d.doc_id, CASE WHEN b.doc_id IS NULL THEN 'ok' ELSE 'error' END AS status,
               CASE WHEN b.doc_id IS NOT NULL THEN 'ValueError: numbers are not supported' END AS error
             FROM documents d LEFT JOIN bad b USING (doc_id)""",
+        "pending_after_failures": f"""WITH {TOK}
+            SELECT DISTINCT doc_id FROM atok WHERE regexp_matches(t, '^[0-9]+$')""",
         "key_filter": "SELECT page_id, url FROM pages WHERE url LIKE '%.html'",
         "key_prefix": "SELECT page_id, url FROM pages WHERE starts_with(url, 'https://') AND url > 'https://m'",
         "doc_key": r"""WITH b AS (SELECT page_id, string_split(url, '/')[-1] AS base FROM pages)

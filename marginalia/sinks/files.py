@@ -10,6 +10,7 @@ from marginalia.operators.features import feature_line
 from marginalia.operators.metrics import pending_documents
 
 RECORD_OPTIONS = {"ignoreNullFields": "false"}  # a missing section is written as null
+OK = "ok"  # the status of a document that was annotated
 
 
 def entity_json(entities: Column) -> Column:
@@ -34,28 +35,57 @@ def write_json(
         df.select(doc, entities).write.mode(mode).option("ignoreNullFields", "false").json(folder)
 
 
-def written_documents(spark: SparkSession, folder: str, *, doc: str = "doc_id", kind: str = "string") -> DataFrame:
-    """Ids in a JSON-lines dataset; no rows where nothing was written yet."""
+def with_outcome(df: DataFrame, *, doc: str = "doc_id", entities: str = "entities") -> DataFrame:
+    """``(doc, entities, error, status)``; rows of a job without a user's model are ``ok``.
+
+    A document whose model failed has null entities, never an empty array.
+    """
+    status = F.col("status") if "status" in df.columns else F.lit(OK)
+    error = F.col("error") if "error" in df.columns else F.lit(None).cast("string")
+    kept = F.when(status == OK, F.col(entities))
+    return df.select(doc, kept.alias(entities), error.alias("error"), status.alias("status"))
+
+
+def _outcomes(spark: SparkSession, folder: str, columns: str) -> DataFrame:
+    """Named columns of what ``write_pending`` wrote; no rows where nothing was written yet."""
     try:
-        return spark.read.schema(f"{doc} {kind}").json(folder).select(doc)
+        return spark.read.schema(columns).parquet(folder)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], f"{doc} {kind}")
+        return spark.createDataFrame([], columns)
+
+
+def written_documents(spark: SparkSession, folder: str, *, doc: str = "doc_id", kind: str = "string") -> DataFrame:
+    """Ids of the finished documents; failed ones are not finished."""
+    return _outcomes(spark, folder, f"{doc} {kind}, status string").filter(F.col("status") == OK).select(doc)
+
+
+def open_failures(
+    spark: SparkSession, folder: str, *, doc: str = "doc_id", kind: str = "string"
+) -> DataFrame:
+    """``(doc, error)`` of every failed attempt at a document that no later run has finished."""
+    failed = _outcomes(spark, folder, f"{doc} {kind}, error string, status string").filter(F.col("status") != OK)
+    done = written_documents(spark, folder, doc=doc, kind=kind)
+    return pending_documents(failed.select(doc, "error"), done, doc=doc)
 
 
 def write_pending(
     docs: DataFrame, annotate, folder: str, *, doc: str = "doc_id", entities: str = "entities"
 ) -> None:
-    """Annotate and append only documents that are not in the output yet.
+    """Annotate and append only documents that are not finished yet.
 
-    ``annotate`` maps document rows to rows with an entity array.  The check
-    comes before the work, so a second run reads ids only and writes nothing.
+    ``annotate`` maps document rows to rows with an entity array.  The output is
+    one Parquet dataset divided by ``status``: a run is written in one pass and
+    one commit, and the next run reads the id column of ``status=ok`` alone.
+    Failed documents are kept with their error under ``status=error`` and tried
+    again by the next run.  ``write_json`` turns the finished ones into records.
     """
     kind = dict(docs.dtypes)[doc]
     done = written_documents(docs.sparkSession, folder, doc=doc, kind=kind)
     todo = pending_documents(docs, done, doc=doc)
-    write_json(annotate(todo), folder, doc=doc, entities=entities, mode="append")
+    outcome = with_outcome(annotate(todo), doc=doc, entities=entities)
+    outcome.write.mode("append").partitionBy("status").parquet(folder)
 
 
 def write_feature_lines(

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+from urllib.parse import unquote, urlsplit
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from marginalia.functions import keys as ky
 from marginalia.functions.text import text_lines
@@ -17,25 +21,58 @@ def stored_path():
     return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
 
 
+def _listed(spark: SparkSession, named: DataFrame, scanned: DataFrame) -> DataFrame:
+    """``(path, length, modified)`` of all files, those of zero length included.
+
+    The names come from the listing that Spark's reader keeps on the driver
+    anyway; names only are joined, and no content is read.
+    """
+    paths = [[unquote(urlsplit(uri).path), uri] for uri in named.inputFiles()]
+    names = spark.createDataFrame(paths, "bare string, uri string")
+    bare = F.regexp_replace(F.col("path"), "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
+    found = scanned.select(bare.alias("bare"), F.col("path").alias("found"), "length", "modificationTime")
+    path = F.coalesce("found", F.url_decode(F.replace("uri", F.lit("+"), F.lit("%2B"))))
+    return names.join(found, "bare", "left").select(
+        path.alias("path"), F.coalesce("length", F.lit(0).cast("long")).alias("length"),
+        F.col("modificationTime").alias("modified"),
+    )
+
+
+def _below(folder: str, path: Column) -> Column:
+    """The part of a path below the folder: it ends in root + key, whatever form its scheme has."""
+    return F.substring_index(path, folder.split("://", 1)[-1].rstrip("/") + "/", -1)
+
+
+def _literal(prefix: str) -> str:
+    """A prefix with the characters that a path pattern would read as its own escaped."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", prefix)
+
+
 def whole_files(
     spark: SparkSession, folder: str, *, suffix: str, recursive: bool = False, min_partitions: int | None = None,
-    short_ids: bool = False,
+    short_ids: bool = False, keep_empty: bool = True,
 ) -> DataFrame:
     """``(doc_id, path, text)``, one row per file with this suffix.
 
-    Spark's file scans pass over files of zero length; they give no row.
+    Spark's scans pass over files of zero length; they are taken from the
+    listing and give empty documents (``keep_empty=False``: no row).  With ``recursive``, an id is the path
+    below the folder, so that equal names in two folders stay apart.
 
     ``min_partitions`` sets the session's ``spark.sql.files.minPartitionNum``:
     the scan itself is then split finer, and nothing is shuffled.
     """
     if min_partitions:
         spark.conf.set("spark.sql.files.minPartitionNum", str(min_partitions))
-    files = spark.read.text(
-        folder, wholetext=True, pathGlobFilter=f"*{suffix}", recursiveFileLookup=recursive
-    )
-    make_id = ky.short_id if short_ids else ky.document_id
+    options = {"pathGlobFilter": f"*{suffix}", "recursiveFileLookup": recursive}
+    files = spark.read.text(folder, wholetext=True, **options)
     named = files.select(stored_path().alias("path"), F.col("value").alias("text"))
-    return named.select(make_id(F.col("path")).alias("doc_id"), "path", "text")
+    if keep_empty:
+        listed = _listed(spark, files, spark.read.format("binaryFile").options(**options).load(folder))
+        named = named.unionByName(listed.filter("length = 0").select("path", F.lit("").alias("text")))
+    make_id = ky.short_id if short_ids else ky.document_id
+    key = _below(folder, F.col("path")) if recursive else F.col("path")
+    parent = F.regexp_extract(key, "^(.*/)?[^/]*$", 1) if recursive else F.lit("")
+    return named.select(F.concat(parent, make_id(key)).alias("doc_id"), "path", "text")
 
 
 def text_documents(spark: SparkSession, folder: str, **options) -> DataFrame:
@@ -54,13 +91,18 @@ def list_keys(
     """``(key, length, modified)`` of the files under a folder; contents are not read.
 
     Keys are relative to the folder; ``prefix`` and ``start_after`` act on them.
+    The prefix is part of the listed path: folders that it rules out are not
+    entered.  A file of zero length has a key and no time.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
-    root = folder.split("://", 1)[-1].rstrip("/") + "/"
-    # The path ends in root + key, whatever form its scheme has.
-    key = F.substring_index("path", root, -1)
-    keys = files.select(
-        key.alias("key"), "length", F.col("modificationTime").alias("modified")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    try:
+        files = files.load(f"{folder.rstrip('/')}/{_literal(prefix)}*" if prefix else folder)
+    except AnalysisException as missing:
+        if not prefix or missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "key string, length bigint, modified timestamp")
+    keys = _listed(spark, files, files).select(
+        _below(folder, F.col("path")).alias("key"), "length", "modified"
     )
     return keys.filter(ky.listed_after(F.col("key"), prefix, start_after) & ky.has_suffix(F.col("key"), suffix))
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from marginalia.functions.keys import document_id
+from marginalia.sinks.files import with_outcome
 from marginalia.sources.files import stored_path
 
 
@@ -28,7 +29,12 @@ def arriving_documents(
 def annotate_arrivals(
     docs: DataFrame, job: Callable[[DataFrame], DataFrame], out: str, *, checkpoint: str
 ) -> StreamingQuery:
-    """Annotate what has arrived since the last run, append it, and stop."""
-    annotated = job(docs).select("doc_id", "entities")
-    writer = annotated.writeStream.format("json").option("ignoreNullFields", "false")
+    """Annotate what has arrived since the last run, append it, and stop.
+
+    Records are divided by ``status``.  A file is presented once, so documents
+    under ``status=error`` are to be tried again by ``write_pending``, into a
+    folder of its own.
+    """
+    annotated = with_outcome(job(docs))
+    writer = annotated.writeStream.format("json").option("ignoreNullFields", "false").partitionBy("status")
     return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start(out)

@@ -44,10 +44,14 @@ def test_text_and_markup_documents(spark, corpus):
 def test_partition_floor_without_shuffle(spark, corpus):
     before = spark.conf.get("spark.sql.files.minPartitionNum", None)
     try:
-        docs = source.text_documents(spark, corpus, min_partitions=3)
+        docs = source.text_documents(spark, corpus, min_partitions=3, keep_empty=False)
         assert docs.rdd.getNumPartitions() <= 3
         assert spark.conf.get("spark.sql.files.minPartitionNum") == "3"
         assert "Exchange" not in docs._jdf.queryExecution().executedPlan().toString()
+        # Only the names of files of zero length are joined; the texts stay where they are.
+        docs = source.text_documents(spark, corpus)
+        before_scan = docs._jdf.queryExecution().executedPlan().toString().split("FileScan text")
+        assert len(before_scan) == 2 and "Exchange" not in before_scan[0]
     finally:
         if before is None:
             spark.conf.unset("spark.sql.files.minPartitionNum")
@@ -60,6 +64,24 @@ def test_list_keys(spark, corpus):
         "b c+d%.txt", "blank.txt",
     ]
     assert metrics.count_outputs(keys, "x").first()["outputs"] == 1
+    assert [r["key"] for r in source.list_keys(spark, corpus, prefix="b").orderBy("key").collect()] == ["b c+d%.txt", "blank.txt"]
+    assert source.list_keys(spark, corpus, prefix="[a]").count() == 0
+
+
+def test_files_of_zero_length_and_equal_names(spark, tmp_path):
+    for name, text in (("a/1.txt", "Mr One"), ("b/1.txt", "Mr Two"), ("b/é +%.txt", ""), ("c/x.y.txt", "")):
+        path = tmp_path / "in" / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text(text)
+    folder = str(tmp_path / "in")
+    docs = {r["doc_id"]: r["text"] for r in source.text_documents(spark, folder, recursive=True).collect()}
+    assert docs == {"a/1": "Mr One", "b/1": "Mr Two", "b/é +%": "", "c/x.y": ""}
+    flat = {r["doc_id"]: r["text"] for r in source.text_documents(spark, folder + "/b").collect()}
+    assert flat == {"1": "Mr Two", "é +%": ""}
+    keys = {r["key"]: r["length"] for r in source.list_keys(spark, folder).collect()}
+    assert keys == {"a/1.txt": 6, "b/1.txt": 6, "b/é +%.txt": 0, "c/x.y.txt": 0}
+    listing = source.list_keys(spark, folder, prefix="b/")
+    assert {r["key"] for r in listing.collect()} == {"b/1.txt", "b/é +%.txt"}
 
 
 def test_feature_lines_and_labels_round_trip(spark, tmp_path):
@@ -115,6 +137,55 @@ def test_incremental_write_is_idempotent(spark, corpus, tmp_path):
         assert sorted(r["doc_id"] for r in sink.written_documents(spark, out).collect()) == ["a.1", "b c+d%", "blank"]
 
 
+def test_failed_documents_are_kept_and_tried_again(spark, tmp_path):
+    docs = spark.createDataFrame([("a", "Mr One"), ("b", "bad"), ("c", "short"), ("d", "")], "doc_id string, text string")
+    out = str(tmp_path / "out")
+
+    def job(healthy):
+        def open_tagger():
+            def tag(tokens):
+                if not healthy and "bad" in tokens:
+                    raise RuntimeError("cannot")
+                return [] if not healthy and "short" in tokens else ["B-X"] * len(tokens)
+
+            return tag
+
+        return lambda d: jobs.token_job(d, open_tagger)
+
+    def finished():
+        return sorted(r["doc_id"] for r in sink.written_documents(spark, out).collect())
+
+    assert sink.open_failures(spark, out).count() == 0
+    sink.write_pending(docs, job(False), out)
+    assert finished() == ["a", "d"]
+    failures = {r["doc_id"]: r["error"] for r in sink.open_failures(spark, out).collect()}
+    assert failures == {"b": "RuntimeError: cannot", "c": "ValueError: 0 labels for 1 elements"}
+    for _ in range(2):
+        sink.write_pending(docs, job(True), out)
+        assert finished() == ["a", "b", "c", "d"]
+        assert sink.open_failures(spark, out).count() == 0
+    rows = spark.read.parquet(out).filter("doc_id = 'b'").collect()
+    assert sorted((r["status"], r["entities"] is None) for r in rows) == [("error", True), ("ok", False)]
+
+
+def test_stream_keeps_failures_apart(spark, tmp_path):
+    folder, out = tmp_path / "in", str(tmp_path / "out")
+    folder.mkdir()
+    (folder / "b c.txt").write_text("good")
+    (folder / "x.txt").write_text("bad")
+
+    def open_tagger():
+        def tag(tokens):
+            return [] if "bad" in tokens else ["O"] * len(tokens)
+
+        return tag
+
+    docs = arriving_documents(spark, str(folder))
+    job = lambda d: jobs.token_job(d, open_tagger)
+    annotate_arrivals(docs, job, out, checkpoint=str(tmp_path / "check")).awaitTermination()
+    assert {(r["doc_id"], r["status"]) for r in spark.read.json(out).collect()} == {("b c", "ok"), ("x", "error")}
+
+
 def test_run_table_grows(spark, tmp_path):
     out = str(tmp_path / "runs")
     for n in (3, 4):

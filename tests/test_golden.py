@@ -76,6 +76,23 @@ def test_markup_variants(spark, value):
     counts = {r["doc_id"]: (r["pages"], r["lines"]) for r in mk.page_counts(docs).collect()}
     assert counts[2] == (0, 0)
     assert value(mk.unescape(F.lit("&#0;&#xD800;&#x10FFFF;"))) == "&#0;&#xD800;\U0010ffff"
+    assert value(mk.unescape(F.lit("&#38;lt;&amp;#65;&#x0000041;&#00000065;&#x110000;&#99999999999;&zz;&"))) == (
+        "&lt;&#65;AA&#x110000;&#99999999999;&zz;&"
+    )
+
+
+def test_comments_and_cdata(spark):
+    rows = [
+        ("<Page><!-- <Page><L>no</L> --><L>a<!-- x > y -->b</L></Page>", ["ab"]),
+        ("<Page><L><![CDATA[<i> & &lt; <!-- kept -->]]></L></Page>", ["<i> & &lt; <!-- kept -->"]),
+        ("<Page><!-- <![CDATA[ --><L>x</L><!-- open </Page>", ["x"]),
+        ("<Page><s>a <!-- b</s><L>y</L></Page>", ["y"]),
+    ]
+    for text, expected in rows:
+        docs = spark.createDataFrame([(1, text)], "doc_id int, text string")
+        lines = mk.page_lines(docs, line="L", content=mk.inner_text, skip=("s",)).orderBy("page_no", "line_no").collect()
+        assert [r["line"] for r in lines] == expected
+        assert {r["page_no"] for r in lines} == {0}
 
 
 FEATURES = {
@@ -184,6 +201,18 @@ def test_cue_spans(spark):
     ]
 
 
+def test_long_cue_lists_and_cue_tables(spark):
+    many = CUES + [(f"word{i} again", "pseudo") for i in range(2_500)]
+    text = "He denies pain. Fever ruled out word2499 again."
+    docs = spark.createDataFrame([(1, text)], "doc_id int, text string")
+    table = spark.createDataFrame(many, "cue string, kind string")
+    for cues in (many, table):
+        found = asr.cue_spans(docs, cues).orderBy("start").collect()
+        assert [(r["cue"], r["kind"]) for r in found] == [
+            ("denies", "pre"), ("ruled out", "post"), ("word2499 again", "pseudo"),
+        ]
+
+
 def test_documents_without_entities_keep_an_empty_array(spark):
     docs = spark.createDataFrame([(1, ""), (2, "plain words"), (3, "...")], "doc_id int, text string")
     for job in (jobs.token_job, jobs.sentence_job, jobs.chunk_job, lambda d: jobs.sentence_job(d, cues=CUES)):
