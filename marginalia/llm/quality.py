@@ -120,7 +120,8 @@ def trained(docs: DataFrame, labels: DataFrame, settings: Settings, *, key: str,
         yield pa.RecordBatch.from_arrays([pa.array([weights.tobytes()], pa.binary())], ["weights"])
 
     sparse = rows.mapInArrow(vectors, "_key string, label int, index array<int>, value array<float>")
-    return np.frombuffer(sparse.coalesce(1).mapInArrow(learn, "weights binary").first()["weights"], np.float32)
+    # A shuffle, not coalesce: the scan and the features stay with all tasks, one task gets the bounded vectors.
+    return np.frombuffer(sparse.repartition(1).mapInArrow(learn, "weights binary").first()["weights"], np.float32)
 
 
 def scores(
