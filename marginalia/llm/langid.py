@@ -58,22 +58,47 @@ def parts(word: bytes, word_chars: int) -> list[str]:
     return [text[i : i + word_chars] for i in range(0, len(text), word_chars)]
 
 
-def lattices(words: list[str], pieces: dict[str, int], longest: int):
+class PieceTrie:
+    """The prefixes of all pieces as nodes; steps are looked up for many nodes at once."""
+
+    def __init__(self, pieces: dict[str, int]):
+        prefixes = sorted({p[:n] for p in pieces for n in range(1, len(p) + 1)})
+        node = {p: n for n, p in enumerate(["", *prefixes])}
+        #: The piece that a node spells, -1 for none; node 0 is the root, and the end of words that no piece goes on with.
+        self.piece = np.array([-1, *(pieces.get(p, -1) for p in prefixes)], np.int32)
+        steps = np.array([node[p[:-1]] << 21 | ord(p[-1]) for p in prefixes], np.int64)
+        self.nodes = np.argsort(steps) + 1
+        self.steps = np.append(steps[self.nodes - 1], -1)  # -1 is beyond the last step and equals none
+        self.nodes = np.append(self.nodes, 0)
+
+    def after(self, nodes: np.ndarray, chars: np.ndarray) -> np.ndarray:
+        wanted = nodes.astype(np.int64) << 21 | chars
+        at = np.searchsorted(self.steps[:-1], wanted)
+        return np.where(self.steps[at] == wanted, self.nodes[at], 0)
+
+
+def lattices(words: list[str], pieces: PieceTrie, longest: int):
     """Words of one length at a time: their places in ``words``, and piece numbers by (word, end, size - 1), -1 for none."""
     by_size: dict[int, list[int]] = {}
     for at, word in enumerate(words):
         by_size.setdefault(len(word), []).append(at)
     for size, places in by_size.items():
-        rows = []
-        for at in places:
-            word = words[at]
-            for end in range(1, size + 1):
-                most = min(end, longest)
-                row = [pieces.get(word[end - n : end], -1) for n in range(1, most + 1)]
-                if row[0] < 0:
-                    row[0] = 0
-                rows.append(row + [-1] * (longest - most))
-        yield np.array(places), np.array(rows, np.int32).reshape(len(places), size, longest)
+        chars = np.frombuffer("".join([words[at] for at in places]).encode("utf-32-le", "surrogatepass"), np.uint32)
+        chars = chars.astype(np.int64).reshape(len(places), size)
+        found = np.full((len(places), size, longest), -1, np.int32)
+        # From every start at once, a character further in each step, as long as some piece goes on.
+        nodes = pieces.after(np.zeros_like(chars), chars)
+        found[:, :, 0] = np.maximum(pieces.piece[nodes], 0)
+        row, end = np.nonzero(nodes)
+        nodes = nodes[row, end]
+        for n in range(1, longest):
+            inside = end + 1 < size
+            row, end = row[inside], end[inside] + 1
+            nodes = pieces.after(nodes[inside], chars[row, end])
+            on = nodes > 0
+            row, end, nodes = row[on], end[on], nodes[on]
+            found[row, end, n] = pieces.piece[nodes]
+        yield np.array(places), found
 
 
 def forward(lattice: np.ndarray, chance: np.ndarray) -> np.ndarray:
@@ -114,7 +139,7 @@ def fitted(words: dict[str, int], pieces: dict[str, int], settings: Settings) ->
     chance[-1] = 0
     order = sorted(words)
     weight = np.array([words[w] for w in order], np.float64)
-    groups = [(at, x) for at, x in lattices(order, pieces, settings.piece_chars)]
+    groups = list(lattices(order, PieceTrie(pieces), settings.piece_chars))
     for _ in range(settings.rounds):
         counts = sum((expected(x, chance, weight[at]) for at, x in groups), np.zeros(size + 1))[:-1] + settings.smoothing
         chance[:-1, 0] = counts / counts.sum()
@@ -187,7 +212,7 @@ def languages(
     rows = docs.select(F.col(key).alias("doc_id"), *extra, F.col(text).cast("binary").alias("__text"))
 
     def run(batches):
-        pieces, table = load_pieces(path, settings.piece_chars), model.value
+        pieces, table = PieceTrie(load_pieces(path, settings.piece_chars)), model.value
         memo = Remembered(MEMO_WORDS)
 
         def scored(words: set[bytes]) -> dict[bytes, np.ndarray | None]:

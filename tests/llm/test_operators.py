@@ -216,7 +216,7 @@ def test_language_forward_sums_all_segmentations():
     import numpy as np
 
     chance = np.array([[0.0], [0.5], [0.25], [0.25], [0.0]])
-    [(_, lattice)] = list(langid.lattices(["ab"], pieces, 2))
+    [(_, lattice)] = list(langid.lattices(["ab"], langid.PieceTrie(pieces), 2))
     assert langid.forward(lattice, chance)[0, -1, 0] == pytest.approx(0.5 * 0.25 + 0.25)
 
 
