@@ -137,7 +137,8 @@ def bio_entity_rows(spark, folder):
 
 
 def entity_arrays(spark, folder):
-    arrays = sq.entity_arrays(bio_entities(spark, folder))
+    """The array of every document, empty ones included; it is made in the document's row."""
+    arrays = jobs.token_job(documents(spark, folder))
     return arrays.select("doc_id", F.size("entities").alias("n"), entity_json(F.col("entities")).alias("records"))
 
 

@@ -339,9 +339,11 @@ def oracle_sql() -> dict[str, str]:
         "bio_entities": f"WITH {LABELS}, {BIO} SELECT {ENTITY_COLUMNS} FROM entities",
         "user_sequence_tagger": f"WITH {LABELS}, {BIO} SELECT {ENTITY_COLUMNS} FROM entities",
         "bio_entity_rows": f"WITH {LEXICON_LABELS}, {BIO} SELECT {ENTITY_COLUMNS} FROM entities",
-        "entity_arrays": f"""WITH {LABELS}, {BIO} SELECT doc_id, count(*) AS n,
+        "entity_arrays": f"""WITH {LABELS}, {BIO}, arrays AS (SELECT doc_id, count(*) AS n,
             to_json(list({{'text': text, 'start': start, 'end': "end", 'type': type}} ORDER BY start))::VARCHAR AS records
-            FROM entities GROUP BY doc_id""",
+            FROM entities GROUP BY doc_id)
+            SELECT d.doc_id, coalesce(n, 0)::INTEGER AS n, coalesce(records, '[]') AS records
+            FROM documents d LEFT JOIN arrays USING (doc_id)""",
         "entity_counts": f"""WITH {LABELS}, {BIO} SELECT d.lang, e.type, count(*) AS entities,
             sum(e."end" - e.start)::BIGINT AS chars FROM entities e JOIN documents d USING (doc_id) GROUP BY d.lang, e.type""",
         "run_entities": f"""WITH {LINES},

@@ -149,3 +149,10 @@ def test_a_wrong_number_of_labels_is_an_error(spark):
     docs = spark.createDataFrame([("d", ["a", "b"])], "doc_id string, tokens array<string>")
     row = tag_sequences(docs, lambda: lambda tokens: ["O"]).first()
     assert row["status"] == "error" and row["labels"] is None and "1 labels for 2" in row["error"]
+
+
+def test_entity_rows_to_arrays(spark):
+    rows = [(1, "b", 3, 4, "X"), (1, "a", 0, 1, "Y"), (2, "c", 5, 6, "X")]
+    entities = spark.createDataFrame(rows, "doc_id int, text string, start int, end int, type string")
+    got = {r["doc_id"]: [tuple(e) for e in r["entities"]] for r in sq.entity_arrays(entities).collect()}
+    assert got == {1: [("a", 0, 1, "Y"), ("b", 3, 4, "X")], 2: [("c", 5, 6, "X")]}
