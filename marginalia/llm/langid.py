@@ -29,33 +29,29 @@ class Settings:
     #: Labelled rows of each language that are learned from at most: those with the lowest hash of their id.
     max_rows: int = 500
     rounds: int = 4
-    #: Pieces longer than this are left out; a word is read in stretches of ``word_chars``.
-    piece_chars: int = 8
+    #: A word is read in stretches of this length, each with the state that the one before left.
     word_chars: int = 32
     #: Added to the expected count of each piece.
     smoothing: float = 0.05
 
 
-def load_pieces(path: str, longest: int) -> dict[str, int]:
-    """The vocabulary's pieces of at most ``longest`` characters, numbered from 1; 0 is a character that has no piece."""
+def load_pieces(path: str) -> dict[str, int]:
+    """All pieces of the vocabulary, numbered from 1; 0 is a character that has no piece."""
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     found = (model.id_to_piece(i) for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i)))
-    return {piece: n for n, piece in enumerate(dict.fromkeys(p for p in found if len(p) <= longest), 1)}
+    return {piece: n for n, piece in enumerate(dict.fromkeys(found), 1)}
 
 
 def has_letter(word: str) -> bool:
     return any(map(str.isalpha, word))
 
 
-def parts(word: bytes, word_chars: int) -> list[str]:
-    """A word in lower case with its start marked, cut into stretches; none without a letter."""
+def marked(word: bytes) -> str | None:
+    """A word in lower case with its start marked; None without a letter."""
     text = word.decode("utf-8")
-    if not has_letter(text):
-        return []
-    text = START + text.lower()
-    return [text[i : i + word_chars] for i in range(0, len(text), word_chars)]
+    return START + text.lower() if has_letter(text) else None
 
 
 class PieceTrie:
@@ -65,6 +61,7 @@ class PieceTrie:
         prefixes = sorted({p[:n] for p in pieces for n in range(1, len(p) + 1)})
         node = {p: n for n, p in enumerate(["", *prefixes])}
         #: The piece that a node spells, -1 for none; node 0 is the root, and the end of words that no piece goes on with.
+        self.longest = max(map(len, pieces), default=1)
         self.piece = np.array([-1, *(pieces.get(p, -1) for p in prefixes)], np.int32)
         steps = np.array([node[p[:-1]] << 21 | ord(p[-1]) for p in prefixes], np.int64)
         self.nodes = np.argsort(steps) + 1
@@ -101,34 +98,88 @@ def lattices(words: list[str], pieces: PieceTrie, longest: int):
         yield np.array(places), found
 
 
-def forward(lattice: np.ndarray, chance: np.ndarray) -> np.ndarray:
+def windows(words: list[str], pieces: PieceTrie, word_chars: int):
+    """Stretches of words, the first stretch of all words first: (places in ``words``, ``lead``, lattice).
+
+    A stretch begins with the ``lead`` characters before it that its pieces may reach back to.
+    """
+    places, at = np.arange(len(words)), 0
+    while len(places):
+        lead = min(at, pieces.longest - 1)
+        for some, lattice in lattices([words[n][at - lead : at + word_chars] for n in places], pieces, pieces.longest):
+            yield places[some], lead, lattice
+        at += word_chars
+        places = np.array([n for n in places if len(words[n]) > at], np.int64)
+
+
+def steps_of(lattice: np.ndarray, lead: int):
+    """(end, piece size, the words with such a piece or all of them, their pieces), by end and then size."""
+    count, size, _ = lattice.shape
+    held = lattice >= 0
+    some = held.any(axis=0)
+    for end in range(lead + 1, size + 1):
+        for n in np.flatnonzero(some[end - 1, :end]) + 1:
+            rows = np.flatnonzero(held[:, end - 1, n - 1])
+            yield end, n, slice(None) if len(rows) == count else rows, lattice[rows, end - 1, n - 1]
+
+
+def forward(lattice: np.ndarray, chance: np.ndarray, before: np.ndarray | None = None) -> np.ndarray:
     """(word, end, language): the probability of all segmentations of each word's first ``end`` characters.
 
     ``chance`` has a row of languages for each piece, and a last row of zeros for -1.
+    ``before`` has the first ends of a stretch, which the one before it left.
     """
-    count, size, longest = lattice.shape
+    count, size, _ = lattice.shape
     total = np.zeros((count, size + 1, chance.shape[1]))
-    total[:, 0] = 1
-    for end in range(1, size + 1):
-        for n in range(1, min(end, longest) + 1):
-            total[:, end] += total[:, end - n] * chance[lattice[:, end - 1, n - 1]]
+    lead = 0 if before is None else before.shape[1] - 1
+    total[:, : lead + 1] = 1 if before is None else before
+    for end, n, rows, piece in steps_of(lattice, lead):
+        total[rows, end] += total[rows, end - n] * chance[piece]
     return total
 
 
-def expected(lattice: np.ndarray, chance: np.ndarray, weight: np.ndarray) -> np.ndarray:
+def swept(stretches_, count: int, longest: int, chance: np.ndarray):
+    """(places, lead, lattice, forward totals, their last ones) of each stretch of ``windows``.
+
+    Each stretch's totals are relative to the last total of the one before, so
+    that a word of any length does not underflow: its probability is the product
+    of the last totals.
+    """
+    left = np.zeros((count, longest, chance.shape[1]))
+    for places, lead, lattice in stretches_:
+        total = forward(lattice, chance, left[places, longest - 1 - lead :] if lead else None)
+        last = np.maximum(total[:, -1], 1e-300)
+        kept = min(longest, total.shape[1])
+        left[places, longest - kept :] = total[:, -kept:] / last[:, None]
+        yield places, lead, lattice, total, last
+
+
+def log_chances(words: list[str], pieces: PieceTrie, chance: np.ndarray, word_chars: int) -> np.ndarray:
+    """(word, language): the log probability of each word."""
+    logs = np.zeros((len(words), chance.shape[1]))
+    for places, _, _, _, last in swept(windows(words, pieces, word_chars), len(words), pieces.longest, chance):
+        logs[places] += np.log(last)
+    return logs
+
+
+def expected(stretches_: list, chance: np.ndarray, weight: np.ndarray, longest: int) -> np.ndarray:
     """Expected counts of the pieces in words that occur ``weight`` times, for one language."""
-    count, size, longest = lattice.shape
-    ahead = forward(lattice, chance)[:, :, 0]
-    back = np.zeros((count, size + 1))
-    back[:, size] = 1
     counts = np.zeros(len(chance))
-    scale = weight / np.maximum(ahead[:, size], 1e-300)
-    for end in range(size, 0, -1):
-        for n in range(1, min(end, longest) + 1):
-            piece = lattice[:, end - 1, n - 1]
-            by = chance[piece, 0] * back[:, end]
-            np.add.at(counts, piece, ahead[:, end - n] * by * scale)
-            back[:, end - n] += by
+    ahead = list(swept(stretches_, len(weight), longest, chance))
+    carried = np.zeros((len(weight), longest))
+    ended = np.zeros(len(weight), bool)
+    for places, lead, lattice, total, last in reversed(ahead):
+        back = np.zeros(total.shape[:2])
+        kept = min(longest, back.shape[1])
+        back[:, -kept:] = carried[places, longest - kept :]
+        back[:, -1] = np.where(ended[places], back[:, -1], 1)
+        back[:, -kept:] /= last
+        ended[places] = True
+        for end, n, rows, piece in reversed(list(steps_of(lattice, lead))):
+            by = chance[piece, 0] * back[rows, end]
+            np.add.at(counts, piece, total[rows, end - n, 0] * by * weight[places][rows])
+            back[rows, end - n] += by
+        carried[places, longest - 1 - lead :] = back[:, : lead + 1]
     return counts
 
 
@@ -139,9 +190,10 @@ def fitted(words: dict[str, int], pieces: dict[str, int], settings: Settings) ->
     chance[-1] = 0
     order = sorted(words)
     weight = np.array([words[w] for w in order], np.float64)
-    groups = list(lattices(order, PieceTrie(pieces), settings.piece_chars))
+    trie = PieceTrie(pieces)
+    read = list(windows(order, trie, settings.word_chars))
     for _ in range(settings.rounds):
-        counts = sum((expected(x, chance, weight[at]) for at, x in groups), np.zeros(size + 1))[:-1] + settings.smoothing
+        counts = expected(read, chance, weight, trie.longest)[:-1] + settings.smoothing
         chance[:-1, 0] = counts / counts.sum()
     return chance[:-1, 0]
 
@@ -171,7 +223,7 @@ def trained(docs: DataFrame, path: str, settings: Settings, *, key: str, text: s
             for language, body in zip(batch.column("_lang").to_pylist(), batch.column("__text").to_pylist()):
                 for word in (body or b"").split():
                     counts[language, word] = counts.get((language, word), 0) + 1
-            pairs = [(language, p, n) for (language, word), n in counts.items() for p in parts(word, settings.word_chars)]
+            pairs = [(language, text, n) for (language, word), n in counts.items() if (text := marked(word)) is not None]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(x, k) for x, k in zip(list(zip(*pairs)) or [[], [], []], (pa.string(), pa.string(), pa.int64()))],
                 ["lang", "word", "n"],
@@ -182,7 +234,7 @@ def trained(docs: DataFrame, path: str, settings: Settings, *, key: str, text: s
     def fit(key, frame):
         import pandas as pd
 
-        pieces = load_pieces(path, settings.piece_chars)
+        pieces = load_pieces(path)
         chance = fitted(dict(zip(frame["word"], frame["n"])), pieces, settings)
         return pd.DataFrame({"lang": [key[0]], "chance": [chance.tobytes()]})
 
@@ -203,7 +255,7 @@ def languages(
     predicted language given the text, all languages being equally likely
     beforehand. Without a letter, or for null, the language is ``und`` and the
     score 0; so are all rows if nothing could be learned. Words of any length are
-    read whole, in stretches. Equal probabilities go to the language that sorts
+    read whole, and pieces of any length. Equal probabilities go to the language that sorts
     first. Scoring is one narrow pass: the model has a row for each piece of the
     fixed vocabulary and a column for each language.
     """
@@ -212,18 +264,15 @@ def languages(
     rows = docs.select(F.col(key).alias("doc_id"), *extra, F.col(text).cast("binary").alias("__text"))
 
     def run(batches):
-        pieces, table = PieceTrie(load_pieces(path, settings.piece_chars)), model.value
+        pieces, table = PieceTrie(load_pieces(path)), model.value
         memo = Remembered(MEMO_WORDS)
 
         def scored(words: set[bytes]) -> dict[bytes, np.ndarray | None]:
             """Log probability of each word in each language; None without a letter."""
-            cut = {w: parts(w, settings.word_chars) for w in words}
-            order = sorted({p for ps in cut.values() for p in ps})
-            logs = np.zeros((len(order), len(names)), np.float32)
-            for at, lattice in lattices(order, pieces, settings.piece_chars):
-                logs[at] = np.log(np.maximum(forward(lattice, table)[:, -1], 1e-300))
-            of = dict(zip(order, logs))
-            return {w: None if not ps else of[ps[0]] if len(ps) == 1 else sum(of[p] for p in ps) for w, ps in cut.items()}
+            texts = {w: marked(w) for w in words}
+            order = sorted({x for x in texts.values() if x is not None})
+            of = dict(zip(order, log_chances(order, pieces, table, settings.word_chars).astype(np.float32)))
+            return {w: of.get(x) for w, x in texts.items()}
 
         for batch in stretches(batches, "__text", STRETCH_BYTES):
             texts = [(x or b"").split() for x in batch.column("__text").to_pylist()]

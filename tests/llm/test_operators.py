@@ -220,6 +220,36 @@ def test_language_forward_sums_all_segmentations():
     assert langid.forward(lattice, chance)[0, -1, 0] == pytest.approx(0.5 * 0.25 + 0.25)
 
 
+def test_language_pieces_of_any_length_over_stretches():
+    """Counts and probabilities are those of the whole word, however it is read; nothing underflows."""
+    import math
+
+    import numpy as np
+
+    pieces = {"a": 1, "b": 2, "ab": 3, "abababababab": 4, "bbb": 5}
+    words = {"abababababab": 3, "ab" * 20 + "bbb": 2, "b" * 90 + "a": 1, "xab": 1, "a": 4}
+    whole = langid.fitted(words, pieces, langid.Settings(word_chars=1000))
+    assert whole[4] > 0.05
+    for size in (1, 5, 12, 32):
+        assert np.allclose(langid.fitted(words, pieces, langid.Settings(word_chars=size)), whole, rtol=1e-9)
+    trie, chance = langid.PieceTrie(pieces), np.append(whole, 0)[:, None]
+
+    def brute(word):
+        total = [1.0]
+        for end in range(1, len(word) + 1):
+            total.append(sum(
+                total[end - n] * (whole[pieces.get(word[end - n : end], 0)] if n == 1 or word[end - n : end] in pieces else 0)
+                for n in range(1, min(end, 12) + 1)
+            ))
+        return math.log(total[-1])
+
+    for size in (3, 32):
+        assert np.allclose(langid.log_chances(list(words), trie, chance, size)[:, 0], [brute(w) for w in words])
+    [[log]] = langid.log_chances(["x" * 20_000], trie, chance, 32)
+    assert log == pytest.approx(20_000 * math.log(whole[0]))
+    assert max(map(len, langid.load_pieces(PIECES))) == 16
+
+
 def test_word_probabilities_are_a_distribution(spark):
     """Over a small alphabet of bytes, what the model gives to words of at most two bytes sums to less than one."""
     rows = queries.op5_lm_scoring(spark, SF).toPandas()
