@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marginalia.llm import exact_dedup, jaccard_join, langid, packing, quality
-from marginalia.llm.common import fold_remainder, table
+from marginalia.llm.common import fold_remainder, settled, table
 from marginalia.llm.queries import piece_vocabulary, word_vocabulary
 from marginalia.session import ensure_checkpoint_dir
 
@@ -41,16 +41,27 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _kept(found, docs, (F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE_SCORE))
 
 
+def _one_of_each(docs: DataFrame, group_of) -> DataFrame:
+    """One row of each group: of the smallest id, null being larger than any, and the first of several.
+
+    ``group_of`` gives ``(row, part)`` of rows that are numbered by ``_row``, a number of
+    their own, so rows that share an id or have none are judged each by its text.
+    """
+    rows = settled(docs.withColumn("_row", F.monotonically_increasing_id()))
+    parts = group_of(rows).toDF("_row", "_part")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")
+    first = parts.join(rows.select("_row", "doc_id"), "_row").groupBy("_part").agg(F.min(order).alias("first"))
+    return rows.join(first.select(F.col("first._row").alias("_row")), "_row", "left_semi").select(docs.columns)
+
+
 def exact_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts stays, that of the smallest id."""
-    dropped = exact_dedup.exact_groups(docs).filter("NOT kept").select("doc_id")
-    return docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
+    """One row of each group of equal texts stays, that of the smallest id."""
+    return _one_of_each(docs, lambda rows: exact_dedup.exact_groups(rows, key="_row").select("doc_id", "keep_id"))
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays, that of the smallest id."""
-    dropped = jaccard_join.near_groups(docs).filter("doc_id <> component_id").select("doc_id")
-    return docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
+    """One row of each group of near copies stays, that of the smallest id."""
+    return _one_of_each(docs, lambda rows: jaccard_join.near_groups(rows, key="_row").select("doc_id", "component_id"))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -354,7 +354,7 @@ def near_groups(
     rows = docs.select(F.col(key).alias("id"), F.col(text).cast("binary").alias("text"))
     about = settled(described(rows))
     some = about.filter("n_shingles > 0 AND id IS NOT NULL")
-    roots = links(rows.filter("id IS NOT NULL"), some, similarity)
+    roots = links(rows.filter("id IS NOT NULL AND text IS NOT NULL"), some, similarity)
     # Equal sets have one hash; ids with several texts join the groups of all of them.
     same = some.groupBy("hash").agg(F.min("id").alias("low"))
     copies = some.join(same, "hash").select(F.col("low").alias("a"), F.col("id").alias("b")).filter("a < b")

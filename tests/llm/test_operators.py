@@ -273,6 +273,26 @@ def test_lm_counts_by_brute_force(spark):
         assert r["n_known"] == sum(train[w] > 0 for w in words[r["doc_id"]])
 
 
+def test_stages_judge_rows_that_repeat_ids_or_have_none(spark):
+    copy, other = " ".join(f"copy{i}" for i in range(200)), " ".join(f"other{i}" for i in range(200))
+    alone = " ".join(f"alone{i}" for i in range(200))
+    rows = [(1, copy), (1, copy), (2, copy), (2, alone), (None, copy), (None, other), (None, other), (3, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    left = [(1, copy), (2, alone), (None, other), (3, None)]
+    for stage in (corpus_pipeline.exact_deduplication, corpus_pipeline.ngram_jaccard_join):
+        assert sorted(map(str, map(tuple, stage(spark, docs, SF).collect()))) == sorted(map(str, left))
+    near = docs.withColumn("text", F.concat("text", F.lit(" "), F.coalesce(F.col("doc_id").cast("string"), F.lit("end"))))
+    kept = corpus_pipeline.ngram_jaccard_join(spark, near, SF).collect()
+    assert sorted(map(str, map(tuple, kept))) == sorted(map(str, [(1, f"{copy} 1"), (2, f"{alone} 2"), (None, f"{other} end"), (3, None)]))
+
+
+def test_near_groups_of_an_id_with_a_null_text(spark):
+    text = " ".join(f"w{i}" for i in range(200))
+    docs = spark.createDataFrame([(1, text), (1, None), (2, f"{text} more"), (2, None)], "doc_id long, text string")
+    rows = sorted((r["doc_id"], r["n_shingles"] > 0, r["component_id"]) for r in jaccard_join.near_groups(docs).collect())
+    assert rows == [(1, False, 1), (1, True, 1), (2, False, 2), (2, True, 1)]  # a null text links with nothing
+
+
 def test_pipeline_by_stages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     before = docs
