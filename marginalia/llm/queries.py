@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marginalia.llm import (
-    bpe, exact_dedup, fingerprints, jaccard_join, langid, line_dedup, lm_score, packing, quality, url_filter,
+    bpe, exact_dedup, fingerprints, hard_negatives, jaccard_join, langid, line_dedup, lm_score, packing, quality,
+    url_filter,
 )
 from marginalia.llm.common import fold_remainder, table
 
@@ -81,11 +82,18 @@ def op10_bpe(spark, folder):
     return bpe.digests(_documents(spark, folder), word_vocabulary())
 
 
+def op12_hard_negatives(spark, folder):
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, folder, "embeddings", "vec_id", "label", "embedding").withColumn("label", moved)
+    return hard_negatives.mined(rows, F.col("vec_id") % 100 == 0)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         q.__name__: q for q in (
             op1_quality_classifier, op2_url_filters, op3_line_dedup, op4_exact_dedup, op5_lm_scoring,
             op6_ngram_jaccard_join, op7_best_fit_packing, op8_language_id, op9_document_fingerprints, op10_bpe,
+            op12_hard_negatives,
         )
     }
 
@@ -138,7 +146,29 @@ WITH rows AS (
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(body) AS text_sha256 FROM rows JOIN groups USING (body)
 """
 
+NEGATIVE_SQL = """
+WITH usable AS (
+  SELECT vec_id, (CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END)::BIGINT AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id AS id, a.label = r.label AS same,
+         list_dot_product(a.v, r.v)::BIGINT AS score
+  FROM usable a JOIN usable r ON a.vec_id <> r.vec_id WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT anchor_id, positive_id, row_number() OVER best::INTEGER AS rank, id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+WINDOW best AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)
+QUALIFY row_number() OVER best <= 5
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     """SQL for the operators it can express. The others are tested against brute force, the library or held-out rows."""
-    return {"op2_url_filters": URL_SQL, "op3_line_dedup": LINE_SQL, "op4_exact_dedup": EXACT_SQL}
+    return {"op2_url_filters": URL_SQL, "op3_line_dedup": LINE_SQL, "op4_exact_dedup": EXACT_SQL, "op12_hard_negatives": NEGATIVE_SQL}
