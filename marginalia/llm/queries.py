@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marginalia.llm import (
-    bpe, exact_dedup, fingerprints, hard_negatives, jaccard_join, langid, line_dedup, lm_score, packing, quality,
-    url_filter,
+    bpe, exact_dedup, fingerprints, hard_negatives, html_extract, jaccard_join, langid, line_dedup, lm_score,
+    packing, quality, url_filter,
 )
 from marginalia.llm.common import fold_remainder, table
 
@@ -88,12 +88,16 @@ def op12_hard_negatives(spark, folder):
     return hard_negatives.mined(rows, F.col("vec_id") % 100 == 0)
 
 
+def op13_html_extraction(spark, folder):
+    return html_extract.extracted(table(spark, folder, "pages", "page_id", "url", "html"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         q.__name__: q for q in (
             op1_quality_classifier, op2_url_filters, op3_line_dedup, op4_exact_dedup, op5_lm_scoring,
             op6_ngram_jaccard_join, op7_best_fit_packing, op8_language_id, op9_document_fingerprints, op10_bpe,
-            op12_hard_negatives,
+            op12_hard_negatives, op13_html_extraction,
         )
     }
 
