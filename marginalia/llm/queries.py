@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from marginalia.llm import (
     bpe, exact_dedup, fingerprints, hard_negatives, html_extract, jaccard_join, langid, line_dedup, lm_score,
-    packing, quality, url_filter,
+    packing, quality, token_align, url_filter,
 )
 from marginalia.llm.common import fold_remainder, table
 
@@ -32,6 +32,10 @@ def word_vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def byte_vocabulary() -> str:
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def piece_vocabulary() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
@@ -82,6 +86,10 @@ def op10_bpe(spark, folder):
     return bpe.digests(_documents(spark, folder), word_vocabulary())
 
 
+def op11_token_alignment(spark, folder):
+    return token_align.link_counts(_documents(spark, folder), byte_vocabulary(), piece_vocabulary())
+
+
 def op12_hard_negatives(spark, folder):
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     rows = table(spark, folder, "embeddings", "vec_id", "label", "embedding").withColumn("label", moved)
@@ -97,7 +105,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         q.__name__: q for q in (
             op1_quality_classifier, op2_url_filters, op3_line_dedup, op4_exact_dedup, op5_lm_scoring,
             op6_ngram_jaccard_join, op7_best_fit_packing, op8_language_id, op9_document_fingerprints, op10_bpe,
-            op12_hard_negatives, op13_html_extraction,
+            op11_token_alignment, op12_hard_negatives, op13_html_extraction,
         )
     }
 
