@@ -14,9 +14,12 @@ as several lanes that begin at such borders.
 from __future__ import annotations
 
 import gc
+import os
 import re
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 from hashlib import sha256
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,13 +30,14 @@ from tokenizers import Tokenizer
 from marginalia.llm.common import BROADCAST_KEYS, settled, stretches
 
 #: Bytes of text that are aligned at a time, and chunks whose tokens are remembered.
-STRETCH_BYTES = 3_000_000
-MEMO_CHUNKS = 400_000
+STRETCH_BYTES = 1_000_000
+MEMO_CHUNKS = 300_000
 #: Tokens of a lane: a longer document goes on in another lane.
 LANE_TOKENS = 256
 #: A group of more links than this is counted by its distinct ids instead of link by link.
 WIDE_LINKS = 4096
-PIECE_BITS = 20  # a pair of ids is one number: A's id above B's, which has at most so many bits
+DOC_BITS = 24  # of a row's number in its batch
+PIECE_BITS = 18  # a pair of ids is one number: A's id above B's, which has at most so many bits
 
 #: A chunk ends before a blank, the text's last character apart, that follows something no tokenizer takes for white space.
 BORDER = re.compile(r"(?<=[^\s\u180e\u200b\u2581\ufeff])(?= .)", re.S)
@@ -71,6 +75,8 @@ class Chunks:
         names = [self.b.id_to_piece(i) for i in pieces]
         if any(MARK in x.lstrip(MARK) for x in names) or len(names) > 1 << PIECE_BITS:
             raise ValueError(f"{piece_path} has pieces that go on behind a word's end, or too many")
+        if len(self.a_bytes) > 1 << (63 - DOC_BITS - PIECE_BITS):
+            raise ValueError(f"{byte_path} has too many tokens")
         self.b_bytes = [
             bytes([int(x[3:-1], 16)]) if self.b.is_byte(i) else x.replace(MARK, " ").encode() for i, x in zip(pieces, names)
         ]
@@ -79,33 +85,53 @@ class Chunks:
         self.forget()
 
     def forget(self) -> None:
-        self.number: dict[str, int] = {}
-        self.a_ids, self.b_ids = Ragged(), Ragged()
-        self.whole = np.zeros(0, bool)
+        """Chunks that were met in two stretches or more stay, up to half of all."""
+        stay = np.zeros(0, np.int64)
+        if getattr(self, "number", None):
+            often = np.argsort(-self.met[: len(self.number)], kind="stable")[: MEMO_CHUNKS // 2]
+            stay = np.sort(often[self.met[often] > 1])
+            names = list(self.number)
+            self.number = {names[n]: at for at, n in enumerate(stay.tolist())}
+            self.a_ids, self.b_ids, self.whole = self.a_ids.kept(stay), self.b_ids.kept(stay), self.whole[stay]
+        else:
+            self.number: dict[str, int] = {}
+            self.a_ids, self.b_ids, self.whole = Ragged(), Ragged(), np.zeros(0, bool)
+        self.met = np.zeros(len(stay), np.int32)
 
     def numbers(self, chunks: list[str]) -> np.ndarray:
         """A number for each chunk, which is a text behind one blank."""
-        fresh = list(set(chunks) - self.number.keys())
+        found = list(map(self.number.get, chunks))
+        fresh = dict.fromkeys(c for c, n in zip(chunks, found) if n is None)
         if fresh:
-            if len(self.number) + len(fresh) > MEMO_CHUNKS:
+            if len(self.number) + len(fresh) > MEMO_CHUNKS and self.number:
                 self.forget()
-                fresh = list(set(chunks))
-            for at in range(0, len(fresh), 2000):
-                self.learn(fresh[at : at + 2000])
-        number = self.number
-        return np.array([number[c] for c in chunks], np.int64)
+                found = list(map(self.number.get, chunks))
+                fresh = dict.fromkeys(c for c, n in zip(chunks, found) if n is None)
+            new = list(fresh)
+            for at in range(0, len(new), 1000):
+                self.learn(new[at : at + 1000])
+            found = [self.number[c] if n is None else n for c, n in zip(chunks, found)]
+        numbers = np.array(found, np.int64)
+        self.met = np.append(self.met, np.zeros(len(self.number) - len(self.met), np.int32))
+        self.met[np.unique(numbers)] += 1
+        return numbers
 
     def learn(self, chunks: list[str]) -> None:
-        a = [x.ids for x in self.a.encode_batch([" " + c for c in chunks], add_special_tokens=False)]
+        texts = [" " + c for c in chunks]
+        a = [x.ids for x in self.a.encode_batch_fast(texts, add_special_tokens=False)]
         b = self.b.encode(chunks, num_threads=1)
-        whole = []
-        for chunk, x, y in zip(chunks, a, b):
-            text = b" " + chunk.encode("utf-8")
-            whole.append(b"".join([self.a_bytes[i] for i in x]) == text == b"".join([self.b_bytes[i] for i in y]))
         first = len(self.number)
-        self.number.update((c, first + n) for n, c in enumerate(chunks))
-        self.a_ids.add(a)
-        self.b_ids.add(b)
+        self.number.update(zip(chunks, range(first, first + len(chunks))))
+        size = np.array([len(t.encode("utf-8")) for t in texts])
+        everything = "".join(texts).encode("utf-8")
+        whole = np.ones(len(chunks), bool)
+        for ids, rows, table, sizes in ((self.a_ids, a, self.a_bytes, self.a_size), (self.b_ids, b, self.b_bytes, self.b_size)):
+            flat, ends = ids.add(rows)
+            total = np.append(0, np.cumsum(sizes[flat]))
+            same = np.diff(total[np.append(0, ends)]) == size
+            if not same.all() or b"".join([table[i] for i in flat.tolist()]) != everything:
+                same = np.array([b"".join([table[i] for i in r]) == t.encode("utf-8") for r, t in zip(rows, texts)])
+            whole &= same
         self.whole = np.append(self.whole, whole)
 
     def joined(self, numbers: np.ndarray) -> tuple[bytes, bytes]:
@@ -116,28 +142,43 @@ class Chunks:
         )
 
 
+@lru_cache(1)
+def opened(byte_path: str, piece_path: str) -> Chunks:
+    """The vocabularies and remembered chunks of a worker, which its next tasks go on with."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+    chunks = Chunks(byte_path, piece_path)
+    gc.freeze()  # the vocabularies' tables are many objects and never garbage
+    return chunks
+
+
 class Ragged:
     """Rows of numbers of any length, one after another."""
 
     def __init__(self):
-        self.flat, self.starts = np.zeros(0, np.int32), np.zeros(1, np.int64)
-
-    def add(self, rows: list[list[int]]) -> None:
-        sizes = np.array([len(r) for r in rows], np.int64)
-        flat = np.fromiter((x for r in rows for x in r), np.int32, int(sizes.sum()))
-        if not hasattr(self, "room") or len(self.flat) + len(flat) > len(self.room):
-            self.room = np.empty(2 * (len(self.flat) + len(flat)) + 1000, np.int32)
-            self.room[: len(self.flat)] = self.flat
-        end = len(self.flat) + len(flat)
-        self.room[len(self.flat) : end] = flat
-        self.starts = np.append(self.starts, len(self.flat) + np.cumsum(sizes))
-        self.flat = self.room[:end]
+        self.room, self.starts = np.empty(1000, np.int32), np.zeros(1, np.int64)
+
+    def add(self, rows: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+        """Puts rows at the end; gives their numbers and where each row ends in them."""
+        flat = np.array(list(chain.from_iterable(rows)), np.int32)
+        ends = np.cumsum([len(r) for r in rows], dtype=np.int64)
+        begin = int(self.starts[-1])
+        if begin + len(flat) > len(self.room):
+            self.room = np.append(self.room[:begin], np.empty(begin + len(flat), np.int32))
+        self.room[begin : begin + len(flat)] = flat
+        self.starts = np.append(self.starts, begin + ends)
+        return flat, ends
+
+    def kept(self, rows: np.ndarray) -> "Ragged":
+        out = Ragged()
+        out.room, sizes = self.take(rows)
+        out.starts = np.append(0, np.cumsum(sizes))
+        return out
 
     def take(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The numbers of the given rows in order, and the size of each row."""
         begin = self.starts[rows]
         sizes = self.starts[rows + 1] - begin
-        return self.flat[spread(begin, sizes)], sizes
+        return self.room[spread(begin, sizes)], sizes
 
 
 def spread(begin: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -199,28 +240,46 @@ def links_of(a_ids, b_ids, groups: tuple) -> tuple[np.ndarray, np.ndarray, np.nd
     return tuple(np.concatenate(x) for x in zip(*parts))
 
 
-DIGITS = 7
+def summed(doc: np.ndarray, pair: np.ndarray, links: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (row, pair) in order, and how many links each has."""
+    key = doc << (63 - DOC_BITS) | pair
+    if (links == 1).all():
+        key = np.sort(key)
+    else:
+        order = np.argsort(key)
+        key, links = key[order], links[order]
+    begins = np.flatnonzero(np.append(True, key[1:] != key[:-1]))[: len(key)]
+    total = np.add.reduceat(links, begins) if len(begins) else links
+    return key[begins] >> (63 - DOC_BITS), key[begins] & ((1 << (63 - DOC_BITS)) - 1), total
+
+
+@lru_cache(1)
+def digits(count: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each number below ``count``: its decimal digits, the last one first, and how many they are."""
+    numbers = np.arange(count)
+    places = len(str(count))
+    table = np.stack([ord("0") + numbers // 10**n % 10 for n in range(places)], 1).astype(np.uint8)
+    return table, 1 + sum((numbers >= 10**n).astype(np.int32) for n in range(1, places))
 
 
 def shown_groups(a_ids, b_ids, groups: tuple) -> tuple[np.ndarray, np.ndarray]:
     """The groups as bytes, ``a1,a2|b1;`` one after another, and where each begins and the last ends."""
     a_at, a_n, b_at, b_n = groups
     sizes = np.stack([a_n, b_n], 1).ravel()
-    ids = np.zeros(int(sizes.sum()), np.int64)
     side = np.repeat(np.arange(len(sizes)) & 1, sizes).astype(bool)
+    ids = np.empty(len(side), np.int32)
     ids[~side], ids[side] = a_ids[spread(a_at, a_n)], b_ids[spread(b_at, b_n)]
     last = np.cumsum(sizes) - 1
     mark = np.full(len(ids), ord(","), np.uint8)
     mark[last[::2]], mark[last[1::2]] = ord("|"), ord(";")
-    width = 1 + sum((ids >= 10**n).astype(np.int64) for n in range(1, DIGITS))
+    table, widths = digits(int(ids.max(initial=0)) // 100_000 * 100_000 + 100_000)
+    width = widths[ids]
     end = np.cumsum(width + 1)
     out = np.empty(int(end[-1]) if len(end) else 0, np.uint8)
     out[end - 1] = mark
-    rest, some = ids, np.arange(len(ids))
-    for place in range(DIGITS):
-        out[end[some] - 2 - place] = ord("0") + rest % 10
-        on = rest >= 10
-        some, rest = some[on], rest[on] // 10
+    for place in range(int(width.max(initial=0))):
+        some = np.flatnonzero(width > place)
+        out[end[some] - 2 - place] = table[ids[some], place]
     return out, np.append(0, end[last[1::2]])
 
 
@@ -277,12 +336,8 @@ def alignments(docs: DataFrame, byte_path: str, piece_path: str, *, text: str =
             texts = [x or "" for x in batch.column("_text_of_row").to_pylist()]
             n_a, n_b, starts, a_ids, b_ids, groups = aligned(chunks, texts)
             group, pair, links = links_of(a_ids, b_ids, groups)
-            doc = (np.searchsorted(starts, group, "right") - 1).astype(np.int64)
-            order = np.lexsort((pair, doc))
-            doc, pair, links = doc[order], pair[order], links[order]
-            begins = np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (pair[1:] != pair[:-1])))[: len(doc)]
-            total = np.add.reduceat(links, begins) if len(begins) else links
-            doc, pair = doc[begins], pair[begins]
+            doc = np.repeat(np.arange(len(texts)), np.diff(starts))[group]
+            doc, pair, total = summed(doc, pair, links)
             n_links = np.zeros(len(texts), np.int64)
             np.add.at(n_links, doc, total)
             out, places = shown_groups(a_ids, b_ids, groups)
