@@ -143,10 +143,13 @@ def scored(rows: DataFrame, block, first: int, settings: Settings) -> DataFrame:
                     for k, mask in enumerate(masks):
                         row, anchor = tops(score, mask, first)
                         found.add(anchors["id"][tile][anchor], k, ids[row], score[row, anchor])
-        anchor, _, ids, score = found.prune()
-        columns = {"anchor_id": anchor, "id": ids, "score": score}
-        once = pa.table({k: pa.array(v, pa.int64()) for k, v in columns.items()}).group_by(list(columns)).aggregate([])
-        yield from once.select(list(columns)).to_batches(max_chunksize=10_000)
+        # A row may be in several windows; one that occurs more than once stays as often.
+        columns = dict(zip(("anchor_id", "window", "id", "score"), found.prune()))
+        each = pa.table(columns).group_by(list(columns)).aggregate([([], "count_all")])
+        once = each.group_by(["anchor_id", "id", "score"]).aggregate([("count_all", "max")])
+        often = np.repeat(np.arange(once.num_rows), once["count_all_max"].to_numpy())
+        out = once.select(["anchor_id", "id", "score"]).take(often)
+        yield from out.cast(pa.schema([(n, pa.int64()) for n in out.schema.names])).to_batches(max_chunksize=10_000)
 
     return rows.mapInArrow(run, FOUND)
 
