@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from marginalia.functions import features as ft
 from marginalia.functions.text import ascii_drop
-from marginalia.operators.lookup import BROADCAST_BYTES, lookup
+from marginalia.operators.lookup import BROADCAST_BYTES, lookup, measured_bytes
 
 MEMO_WORDS = 200_000  # words a task remembers before it starts afresh
 
@@ -66,6 +66,50 @@ def word_function(fn: Callable[[str], str]) -> Callable[[Column], Column]:
     return apply
 
 
+def word_table(lexicon: DataFrame, lemmas: DataFrame, stems: DataFrame | None = None, *, word: str = "word") -> DataFrame:
+    """``(word, _known, _lemma, _stem)``: all that is stored of a word, in one row; of several forms the smallest counts."""
+    blank = {"_known": F.lit(None).cast("boolean"), "_lemma": F.lit(None).cast("string"), "_stem": F.lit(None).cast("string")}
+
+    def rows(table: DataFrame, **value: Column) -> DataFrame:
+        return table.select(F.col(word).alias("word"), *[c.alias(n) for n, c in (blank | value).items()])
+
+    every = rows(lexicon, _known=F.lit(True)).unionByName(rows(lemmas, _lemma=F.col("lemma")))
+    if stems is not None:
+        every = every.unionByName(rows(stems, _stem=F.col("stem")))
+    return every.groupBy("word").agg(F.max("_known").alias("_known"), F.min("_lemma").alias("_lemma"), F.min("_stem").alias("_stem"))
+
+
+def with_word_values(
+    rows: DataFrame, table: DataFrame, *, salt_by: list[str], token: str = "token", stemmer: Callable[[str], str] | None = None,
+    broadcast_bytes: int = BROADCAST_BYTES, measured: int | None = None,
+) -> DataFrame:
+    """Add ``names`` (the ASCII token), ``ExistinDict``, ``Lemma`` and ``Stem`` to rows of tokens.
+
+    The raw token is looked up once, for all three.  Only where the ASCII token
+    differs from it, it is looked up as well, for its forms.
+    """
+    size = measured_bytes(table) if measured is None else measured
+    args = {"word": "word", "salt_by": salt_by, "broadcast_bytes": broadcast_bytes, "measured": size}
+    named = rows.withColumn("names", ascii_drop(token))
+    found = lookup(named, table, F.col(token), **args)
+    forms = table.select("word", F.col("_lemma").alias("_lemma_of"), F.col("_stem").alias("_stem_of"))
+    same = F.col("names") == F.col(token)
+    found = lookup(found, forms, F.when(~same, F.col("names")), **args)
+
+    def form(of: str) -> Column:
+        return F.coalesce(F.when(same, F.col(of)).otherwise(F.col(f"{of}_of")), F.col("names"))
+
+    stem = word_function(stemmer)(F.col("names")) if stemmer is not None else form("_stem")
+    valued = found.withColumns({"ExistinDict": F.coalesce("_known", F.lit(False)), "Lemma": form("_lemma"), "Stem": stem})
+    return valued.drop("_known", "_lemma", "_stem", "_lemma_of", "_stem_of")
+
+
+def feature_columns() -> list[Column]:
+    """The 19 features in their fixed order, of rows that ``with_word_values`` gives."""
+    cols = {n: F.col(n) for n in ("names", "ExistinDict", "Lemma", "Stem")} | ft.token_features(F.col("names"))
+    return [cols[n].alias(n) for n in ft.FEATURE_ORDER]
+
+
 def feature_table(
     tokens: DataFrame, *, lexicon: DataFrame, lemmas: DataFrame, stems: DataFrame | None = None,
     stemmer: Callable[[str], str] | None = None, doc: str = "doc_id", pos: str = "pos", token: str = "token",
@@ -75,17 +119,11 @@ def feature_table(
 
     Stems come from a ``(word, stem)`` table or from a ``stemmer`` function.
     """
-    names = {"doc": doc, "pos": pos, "token": token, "broadcast_bytes": broadcast_bytes}
-    df = in_lexicon(tokens, lexicon, **names)
-    df = word_form(df, lemmas, form="lemma", out="Lemma", **names)
-    if stemmer is not None:
-        df = df.withColumn("Stem", word_function(stemmer)(ascii_drop(token)))
-    else:
-        df = word_form(df, stems, form="stem", out="Stem", **names)
-    df = df.withColumn("names", ascii_drop(token))
-    cols = {n: F.col(n) for n in ("names", "ExistinDict", "Lemma", "Stem")}
-    cols |= ft.token_features(F.col("names"))
-    return df.select(doc, pos, *[cols[n].alias(n) for n in ft.FEATURE_ORDER])
+    rows = with_word_values(
+        tokens.select(doc, pos, token), word_table(lexicon, lemmas, stems), salt_by=[doc, pos], token=token, stemmer=stemmer,
+        broadcast_bytes=broadcast_bytes,
+    )
+    return rows.select(doc, pos, *feature_columns())
 
 
 def feature_line(columns: list[str] | None = None) -> Column:

@@ -5,15 +5,18 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from marginalia.functions import features as ft
 from marginalia.functions import spans as sp
 from marginalia.functions import text as tx
 from marginalia.functions.sequence import MARK, let, positions, running_total, segments
-from marginalia.operators.lookup import BROADCAST_BYTES, lookup
+from marginalia.operators.features import feature_columns, with_word_values, word_table
+from marginalia.operators.lookup import BROADCAST_BYTES, lookup, measured_bytes
 from marginalia.operators.text import explode_rows
 
 SENTENCE_BATCH = 50  # fixed value: sentences handed to an entity model at once
@@ -57,8 +60,11 @@ def lexicon_tags(
     rows = explode_rows(df, tokens, doc).select(doc, "pos", "item.*")
     types = gazetteer.groupBy(word).agg(F.min(kind).alias("_type"))
     args = {"word": word, "salt_by": [doc, "pos"], "broadcast_bytes": broadcast_bytes}
+    args["measured"] = measured_bytes(types)
     rows = lookup(rows, types, F.col("token"), **args)
-    rows = lookup(rows, types.withColumnRenamed("_type", "_type_before"), F.col("before"), **args)
+    # The type before matters only where there is one to go on with.
+    before = F.when(F.col("_type").isNotNull(), F.col("before"))
+    rows = lookup(rows, types.withColumnRenamed("_type", "_type_before"), before, **args)
     label = sp.bio_label(F.col("_type"), F.col("_type_before"))
     return rows.select(doc, "pos", "token", label.alias("label"), "tok_start", "tok_end")
 
@@ -158,14 +164,6 @@ def document_offsets(found: Column, sentences: Column) -> Column:
 # --- taggers the user brings ------------------------------------------------
 
 
-def nest_rows(rows: DataFrame, columns: list[str], *, doc: str = "doc_id", pos: str = "pos", out: str = "features") -> DataFrame:
-    """Token rows back to one row per document with an ordered array of structs."""
-    grouped = rows.groupBy(doc).agg(F.sort_array(F.collect_list(F.struct(pos, *columns))).alias("_rows"))
-    return grouped.select(
-        doc, F.transform("_rows", lambda r: F.struct(*[r[c].alias(c) for c in columns])).alias(out)
-    )
-
-
 def _annotate(
     df: DataFrame, open_model: Callable[[], Callable], column: str, apply: Callable, out: str, kind: str
 ) -> DataFrame:
@@ -212,6 +210,97 @@ def tag_sequences(
     return _annotate(df, open_tagger, sequence, labels, out, "array<string>")
 
 
+def _labelled(sequences: Iterator[tuple[dict, list[dict]]], open_tagger: Callable, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """``(document's columns, its feature rows)`` to rows with tokens, labels and how that went."""
+    tagger, held = open_tagger(), []
+    for head, features in sequences:
+        row = {**head, "tokens": [f["names"] for f in features], "labels": None, "status": "ok", "error": None}
+        try:
+            row["labels"] = [str(label) for label in tagger(features)]
+            if len(row["labels"]) != len(features):
+                raise ValueError(f"{len(row['labels'])} labels for {len(features)} elements")
+        except Exception as failure:  # one bad document must not end the job
+            row |= {"labels": None, "status": "error", "error": f"{type(failure).__name__}: {failure}"}
+        held.append(row)
+        if len(held) == 64:
+            yield pa.RecordBatch.from_pylist(held, schema)
+            held = []
+    if held:
+        yield pa.RecordBatch.from_pylist(held, schema)
+
+
+def _streamed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, list[dict]]]:
+    """Documents whose feature rows stream by in order; each begins with a row that has its columns."""
+    head, features = None, []
+    for batch in batches:
+        for first, feature in zip(batch.column("_head").to_pylist(), batch.column("_feature").to_pylist()):
+            if first is not None:
+                if head is not None:
+                    yield head, features
+                head, features = first, []
+            if feature["names"] is not None:
+                features.append(feature)
+    if head is not None:
+        yield head, features
+
+
+def _with_vocabulary(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, list[dict]]]:
+    """Documents of a part behind the values of all its words."""
+    part, values = None, {}
+    for batch in batches:
+        for row in batch.to_pylist():
+            if row["_part"] != part:
+                part, values = row["_part"], {}
+            if row["_head"] is None:
+                values[row["token"]] = {n: row[n] for n in ("ExistinDict", "Lemma", "Stem")}
+            else:
+                found = ((f, values[t]) for t, f in zip(row["_raw"] or [], row["_features"] or []))
+                yield row["_head"], [{n: w[n] if n in w else f[n] for n in ft.FEATURE_ORDER} for f, w in found]
+
+
+def tag_features(
+    df: DataFrame, open_tagger: Callable[[], Callable], *, lexicon: DataFrame, lemmas: DataFrame, stems: DataFrame | None = None,
+    stemmer: Callable[[str], str] | None = None, doc: str = "doc_id", text: str = "text", keep: tuple[str, ...] = (),
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """``(doc, keep..., tokens, labels, status, error)``, one row for each document.
+
+    The tagger gets a document's tokens as a list of dicts of the 19 features,
+    in order, and gives one label for each; a null or empty text is an empty list.
+
+    A word table up to ``broadcast_bytes`` is broadcast: tokens are rows only
+    between the scan and the tagger, in the order of their document, and
+    nothing of a document is shuffled.  Beyond it, the distinct words of a part
+    of the documents are looked up, and the part's documents are dealt behind
+    their words' values; a frequent word counts once in each part.
+    """
+    table = word_table(lexicon, lemmas, stems)
+    size = measured_bytes(table)
+    head = F.struct(doc, *keep)
+    raw = df.select(head.alias("_doc"), tx.tokens(text).alias("_raw"))
+    kinds = T.StructType([*df.select(doc, *keep).schema.fields, *T.StructType.fromDDL(
+        "tokens array<string>, labels array<string>, status string, error string").fields])
+    arrow = to_arrow_schema(kinds)
+    if size <= broadcast_bytes:
+        tokens = raw.select("_doc", F.posexplode_outer("_raw").alias("pos", "token"))
+        rows = tokens.select(F.when(F.coalesce("pos", F.lit(0)) == 0, F.col("_doc")).alias("_head"), "token")
+        valued = with_word_values(rows, table, salt_by=["token"], stemmer=stemmer, broadcast_bytes=broadcast_bytes, measured=size)
+        made = valued.select("_head", F.struct(*feature_columns()).alias("_feature"))
+        return made.mapInArrow(lambda batches: _labelled(_streamed(batches), open_tagger, arrow), kinds)
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = raw.withColumn("_part", F.pmod(F.xxhash64("_raw"), F.lit(parts)).cast("int"))
+    words = dealt.select("_part", F.explode(F.array_distinct("_raw")).alias("token")).distinct()
+    valued = with_word_values(words, table, salt_by=["_part"], stemmer=stemmer, broadcast_bytes=broadcast_bytes, measured=size)
+
+    def described(t: Column) -> Column:
+        return let(tx.ascii_drop(t), lambda name: F.struct(name.alias("names"), *[c.alias(n) for n, c in ft.token_features(name).items()]))
+
+    docs = dealt.select("_part", F.col("_doc").alias("_head"), "_raw", F.transform("_raw", described).alias("_features"))
+    both = docs.unionByName(valued.drop("names"), allowMissingColumns=True)
+    ordered = both.repartition("_part").sortWithinPartitions("_part", F.col("_head").isNotNull())
+    return ordered.mapInArrow(lambda batches: _labelled(_with_vocabulary(batches), open_tagger, arrow), kinds)
+
+
 def _batched(model, texts: list[str], batch: int):
     """``(index, result)`` for every text, handing ``batch`` texts at a time to the model."""
     for first in range(0, len(texts), batch):

@@ -268,9 +268,8 @@ def feature_table(spark, folder):
 
 
 def feature_lines(spark, folder):
-    columns = ["names", "AllPunctuations", "HasPunctuation", "Digit", "Lowercase", "Title", "Vowel_count", "length"]
-    rows = of.token_features(tokens(spark, folder))
-    return rows.select("doc_id", "pos", of.feature_line(columns).alias("line"))
+    """All 19 columns as one line for each token."""
+    return feature_table(spark, folder).select("doc_id", "pos", of.feature_line().alias("line"))
 
 
 def cue_spans(spark, folder):
@@ -308,6 +307,25 @@ def open_title_tagger():
     return tag
 
 
+def open_feature_tagger():
+    """A sequence tagger that reads features: numbers, capitalised words of the lexicon, and words that have a stem or lemma."""
+
+    def kind(f: dict) -> str | None:
+        if f["Digit"]:
+            return "NUM"
+        if f["ExistinDict"] and f["Title"]:
+            return "KNOWN"
+        if f["Stem"] != f["names"] and f["percentagelower"] == 1.0:
+            return "FORM" if f["Lemma"] == f["names"] else "PLURAL"
+        return None
+
+    def tag(features: list[dict]) -> list[str]:
+        kinds = [kind(f) for f in features]
+        return ["O" if k is None else ("I-" if n and kinds[n - 1] == k else "B-") + k for n, k in enumerate(kinds)]
+
+    return tag
+
+
 def open_capital_model():
     """An entity model that finds words in capitals; texts come in batches."""
     pattern = re.compile(r"\b[A-Z]{2,}\b")
@@ -334,6 +352,15 @@ def user_sequence_tagger(spark, folder):
     return jobs.entity_rows(jobs.token_job(documents(spark, folder), open_title_tagger)).drop("n")
 
 
+def feature_tagger(spark, folder):
+    """Entities by a tagger that gets every token's 19 features."""
+    result = jobs.feature_job(
+        documents(spark, folder), open_feature_tagger, lexicon=benchmark_words(spark, folder),
+        lemmas=lemma_table(spark, folder), stems=stem_table(spark, folder),
+    )
+    return jobs.entity_rows(result).drop("n")
+
+
 def user_sentence_model(spark, folder):
     result = jobs.sentence_job(documents(spark, folder), open_capital_model)
     return jobs.entity_rows(result).drop("n", "section")
@@ -436,7 +463,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         bio_entity_rows, entity_arrays, run_entities, blank_rule, role_runs, event_runs, turn_sections,
         event_sections, sentence_offsets, section_carry, entity_trim, page_entities, in_lexicon, lemma_lookup,
         stem_vocab, stem_function, feature_table, feature_lines, cue_spans, assertions, entity_records,
-        user_sequence_tagger, user_sentence_model, failed_taggings, pending_after_failures, key_filter, key_prefix,
+        user_sequence_tagger, feature_tagger, user_sentence_model, failed_taggings, pending_after_failures, key_filter, key_prefix,
         doc_key, batches, pending_docs, run_summary, output_count, align_diagnostics, failed_docs, processed_keys,
     ):
         catalog[query.__name__] = query

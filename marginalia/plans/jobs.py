@@ -40,6 +40,19 @@ def token_job(
     return tagged.select(doc, *keep, *status, sp.bio_spans(F.col("tokens"), labels).alias("entities"))
 
 
+def feature_job(
+    docs: DataFrame, open_tagger: Callable, *, lexicon: DataFrame, lemmas: DataFrame, stems: DataFrame | None = None,
+    stemmer: Callable[[str], str] | None = None, doc: str = "doc_id", text: str = "text", keep: tuple[str, ...] = (),
+    **bounds,
+) -> DataFrame:
+    """Plain text, sequence tagger over the tokens' 19 features, BIO decode."""
+    tagged = tg.tag_features(
+        docs, open_tagger, lexicon=lexicon, lemmas=lemmas, stems=stems, stemmer=stemmer, doc=doc, text=text, keep=keep, **bounds
+    )
+    labels = F.coalesce("labels", F.array().cast("array<string>"))
+    return tagged.select(doc, *keep, "status", "error", sp.bio_spans(F.col("tokens"), labels).alias("entities"))
+
+
 def sentence_job(
     docs: DataFrame, open_model: Callable | None = None, *, cues: asr.Cues | None = None, doc: str = "doc_id",
     text: str = "text", keep: tuple[str, ...] = (), kind=ft.rule_type,

@@ -211,6 +211,12 @@ parts AS (SELECT page_id, page_no, -1 AS line_no, chr(10) || '<EPI_PAGEBREAKER>'
     UNION ALL SELECT page_id, page_no, line_no, line FROM page_lines),
 page_text AS (SELECT page_id, string_agg(part, chr(10) ORDER BY page_no, line_no) AS text FROM parts GROUP BY page_id)"""
 
+# The output order of the feature table.
+FEATURE_ORDER = [
+    "names", "AllPunctuations", "HasPunctuation", "Digit", "ExistinDict", "Lemma", "Stem",
+    "Lowercase", "Title", "Uppercase", "Vowel_count", "digit_in_words", "last_2", "last_3",
+    "length", "percentageDigit", "percentagePunc", "percentageUpper", "percentagelower",
+]
 ALL_FEATURES = {
     "AllPunctuations": "regexp_matches(t, '^[[:punct:]]*$')",
     "HasPunctuation": "regexp_matches(t, '[[:punct:]]')",
@@ -279,14 +285,16 @@ def bool_word(expression: str) -> str:
 def oracle_sql() -> dict[str, str]:
     f = ALL_FEATURES
     whole = list(f)
-    line = ", ".join(
-        ["t", *[bool_word(f[c]) for c in ("AllPunctuations", "HasPunctuation", "Digit")], f["Lowercase"],
-         bool_word(f["Title"]), f"({f['Vowel_count']})::VARCHAR", f"({f['length']})::VARCHAR"]
-    )
     feature_row = {
         "names": "t", "ExistinDict": "w.word IS NOT NULL", "Lemma": "coalesce(l.lemma, t)", "Stem": "coalesce(s.stem, t)",
         **f,
     }
+    # Flags as words, shares as the shortest decimal numbers that are they, the rest as it is.
+    flags = {"AllPunctuations", "HasPunctuation", "Digit", "ExistinDict", "Title", "digit_in_words"}
+    line = ", ".join(
+        bool_word(feature_row[n]) if n in flags else f"({feature_row[n]})::VARCHAR" for n in FEATURE_ORDER
+    )
+    joined = "FROM atok LEFT JOIN words w ON w.word = token LEFT JOIN lemmas l ON l.word = t LEFT JOIN stems s ON s.word = t"
     return {
         "ascii_drop": f"SELECT doc_id, {drop('text')} AS text FROM documents",
         "ascii_blank": f"SELECT doc_id, {blank('text')} AS text FROM documents",
@@ -310,7 +318,7 @@ def oracle_sql() -> dict[str, str]:
         "punct_flags": features("Digit", "digit_in_words", "HasPunctuation", "AllPunctuations"),
         "char_shares": features("percentageDigit", "percentagePunc", "percentageUpper", "percentagelower"),
         "vowel_count": features("Vowel_count"),
-        "feature_lines": f"WITH {TOK} SELECT doc_id, pos, concat_ws(' ', {line}) AS line FROM atok",
+        "feature_lines": f"WITH {FORMS} SELECT doc_id, pos, concat_ws(' ', {line}) AS line {joined}",
         "in_lexicon": f"""WITH {FORMS} SELECT doc_id, pos, token, word IS NOT NULL AS "ExistinDict"
             FROM tok LEFT JOIN words ON word = token""",
         "lemma_lookup": f"""WITH {FORMS} SELECT doc_id, pos, token, coalesce(lemma, t) AS "Lemma"
@@ -320,8 +328,7 @@ def oracle_sql() -> dict[str, str]:
         "stem_function": f"""WITH {TOK} SELECT doc_id, pos, token,
             regexp_replace(lower(t), '(ing|ed|es|s)$', '') AS "Stem" FROM atok""",
         "feature_table": f"""WITH {FORMS} SELECT doc_id, pos, {', '.join(f'{e} AS "{n}"' for n, e in feature_row.items())}
-            FROM atok LEFT JOIN words w ON w.word = token LEFT JOIN lemmas l ON l.word = t
-            LEFT JOIN stems s ON s.word = t""",
+            {joined}""",
         "rule_labels": f"WITH {LABELS} SELECT doc_id, pos, token, label FROM labelled",
         "lexicon_labels": f"WITH {LEXICON_LABELS} SELECT doc_id, pos, token, label FROM labelled",
         "label_align": f"""WITH {TOK}, {LINE_LABELS} SELECT t.doc_id, t.pos, t.token, l.label FROM tok t
@@ -338,6 +345,15 @@ def oracle_sql() -> dict[str, str]:
             tok_start + length(token) AS tok_end FROM offsets""",
         "bio_entities": f"WITH {LABELS}, {BIO} SELECT {ENTITY_COLUMNS} FROM entities",
         "user_sequence_tagger": f"WITH {LABELS}, {BIO} SELECT {ENTITY_COLUMNS} FROM entities",
+        "feature_tagger": f"""WITH {FORMS},
+            valued AS (SELECT doc_id, pos, t, w.word IS NOT NULL AS known, coalesce(l.lemma, t) AS lemma,
+              coalesce(s.stem, t) AS stem {joined}),
+            kinds AS (SELECT doc_id, pos, t, CASE WHEN {f['Digit']} THEN 'NUM' WHEN known AND {f['Title']} THEN 'KNOWN'
+              WHEN stem <> t AND {f['percentagelower']} = 1.0 THEN CASE WHEN lemma = t THEN 'FORM' ELSE 'PLURAL' END END AS k
+              FROM valued),
+            labelled AS (SELECT doc_id, pos, t AS token, CASE WHEN k IS NULL THEN 'O'
+              WHEN k = lag(k) OVER (PARTITION BY doc_id ORDER BY pos) THEN 'I-' || k ELSE 'B-' || k END AS label FROM kinds),
+            {BIO} SELECT {ENTITY_COLUMNS} FROM entities""",
         "bio_entity_rows": f"WITH {LEXICON_LABELS}, {BIO} SELECT {ENTITY_COLUMNS} FROM entities",
         "entity_arrays": f"""WITH {LABELS}, {BIO}, arrays AS (SELECT doc_id, count(*) AS n,
             to_json(list({{'text': text, 'start': start, 'end': "end", 'type': type}} ORDER BY start))::VARCHAR AS records

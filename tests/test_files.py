@@ -1,6 +1,7 @@
 """Sources, sinks, user models and the streaming read, on small folders."""
 
 import json
+import os
 from datetime import datetime
 
 import pytest
@@ -15,6 +16,7 @@ from marginalia.operators import text as ot
 from marginalia.plans import jobs
 from marginalia.sinks import files as sink
 from marginalia.sources import files as source
+from marginalia.sources import listing
 from marginalia.streaming.incremental import annotate_arrivals, arriving_documents
 
 
@@ -41,20 +43,96 @@ def test_text_and_markup_documents(spark, corpus):
     assert [(e["text"], e["start"]) for e in entities] == [("John", 21)]
 
 
-def test_partition_floor_without_shuffle(spark, corpus):
-    before = spark.conf.get("spark.sql.files.minPartitionNum", None)
-    try:
-        docs = source.text_documents(spark, corpus, min_partitions=3, keep_empty=False)
-        assert docs.rdd.getNumPartitions() <= 3
-        assert spark.conf.get("spark.sql.files.minPartitionNum") == "3"
-        assert "Exchange" not in docs._jdf.queryExecution().executedPlan().toString()
-        # Only the names of files of zero length are joined; the texts stay where they are.
-        docs = source.text_documents(spark, corpus)
-        before_scan = docs._jdf.queryExecution().executedPlan().toString().split("FileScan text")
-        assert len(before_scan) == 2 and "Exchange" not in before_scan[0]
-    finally:
-        if before is None:
-            spark.conf.unset("spark.sql.files.minPartitionNum")
+def test_finer_splits_without_shuffle_or_setting(spark, corpus):
+    docs = source.text_documents(spark, corpus, min_partitions=3, keep_empty=False)
+    assert 1 < docs.rdd.getNumPartitions() <= 3
+    assert spark.conf.get("spark.sql.files.minPartitionNum", None) is None
+    assert "Exchange" not in docs._jdf.queryExecution().executedPlan().toString()
+    # Files of zero length come from the listing, which the tasks make; nothing is joined or shuffled.
+    plan = source.text_documents(spark, corpus)._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan text" in plan and "BatchScan keys" in plan and "Exchange" not in plan and "LocalTableScan" not in plan
+    assert source.text_documents(spark, corpus, min_partitions=3).count() == 3
+
+
+def test_keys_where_the_folders_name_recurs(spark, tmp_path):
+    for name in ("1.txt", "b/a/1.txt", "b/c/2.txt", "b.txt", "ab/3.txt", "_tmp/4.txt", "b/.5.txt", "bb/6.txt"):
+        path = tmp_path / "a" / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text("Mr")
+    (tmp_path / "a" / "b" / "empty.txt").write_text("")
+    folder = str(tmp_path / "a")
+    every = ["1", "ab/3", "b", "b/a/1", "b/c/2", "b/empty", "bb/6"]
+    for root in (folder, f"file://{folder}", f"{folder}/"):
+        assert sorted(r["doc_id"] for r in source.text_documents(spark, root, recursive=True).collect()) == every
+        assert sorted(r["key"] for r in source.list_keys(spark, root).collect()) == sorted(f"{x}.txt" for x in every)
+    listed = lambda **how: sorted(r["key"] for r in source.list_keys(spark, folder, **how).collect())
+    assert listed(prefix="b") == ["b.txt", "b/a/1.txt", "b/c/2.txt", "b/empty.txt", "bb/6.txt"]
+    assert listed(prefix="b/") == ["b/a/1.txt", "b/c/2.txt", "b/empty.txt"] == listed(prefix="b/", start_after="b/")
+    assert listed(prefix="b/c/2") == ["b/c/2.txt"] and listed(prefix="x/") == []
+    assert listed(start_after="b/a/1.txt") == ["b/c/2.txt", "b/empty.txt", "bb/6.txt"]
+    relative = os.path.relpath(folder)
+    assert sorted(r["doc_id"] for r in source.text_documents(spark, relative, recursive=True).collect()) == every
+
+
+def test_listing_by_resuming_and_by_any_number_of_tasks(spark, tmp_path):
+    names = [f"{a}/{b}/{n}.txt" for a in "abc" for b in ("x", "y", "xy") for n in range(30)] + [f"flat{n}" for n in range(40)]
+    for name in names:
+        path = tmp_path / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text("")
+    keys, after = [], ""
+    while True:  # pages of 100 keys, each resumed after the one before
+        page = [r["key"] for r in source.list_keys(spark, str(tmp_path), start_after=after).orderBy("key").limit(100).collect()]
+        if not page:
+            break
+        keys += page
+        after = page[-1]
+    assert keys == sorted(names)
+    for tasks in (1, 2, 5, 1000):
+        options = {"path": str(tmp_path), "tasks": str(tasks), "prefix": "b/x"}
+        reader = listing.KeyReader(options)
+        parts = reader.partitions()
+        assert sorted(k for p in parts for k, _, _ in reader.read(p)) == sorted(n for n in names if n.startswith("b/x"))
+        assert len(parts) == len({p.below for p in parts}) and all(p.below.startswith("b/") for p in parts)
+
+
+@pytest.mark.parametrize("size", [1, 700, 1 << 20])
+def test_lines_of_a_file_of_many_splits(spark, tmp_path, size):
+    texts = {
+        "long": "".join(f"line {n} é\n" * (n % 3 + 1) for n in range(4000)), "open": "a\nb", "blank": "\n\n \n", "none": "",
+        "cr": "x\r\ny\r\n", "wide": "w" * 5000 + "\nend\n",
+    }
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for name, text in texts.items():
+        (folder / f"{name}.txt").write_bytes(text.encode())
+    found = {}
+    size = max(size, 1 << 12) if size == 1 else size  # 4 kB, or the whole of a small file
+    lines = source.numbered_lines(spark, str(folder), suffix=".txt", split_bytes=size)
+    for r in lines.collect():
+        found.setdefault(r["doc_id"], {})[r["line_no"]] = r["line"]
+    for name, text in texts.items():
+        want = text.split("\n")
+        want = want[:-1] if want[-1] == "" else want
+        assert found.get(name, {}) == dict(enumerate(want)), name
+    if size < 1 << 20:
+        assert lines.select(F.spark_partition_id()).distinct().count() > 8
+    assert spark.conf.get("spark.sql.files.minPartitionNum", None) is None
+
+
+def test_stored_features_and_labels_of_many_splits(spark, tmp_path):
+    (tmp_path / "f").mkdir()
+    (tmp_path / "f" / "d.txt").write_text("".join(f"t{n} x y\n" for n in range(3000)))
+    (tmp_path / "l.d").mkdir()
+    (tmp_path / "l.d" / "d.txt").write_text("log\nlog\n" + "".join(f"L{n} \n" for n in range(3000)))
+    whole = sq.align_labels(source.feature_tokens(spark, str(tmp_path / "f")), source.label_stream(spark, str(tmp_path / "l.d")))
+    split = sq.align_labels(
+        source.feature_tokens(spark, str(tmp_path / "f"), split_bytes=1000),
+        source.label_stream(spark, str(tmp_path / "l.d"), split_bytes=1000),
+    )
+    rows = sorted(map(tuple, split.select("doc_id", "pos", "token", "label").collect()))
+    assert rows == sorted(map(tuple, whole.select("doc_id", "pos", "token", "label").collect()))
+    assert rows == [("d", n, f"t{n}", f"L{n}") for n in range(3000)]
 
 
 def test_list_keys(spark, corpus):
@@ -80,8 +158,8 @@ def test_files_of_zero_length_and_equal_names(spark, tmp_path):
     assert flat == {"1": "Mr Two", "é +%": ""}
     keys = {r["key"]: r["length"] for r in source.list_keys(spark, folder).collect()}
     assert keys == {"a/1.txt": 6, "b/1.txt": 6, "b/é +%.txt": 0, "c/x.y.txt": 0}
-    listing = source.list_keys(spark, folder, prefix="b/")
-    assert {r["key"] for r in listing.collect()} == {"b/1.txt", "b/é +%.txt"}
+    under = source.list_keys(spark, folder, prefix="b/")
+    assert {r["key"] for r in under.collect()} == {"b/1.txt", "b/é +%.txt"}
 
 
 def test_feature_lines_and_labels_round_trip(spark, tmp_path):
@@ -224,16 +302,77 @@ def test_sentence_model_sees_batches_of_fifty(spark):
     assert len(sizes) == 120 and set(sizes) == {"50", "20"}
 
 
-def test_feature_rows_reach_the_tagger(spark):
-    docs = spark.createDataFrame([(1, "Mr 12 x"), (2, "A")], "doc_id int, text string")
-    rows = of.token_features(ot.tokenize(docs))
-    nested = tg.nest_rows(rows, ["names", "Digit", "length"])
+def feature_docs(spark):
+    texts = ["Mr 12 cats; naïve Cats", "", None, "12", "the " * 900 + "Mr", "naïve naive"]
+    return spark.createDataFrame([(i, f"k{i}", t) for i, t in enumerate(texts)] + [(None, "k", "the")], "doc_id int, kept string, text string")
+
+
+WORDS = {"Mr": (True, None, None), "cats": (True, "cat", "cat"), "naive": (False, "naïf", None), "nave": (False, "boat", "nav"), "naïve": (True, None, None)}
+
+
+def word_tables(spark):
+    def table(column, name):
+        rows = [(w, v[column]) for w, v in WORDS.items() if v[column]]
+        return spark.createDataFrame(rows * 2, f"word string, {name} {'boolean' if name == 'known' else 'string'}")
+
+    return {"lexicon": table(0, "known"), "lemmas": table(1, "lemma"), "stems": table(2, "stem")}
+
+
+@pytest.mark.parametrize("bound", [10**9, 0])
+def test_feature_rows_reach_the_tagger(spark, bound):
+    docs = feature_docs(spark).repartition(3)
+
+    def open_tagger():
+        return lambda seq: [f"B-{f['names']}|{f['ExistinDict']}|{f['Lemma']}|{f['Stem']}|{f['length']}|{list(f)[0]}" for f in seq]
+
+    tagged = tg.tag_features(docs, open_tagger, keep=("kept",), broadcast_bytes=bound, **word_tables(spark))
+    rows = {r["doc_id"]: r for r in tagged.collect()}
+    assert len(rows) == 7 and all(r["status"] == "ok" for r in rows.values())
+    want = {}
+    for r in docs.collect():
+        tokens = (r["text"] or "").replace(";", " ").split()
+        want[r["doc_id"]] = []
+        for t in tokens:
+            name = t.encode("ascii", "ignore").decode()
+            known, lemma, stem = WORDS.get(t, (False, None, None))[0], *WORDS.get(name, (False, None, None))[1:]
+            want[r["doc_id"]].append(f"B-{name}|{known}|{lemma or name}|{stem or name}|{len(name)}|names")
+        assert rows[r["doc_id"]]["kept"] == r["kept"]
+    assert {k: r["labels"] for k, r in rows.items()} == want
+    assert rows[0]["tokens"] == ["Mr", "12", "cats", "nave", "Cats"] and rows[1]["tokens"] == []
+
+
+@pytest.mark.parametrize("bound", [10**9, 0])
+def test_a_feature_tagger_that_fails(spark, bound):
+    def open_tagger():
+        def tag(seq):
+            if len(seq) > 100:
+                raise ValueError("too long")
+            return ["O"] * (len(seq) - (len(seq) == 1))
+
+        return tag
+
+    rows = {r["doc_id"]: r for r in tg.tag_features(feature_docs(spark), open_tagger, broadcast_bytes=bound, **word_tables(spark)).collect()}
+    assert rows[4]["error"] == "ValueError: too long" and rows[4]["labels"] is None and len(rows[4]["tokens"]) == 901
+    assert rows[3]["error"] == "ValueError: 0 labels for 1 elements" and rows[0]["status"] == "ok"
+
+
+def test_a_stemmer_in_the_features(spark):
+    tables = word_tables(spark)
+    del tables["stems"]
 
     def open_tagger():
-        return lambda seq: ["B-NUM" if f["Digit"] else f"B-{f['length']}" for f in seq]
+        return lambda seq: [f["Stem"] for f in seq]
+
+    tagged = tg.tag_features(feature_docs(spark).filter("doc_id = 0"), open_tagger, stemmer=str.upper, **tables)
+    assert tagged.first()["labels"] == ["MR", "12", "CATS", "NAVE", "CATS"]
+
+
+def test_feature_tagging_shuffles_lookups_only(spark):
+    from marginalia.plans import catalog
 
-    got = {r["doc_id"]: r["labels"] for r in tg.tag_sequences(nested, open_tagger, sequence="features").collect()}
-    assert got == {1: ["B-2", "B-NUM", "B-1"], 2: ["B-1"]}
+    text = catalog.feature_tagger(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    documents = text.split("BroadcastExchange")[0]
+    assert not [x for x in documents.splitlines() if "Exchange " in x and "RoundRobin" not in x]
 
 
 def test_chunk_model(spark):

@@ -112,6 +112,29 @@ def test_lookup_beyond_the_broadcast_bound(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_a_hot_word_is_spread_evenly(spark):
+    """A word that is a third of all tokens, and tokens without a word, over 8 tasks."""
+    token = F.when(F.col("id") % 3 == 0, "the").when(F.col("id") % 3 == 1, F.concat(F.lit("w"), F.col("id") % 997))
+    tokens = spark.range(60_000).select(F.col("id").alias("doc_id"), F.lit(0).alias("pos"), token.alias("token"))
+    table = spark.createDataFrame([("the", "THE"), ("w7", "SEVEN"), (None, "none")], "word string, form string")
+    args = {"word": "word", "salt_by": ["doc_id", "pos"]}
+    keep = {n: spark.conf.get(n) for n in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert dict(lookup.hot_keys(tokens, "token", 8)) == {"the": 22, None: 22}
+        spread = lookup.lookup(tokens, table, F.col("token"), broadcast_bytes=0, **args)
+        sizes = [r["count"] for r in spread.groupBy(F.spark_partition_id()).count().collect()]
+        assert len(sizes) == 8 and max(sizes) < 1.6 * 60_000 / 8
+        assert rows(spread) == rows(lookup.lookup(tokens, table, F.col("token"), **args))
+        even = tokens.withColumn("token", F.concat(F.lit("w"), F.col("doc_id") % 997))
+        assert lookup.hot_keys(even, "token", 8) == []
+        assert "_salt" not in plan(lookup.lookup(even, table, F.col("token"), broadcast_bytes=0, **args))
+    finally:
+        for name, value in keep.items():
+            spark.conf.set(name, value)
+
+
 def test_pending_both_ways(spark):
     docs = spark.range(100).withColumnRenamed("id", "doc_id")
     done = docs.filter("doc_id % 3 = 0").unionAll(docs.filter("doc_id = 3"))
