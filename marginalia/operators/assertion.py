@@ -10,11 +10,13 @@ from __future__ import annotations
 
 from collections import defaultdict
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marginalia.functions import text as tx
-from marginalia.functions.sequence import MARK, counts_up_to, let, starts
+from marginalia.functions.sequence import MARK, counts_up_to, let, positions, starts
+from marginalia.operators.lookup import BROADCAST_BYTES, lookup
+from marginalia.operators.phrases import found_phrases, phrase_table
 from marginalia.operators.text import explode_rows
 
 NEGATED = "negated"
@@ -22,8 +24,9 @@ AFFIRMED = "affirmed"
 REACH = 5  # tokens between a cue and the entity it can reach
 KINDS = ("pre", "post", "pseudo", "term")
 
-# Pairs (cue, kind), or a table of those two columns: a dictionary, which becomes part of the plan.
+# Pairs (cue, kind), which become part of the plan, or a table of those two columns, which is joined.
 Cues = list[tuple[str, str]] | DataFrame
+LISTED = 1000  # cues that become part of the plan at most; a longer list is made a table
 
 
 def scope_tokens(text: Column) -> Column:
@@ -64,23 +67,74 @@ def scope_tokens(text: Column) -> Column:
     )
 
 
-def _by_words(cues: Cues) -> dict[int, dict[str, str]]:
+def _by_words(cues: list[tuple[str, str]]) -> dict[int, dict[str, str]]:
     """Cues by number of words: normalised phrase to kind."""
     table: dict[int, dict[str, str]] = defaultdict(dict)
-    for cue, kind in cues.select("cue", "kind").toLocalIterator() if isinstance(cues, DataFrame) else cues:
+    for cue, kind in cues:
         if kind not in KINDS:
             raise ValueError(f"unknown cue kind {kind!r}")
         words = cue.lower().split()
-        table[len(words)][" ".join(words)] = kind
+        if words:
+            table[len(words)][" ".join(words)] = kind
     return table
 
 
-def find_cues(tokens: Column, cues: Cues) -> Column:
-    """``array<struct<first, last, kind, cue, sent_id, start, end>>`` for scope tokens.
+def _as_table(spark: SparkSession, cues: Cues) -> DataFrame | None:
+    """The cues as phrases, if they are a table or too many for the plan."""
+    if not isinstance(cues, DataFrame):
+        if len(cues) <= LISTED:
+            return None
+        cues = spark.createDataFrame(list({" ".join(c.lower().split()): (c, k) for c, k in cues}.values()), "cue string, kind string")
+    known = F.when(F.col("kind").isin(*KINDS), F.col("kind"))
+    checked = F.coalesce(known, F.raise_error(F.concat(F.lit("unknown cue kind "), F.col("kind"))).cast("string"))
+    return phrase_table(cues.select("cue", checked.alias("kind")), "cue", "kind")
+
+
+def _longest(phrases: DataFrame) -> int:
+    return phrases.agg(F.max("words")).first()[0] or 1
+
+
+def _table_cues(texts: DataFrame, phrases: DataFrame, longest: int, by: list[str], text: str, broadcast_bytes: int) -> DataFrame:
+    """``(by..., found)`` of texts that hold cues: ``array<struct<i, n, phrase, value, ends>>`` by scope tokens."""
+
+    def ahead(tk: Column, i: Column) -> Column:
+        """The token and those behind it in its sentence up to the first with ``stop``, as far as any cue goes."""
+        window = F.slice(tk, i + 1, F.lit(longest))
+        return let(window, lambda ws: let(
+            positions(ws, lambda w, k: (w["sent_id"] != F.get(ws, F.lit(0))["sent_id"]) | ((k > 0) & F.get(ws, k - 1)["stop"])),
+            lambda cuts: F.transform(
+                F.slice(ws, F.lit(1), F.coalesce(F.get(cuts, F.lit(0)), F.size(ws))),
+                lambda w: F.struct(w["word"].alias("word"), F.struct(w["end"].alias("end"), F.get(ws, F.lit(0))["start"].alias("start"),
+                                                                    F.get(ws, F.lit(0))["sent_id"].alias("sent_id")).alias("end")),
+            ),
+        ))
+
+    rows = let(scope_tokens(F.col(text)), lambda tk: F.transform(tk, lambda t, i: ahead(tk, i)))
+    words = explode_rows(texts, rows, *by, pos="i", item="ahead")
+    return found_phrases(words, phrases, by=by, longest=longest, broadcast_bytes=broadcast_bytes)
+
+
+def _dense(found: Column, size: Column) -> Column:
+    """Marks along the tokens, as ``cue_marks`` gives them, out of the cues in order."""
+    none = F.lit(None).cast("struct<n:int,kind:string,cue:string>")
+
+    def stretch(f: Column, k: Column) -> Column:
+        before = F.coalesce(F.get(found, k - 1)["i"] + 1, F.lit(0))
+        mark = F.struct(f["n"].alias("n"), f["value"].alias("kind"), f["phrase"].alias("cue"))
+        return F.concat(F.array_repeat(none, f["i"] - before), F.array(mark))
+
+    last = F.coalesce(F.get(found, F.size(found) - 1)["i"] + 1, F.lit(0))
+    return F.concat(F.flatten(F.transform(found, stretch)), F.array_repeat(none, size - last))
+
+
+def cue_marks(tokens: Column, cues: Cues) -> Column:
+    """``array<struct<n, kind, cue>>`` along the scope tokens: the cue of ``n`` words that begins at each, or null.
 
     At each token the longest cue counts; a cue inside a longer one is dropped.
     """
     table = _by_words(cues)
+    if not table:
+        return F.transform(tokens, lambda t: F.lit(None).cast("struct<n:int,kind:string,cue:string>"))
     openers = sorted({phrase.split()[0] for phrases in table.values() for phrase in phrases})
     lengths = sorted(table, reverse=True)
 
@@ -97,6 +151,8 @@ def find_cues(tokens: Column, cues: Cues) -> Column:
         """Words of the longest cue that starts at token ``i``."""
 
         def fits(n: int) -> Column:
+            if n == 1:
+                return t["word"].isin(sorted(table[1]))
             whole = F.get(tk, i + n - 1)["sent_id"] == t["sent_id"]
             for step in range(n - 1):
                 whole = whole & ~F.get(tk, i + step)["stop"]
@@ -108,38 +164,42 @@ def find_cues(tokens: Column, cues: Cues) -> Column:
             chain = chain.when(fits(n), F.lit(n))
         return chain
 
-    def cue(tk: Column, i: Column, n: Column) -> Column:
+    def mark(tk: Column, i: Column, n: Column) -> Column:
         phrase = F.array_join(F.transform(F.slice(tk, i + 1, n), lambda x: x["word"]), " ")
-        first, last = F.get(tk, i), F.get(tk, i + n - 1)
-        return F.struct(
-            i.alias("first"),
-            (i + n - 1).alias("last"),
-            kind_of(phrase).alias("kind"),
-            phrase.alias("cue"),
-            first["sent_id"].alias("sent_id"),
-            first["start"].alias("start"),
-            last["end"].alias("end"),
-        )
-
-    reach = max(lengths)
-
-    def covered(ns: Column, i: Column, n: Column) -> Column:
-        """A cue that starts up to ``reach - 1`` tokens earlier ends no earlier."""
-        hit = F.lit(False)
-        for back in range(1, reach):
-            hit = hit | F.coalesce(F.when(i >= back, F.get(ns, i - back)) - back >= n, F.lit(False))
-        return hit
+        return let(phrase, lambda p: F.struct(n.alias("n"), kind_of(p).alias("kind"), p.alias("cue")))
 
     return let(
         F.transform(tokens, lambda t, i: match(tokens, t, i)),
-        lambda ns: F.array_compact(
-            F.transform(
-                ns, lambda n, i: F.when(n.isNotNull() & ~covered(ns, i, n), cue(tokens, i, n))
-            )
+        lambda ns: F.transform(
+            ns, lambda n, i: F.when(n.isNotNull() & ~_covered(ns, i, n, max(lengths)), mark(tokens, i, n))
         ),
     )
 
 
+def _covered(ns: Column, i: Column, n: Column, reach: int) -> Column:
+    """A cue that starts up to ``reach - 1`` tokens earlier ends no earlier."""
+    hit = F.lit(False)
+    for back in range(1, reach):
+        hit = hit | F.coalesce(F.when(i >= back, F.get(ns, i - back)) - back >= n, F.lit(False))
+    return hit
+
+
+def find_cues(tokens: Column, cues: Cues) -> Column:
+    """``array<struct<first, last, kind, cue, sent_id, start, end>>`` for scope tokens, by ``cue_marks``."""
+
+    def placed(m: Column, i: Column) -> Column:
+        first, last = F.get(tokens, i), F.get(tokens, i + m["n"] - 1)
+        return F.struct(
+            i.alias("first"), (i + m["n"] - 1).alias("last"), m["kind"].alias("kind"), m["cue"].alias("cue"),
+            first["sent_id"].alias("sent_id"), first["start"].alias("start"), last["end"].alias("end"),
+        )
+
+    return let(
+        cue_marks(tokens, cues),
+        lambda marks: F.array_compact(F.transform(marks, lambda m, i: F.when(m.isNotNull(), placed(m, i)))),
+    )
+
+
 def _placed(es: Column, tokens: Column) -> Column:
     """First token, last token and sentence of each entity."""
     starts = F.transform(tokens, lambda t: t["start"])
@@ -160,38 +220,54 @@ def _placed(es: Column, tokens: Column) -> Column:
     )
 
 
-def _nearest(placed: Column, cues: Column, kind: str, before: bool) -> Column:
-    """The nearest cue of a kind wholly before (after) each entity, or null."""
+def _negated(p: Column, tokens: Column, marks: Column, longest: int, reach: int) -> Column:
+    """Whether a cue reaches the entity: only the tokens within reach on either side are looked at."""
+
+    def at(i: Column) -> Column:
+        return F.get(marks, i)
 
-    def pick(cs: Column) -> Column:
-        if before:
-            passed = counts_up_to(
-                F.transform(placed, lambda p: p["first"]), F.transform(cs, lambda c: c["last"] + 1)
-            )
-            return F.transform(passed, lambda n: F.when(n > 0, F.get(cs, n - 1)))
-        begun = counts_up_to(F.transform(placed, lambda p: p["last"]), F.transform(cs, lambda c: c["first"]))
-        return F.transform(begun, lambda n: F.get(cs, n))
+    def places(first: Column, last: Column) -> Column:
+        return F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
 
-    return let(F.filter(cues, lambda c: c["kind"] == kind), pick)
+    def stopped(first: Column, last: Column) -> Column:
+        """A ``term`` cue lies wholly from ``first`` to ``last``."""
+        return F.exists(places(first, last), lambda j: F.coalesce((at(j)["kind"] == "term") & (j + at(j)["n"] - 1 <= last), F.lit(False)))
 
+    def before(s: Column) -> Column:
+        end = s + at(s)["n"]  # the token behind the cue
+        near = (at(s)["kind"] == "pre") & (end <= p["first"]) & (p["first"] - end <= reach)
+        return F.coalesce(near & (F.get(tokens, s)["sent_id"] == p["sent_id"]), F.lit(False)) & ~stopped(end, p["first"] - 1)
 
-def _reaches(p: Column, cue: Column, stop: Column, before: bool, reach: int) -> Column:
-    gap = p["first"] - cue["last"] - 1 if before else cue["first"] - p["last"] - 1
-    blocked = stop["first"] > cue["last"] if before else stop["last"] < cue["first"]
-    near = (cue["sent_id"] == p["sent_id"]) & (gap <= reach)
-    return F.coalesce(near & ~F.coalesce(blocked, F.lit(False)), F.lit(False))
+    def after(s: Column) -> Column:
+        near = (at(s)["kind"] == "post") & (F.get(tokens, s)["sent_id"] == p["sent_id"])
+        return F.coalesce(near, F.lit(False)) & ~stopped(p["last"] + 1, s - 1)
 
+    return F.exists(places(F.greatest(p["first"] - reach - longest, F.lit(0)), p["first"] - 1), before) | F.exists(
+        places(p["last"] + 1, F.least(p["last"] + 1 + reach, F.size(marks) - 1)), after
+    )
 
-def cue_spans(df: DataFrame, cues: Cues, *, doc: str = "doc_id", text: str = "text") -> DataFrame:
+
+def cue_spans(
+    df: DataFrame, cues: Cues, *, doc: str = "doc_id", text: str = "text", broadcast_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
     """``(doc, sent_id, start, end, cue, kind)`` of every cue in every document."""
-    scoped = df.select(doc, scope_tokens(F.col(text)).alias("_tokens"))
-    found = scoped.select(doc, let(F.col("_tokens"), lambda tk: find_cues(tk, cues)).alias("_cues"))
-    rows = explode_rows(found, F.col("_cues"), doc)
-    return rows.select(doc, *[F.col(f"item.{c}").alias(c) for c in ("sent_id", "start", "end", "cue", "kind")])
+    phrases = _as_table(df.sparkSession, cues)
+    if phrases is None:
+        scoped = df.select(doc, scope_tokens(F.col(text)).alias("_tokens"))
+        found = scoped.select(doc, let(F.col("_tokens"), lambda tk: find_cues(tk, cues)).alias("_cues"))
+        rows = explode_rows(found, F.col("_cues"), doc)
+        return rows.select(doc, *[F.col(f"item.{c}").alias(c) for c in ("sent_id", "start", "end", "cue", "kind")])
+    numbered = df.select(doc, text, F.monotonically_increasing_id().alias("_row"))
+    found = _table_cues(numbered, phrases, _longest(phrases), [doc, "_row"], text, broadcast_bytes)
+    found = found.select(doc, F.explode("found").alias("x"))
+    return found.select(
+        doc, "x.ends.sent_id", "x.ends.start", "x.ends.end", F.col("x.phrase").alias("cue"), F.col("x.value").alias("kind")
+    )
 
 
 def assert_entities(
-    df: DataFrame, cues: Cues, *, text: str = "text", entities: str = "entities", reach: int = REACH
+    df: DataFrame, cues: Cues, *, text: str = "text", entities: str = "entities", reach: int = REACH,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Add ``assertion`` to the entity array of every document row.
 
@@ -200,39 +276,43 @@ def assert_entities(
     before it with no ``term`` cue between, or a ``post`` cue starts at most
     ``reach`` tokens after it likewise.  ``pseudo`` cues negate nothing and,
     being longer, displace the cue inside them.
+
+    Listed cues are found in the document's row.  The cues of a table are found
+    once for each text and looked up by the text's digest, so that texts stay where they are.
     """
-    kept = df.columns
-    df = df.withColumn("_tokens", scope_tokens(F.col(text)))
-    df = df.withColumn("_cues", let(F.col("_tokens"), lambda tk: find_cues(tk, cues)))
-    df = df.withColumn(
-        "_placed", let(F.col(entities), lambda es: let(F.col("_tokens"), lambda tk: _placed(es, tk)))
-    )
-    sides = {
-        "_pre": ("pre", True), "_stop_pre": ("term", True), "_post": ("post", False), "_stop_post": ("term", False),
-    }
+    phrases = _as_table(df.sparkSession, cues)
+    if phrases is not None:
+        texts = df.select(F.md5(F.col(text).cast("binary")).alias("_digest"), F.col(text).alias("_text"))
+        longest = _longest(phrases)
+        found = _table_cues(texts, phrases, longest, ["_digest"], "_text", broadcast_bytes)
+        found = found.withColumn("found", F.transform("found", lambda f: f.dropFields("ends")))
+        size = found.agg(F.sum(64 + 48 * F.size("found"))).first()[0] or 0
+        joined = lookup(
+            df, found, F.md5(F.col(text).cast("binary")), word="_digest", salt_by=[text], broadcast_bytes=broadcast_bytes, measured=size
+        )
+        cues_of = F.coalesce("found", F.array().cast(dict(found.dtypes)["found"]))
+        return _asserted(joined, lambda tk: let(cues_of, lambda f: _dense(f, F.size(tk))), longest, text, entities, reach).drop("found")
+    longest = max(_by_words(cues), default=1)
+    return _asserted(df, lambda tk: cue_marks(tk, cues), longest, text, entities, reach)
+
 
-    def side(kind: str, before: bool) -> Column:
+def _asserted(df: DataFrame, marks_of, longest: int, text: str, entities: str, reach: int) -> DataFrame:
+    shown = F.coalesce(F.col(entities), F.array().cast(dict(df.dtypes)[entities]))
+
+    def asserted(es: Column) -> Column:
         return let(
-            F.col("_placed"), lambda pl: let(F.col("_cues"), lambda cs: _nearest(pl, cs, kind, before))
+            scope_tokens(F.col(text)),
+            lambda tk: let(marks_of(tk), lambda marks: let(
+                F.when(F.exists(marks, lambda m: m["kind"].isin("pre", "post")), _placed(es, tk)),
+                lambda places: F.transform(es, lambda e, i: let(F.get(places, i), lambda p: e.withField(
+                    "assertion", F.when(p.isNotNull() & _negated(p, tk, marks, longest, reach), F.lit(NEGATED)).otherwise(F.lit(AFFIRMED))
+                ))),
+            )),
         )
 
-    df = df.select(*kept, "_placed", *[side(*of).alias(name) for name, of in sides.items()])
-    around = F.arrays_zip("_placed", *sides)
-    asserted = let(
-        around,
-        lambda z: F.transform(
-            F.col(entities),
-            lambda e, i: let(
-                F.get(z, i),
-                lambda x: e.withField(
-                    "assertion",
-                    F.when(
-                        _reaches(x["_placed"], x["_pre"], x["_stop_pre"], True, reach)
-                        | _reaches(x["_placed"], x["_post"], x["_stop_post"], False, reach),
-                        F.lit(NEGATED),
-                    ).otherwise(F.lit(AFFIRMED)),
-                ),
-            ),
-        ),
-    )
-    return df.select(*[asserted.alias(c) if c == entities else F.col(c) for c in kept])
+    # A text without entities is not taken apart.
+    none = F.transform(shown, lambda e: e.withField("assertion", F.lit(AFFIRMED)))
+    result = let(shown, lambda es: F.when(F.size(es) > 0, asserted(es)).otherwise(none))
+    return df.select(*[
+        F.when(F.col(c).isNotNull(), result).alias(c) if c == entities else F.col(c) for c in df.columns
+    ])

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from marginalia.functions import sequence as fs
 from marginalia.functions import spans as sp
-from marginalia.operators import batching, features, lookup, metrics
+from marginalia.operators import assertion, batching, features, lookup, metrics
 from marginalia.operators import sequences as sq
 
 
@@ -135,6 +135,43 @@ def test_a_hot_word_is_spread_evenly(spark):
             spark.conf.set(name, value)
 
 
+@pytest.mark.parametrize("bound", [lookup.BROADCAST_BYTES, 0])
+def test_cues_of_a_table_are_those_of_a_list(spark, bound):
+    from marginalia.plans import catalog, jobs
+
+    docs = catalog.documents(spark, "/root/testdata/sf0.001")
+    more = [("the the", "pre"), ("is  the", "pseudo"), ("of the and of the", "term"), ("LA des", "post"), ("and of", "pseudo")]
+    cues = catalog.CUES + more
+    table = spark.createDataFrame(cues, "cue string, kind string")
+    args = {"broadcast_bytes": bound}
+    listed = rows(assertion.cue_spans(docs, cues))
+    assert len(listed) > 1000 and rows(assertion.cue_spans(docs, table, **args)) == listed
+    found = jobs.sentence_job(docs).select("doc_id", "entities").join(docs, "doc_id")
+    found = found.unionByName(docs.limit(1).withColumn("doc_id", F.lit(None).cast("long")).select("doc_id", F.lit(None).cast(
+        dict(found.dtypes)["entities"]).alias("entities"), F.lit(None).cast("string").alias("text")))
+    both = [rows(assertion.assert_entities(found, c, **a)) for c, a in ((cues, {}), (table, args))]
+    assert both[0] == both[1] and "negated" in str(both[0])
+    short = jobs.sentence_job(docs.limit(5), cues=table.limit(0)).select("entities.assertion").collect()
+    assert {a for r in short for a in r["assertion"]} <= {"affirmed"}
+
+
+def test_a_large_cue_table_makes_no_larger_plan(spark):
+    from pyspark.errors import PySparkException
+
+    docs = spark.createDataFrame([(1, "He has word7 word8 and no Fever."), (2, "none")], "doc_id int, text string")
+    sizes = []
+    for n in (100_000, 20):
+        words = spark.range(n).select(F.concat(F.lit("word"), "id", F.lit(" word"), F.col("id") + 1).alias("cue"), F.lit("pre").alias("kind"))
+        spans = assertion.cue_spans(docs, words)
+        sizes.append(len(spans._jdf.queryExecution().optimizedPlan().toString()))
+        assert [r["cue"] for r in spans.collect()] == ["word7 word8"]
+    assert abs(sizes[0] - sizes[1]) < 200
+    many = [(f"word{i} word{i + 1}", "pre") for i in range(5000)]  # a long list is a table
+    assert [r["cue"] for r in assertion.cue_spans(docs, many).collect()] == ["word7 word8"]
+    with pytest.raises(PySparkException, match="unknown cue kind"):
+        assertion.cue_spans(docs, spark.createDataFrame([("word7", "odd")], "cue string, kind string")).collect()
+
+
 def test_pending_both_ways(spark):
     docs = spark.range(100).withColumnRenamed("id", "doc_id")
     done = docs.filter("doc_id % 3 = 0").unionAll(docs.filter("doc_id = 3"))
