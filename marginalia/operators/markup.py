@@ -18,14 +18,20 @@ PAGE_BREAK = "\n<EPI_PAGEBREAKER>\n\n"
 PREFIX = r"(?:[\w.-]+:)?"
 
 
+# What follows a tag's name up to its end, where a quoted value may hold ``>``; a quote that is
+# not closed before the next ``<`` is none, and the tag ends at the first ``>``.  A tag that the
+# end of the text cuts off is none.
+VALUES = r"""(?:[^>"']*+(?:(?:"[^"<]*+"|'[^'<]*+')[^>"']*+)*+>|(?![^<]*+\z)[^>]*+>)"""
+
+
 def _open(tag: str) -> str:
-    return rf"<{PREFIX}{tag}(?:\s[^>]*)?>"
+    return rf"<{PREFIX}{tag}(?:\s{VALUES}|>)"
 
 
 def _elements(markup: Column, tag: str) -> Column:
     """Contents of the elements of this name, in order."""
-    empty = rf"<({PREFIX}{tag})((?:\s[^>]*)?)/>"
-    closed = F.regexp_replace(markup, empty, r"<$1></$1>")
+    quoted = r"""\s[^>"'/]*+(?:(?:"[^"<]*+"|'[^'<]*+'|/(?!>))[^>"'/]*+)*+"""
+    closed = F.regexp_replace(markup, rf"<({PREFIX}{tag})(?:{quoted})?/>", r"<$1></$1>")
     pieces = F.split(closed, _open(tag))
     return F.transform(
         F.slice(pieces, F.lit(2), F.size(pieces)),
@@ -73,7 +79,7 @@ def plain_markup(markup: Column, skip: tuple[str, ...] = ()) -> Column:
 
     Whatever begins first counts: a comment in a skipped element is part of it, and the reverse.
     """
-    skipped = "".join(rf"|<{tag}(?:\s[^>]*)?>.*?</{tag}\s*>" for tag in skip)
+    skipped = "".join(rf"|<{tag}(?:\s{VALUES}|>).*?</{tag}\s*>" for tag in skip)
     pattern = rf"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>{skipped}"
 
     def text(found: Column) -> Column:
@@ -105,7 +111,7 @@ def attribute_words(word_tag: str, attribute: str):
 
 def inner_text(line: Column) -> Column:
     """Line content as its text with inner tags removed."""
-    return F.regexp_replace(line, "<[^>]*>", "")
+    return F.regexp_replace(line, rf"<[A-Za-z/]{VALUES}|<[^>]*>", "")
 
 
 def pages(

@@ -147,16 +147,18 @@ def rule_found(sentences: Column, kind: Callable[[Column], Column] = ft.rule_typ
 
 def document_offsets(found: Column, sentences: Column) -> Column:
     """Sentence offsets to document offsets: add the length of the earlier sentences."""
-    return let(
-        running_total(F.transform(sentences, F.length)),
-        lambda base: F.transform(
-            found,
-            lambda e: F.struct(
-                e["text"].alias("text"),
-                (e["start"] + F.get(base, e["sent_id"])).alias("start"),
-                (e["end"] + F.get(base, e["sent_id"])).alias("end"),
-                e["type"].alias("type"),
-            ),
+    return let(running_total(F.transform(sentences, F.length)), lambda base: moved_by(found, base))
+
+
+def moved_by(found: Column, base: Column) -> Column:
+    """Sentence offsets to document offsets, given where each sentence begins."""
+    return F.transform(
+        found,
+        lambda e: F.struct(
+            e["text"].alias("text"),
+            (e["start"] + F.get(base, e["sent_id"])).alias("start"),
+            (e["end"] + F.get(base, e["sent_id"])).alias("end"),
+            e["type"].alias("type"),
         ),
     )
 
@@ -301,34 +303,102 @@ def tag_features(
     return ordered.mapInArrow(lambda batches: _labelled(_with_vocabulary(batches), open_tagger, arrow), kinds)
 
 
-def _batched(model, texts: list[str], batch: int):
-    """``(index, result)`` for every text, handing ``batch`` texts at a time to the model."""
-    for first in range(0, len(texts), batch):
-        part = texts[first : first + batch]
-        results = list(model(part))
-        if len(results) != len(part):
-            raise ValueError(f"{len(results)} results for {len(part)} texts")
-        yield from enumerate(results, first)
+def _batched(model, texts: list[str]) -> list:
+    """The model's results for one batch, one for each text."""
+    results = list(model(texts))
+    if len(results) != len(texts):
+        raise ValueError(f"{len(results)} results for {len(texts)} texts")
+    return results
+
+
+class SentenceBuffer:
+    """Sentences of documents that wait for a full batch, and documents that wait for their sentences.
+
+    A batch holds sentences of as many documents as it takes.  Where the model
+    fails on it, each document's sentences are tried by themselves, so that a
+    document fails by its own sentences alone.
+    """
+
+    def __init__(self, model, batch: int):
+        self.model, self.batch = model, batch
+        self.waiting: list[tuple[dict, int, str]] = []  # (document, number, sentence)
+        self.documents: list[dict] = []
+
+    def add(self, head, sentences: list[str]) -> None:
+        document = {"head": head, "found": [], "open": len(sentences), "error": None}
+        self.documents.append(document)
+        for number, sentence in enumerate(sentences):
+            self.waiting.append((document, number, sentence))
+            if len(self.waiting) == self.batch:
+                self.flush()
+
+    def flush(self) -> None:
+        some, self.waiting = self.waiting, []
+        if not some:
+            return
+        try:
+            self._take(some)
+        except Exception:
+            for document in {id(d): d for d, _, _ in some}.values():
+                own = [x for x in some if x[0] is document]
+                try:
+                    self._take(own)
+                except Exception as failure:  # one bad document must not end the job
+                    document["error"] = document["error"] or f"{type(failure).__name__}: {failure}"
+        for document, _, _ in some:
+            document["open"] -= 1
+
+    def _take(self, some: list[tuple[dict, int, str]]) -> None:
+        results = [
+            [{"sent_id": number, "text": text, "start": start, "end": end, "type": kind} for text, start, end, kind in found]
+            for (_, number, _), found in zip(some, _batched(self.model, [text for _, _, text in some]))
+        ]
+        for (document, _, _), found in zip(some, results):
+            document["found"] += found
+
+    def finished(self) -> Iterator[dict]:
+        """Documents without open sentences, in order."""
+        done = 0
+        while done < len(self.documents) and not self.documents[done]["open"]:
+            yield self.documents[done]
+            done += 1
+        del self.documents[:done]
 
 
 def tag_sentences(
     df: DataFrame, open_model: Callable[[], Callable], *, sentences: str = "sentences", out: str = "found",
-    batch: int = SENTENCE_BATCH,
+    batch: int = SENTENCE_BATCH, keep_sentences: bool = True,
 ) -> DataFrame:
-    """Find entities with a model that reads lists of sentences.
+    """Find entities with a model that reads lists of sentences, and tell how that went by ``status`` and ``error``.
 
     The model gives, for each sentence, its ``(text, start, end, type)``
-    entities with offsets into the sentence.
+    entities with offsets into the sentence.  Batches are filled across
+    documents: a partition of n sentences makes ceil(n / batch) calls.  A
+    document the model fails on has null in ``out``; a null array has no sentences.
     """
-
-    def entities(model, texts: list[str]) -> list[dict]:
-        return [
-            {"sent_id": number, "text": text, "start": start, "end": end, "type": kind}
-            for number, found in _batched(model, texts, batch)
-            for text, start, end, kind in found
-        ]
-
-    return _annotate(df, open_model, sentences, entities, out, FOUND_TYPE)
+    kept = [f for f in df.schema.fields if keep_sentences or f.name != sentences]
+    schema = T.StructType(kept + T.StructType.fromDDL(f"{out} {FOUND_TYPE}, status string, error string").fields)
+    names, arrow = [f.name for f in kept], to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        buffer = SentenceBuffer(open_model(), batch)
+
+        def rows() -> list[dict]:
+            return [
+                {**d["head"], out: None if d["error"] else d["found"], "status": "error" if d["error"] else "ok", "error": d["error"]}
+                for d in buffer.finished()
+            ]
+
+        for part in batches:
+            for head, texts in zip(part.select(names).to_pylist(), part.column(sentences).to_pylist()):
+                buffer.add(head, texts or [])
+            if done := rows():
+                yield pa.RecordBatch.from_pylist(done, arrow)
+        buffer.flush()
+        if done := rows():
+            yield pa.RecordBatch.from_pylist(done, arrow)
+
+    return df.mapInArrow(run, schema)
 
 
 def tag_chunks(

@@ -13,6 +13,7 @@ from marginalia.functions.sequence import let
 
 CHUNK_MAX = 50  # fixed value: lines that fill a chunk
 CHUNK_MIN = 10  # fixed value: a full stop closes a chunk longer than this
+FOLD_LINES = 1024  # lines that are folded at once
 
 
 def explode_rows(df: DataFrame, array: Column, *keep: str, pos: str = "pos", item: str = "item") -> DataFrame:
@@ -71,12 +72,10 @@ def line_chunks(df: DataFrame, *, doc: str = "doc_id", text: str = "text") -> Da
     """Chunks of ordinary lines: closed at 50 lines, or after a line with a
     full stop once the chunk has more than 10 lines; the rest is kept.
 
-    A fold over the lines yields the chunk ends (at least 11 lines apart).
+    A fold over the lines yields the chunk ends (at least 11 lines apart).  It
+    runs over blocks of lines, as an array that grows is copied each time: only
+    a block's own ends are, so the time grows with the number of lines.
     """
-    start = F.struct(
-        F.lit(0).alias("at"), F.lit(0).alias("size"), F.array().cast("array<int>").alias("ends")
-    )
-
     def step(acc: Column, line: Column) -> Column:
         size = acc["size"] + 1
         full = (size == CHUNK_MAX) | (line.contains(".") & (size > CHUNK_MIN))
@@ -86,9 +85,23 @@ def line_chunks(df: DataFrame, *, doc: str = "doc_id", text: str = "text") -> Da
             F.when(full, F.array_append(acc["ends"], acc["at"] + 1)).otherwise(acc["ends"]).alias("ends"),
         )
 
+    def block_step(acc: Column, block: Column) -> Column:
+        begin = F.struct(acc["at"].alias("at"), acc["size"].alias("size"), F.array().cast("array<int>").alias("ends"))
+        return let(
+            F.aggregate(block, begin, step),
+            lambda done: F.struct(
+                done["at"].alias("at"), done["size"].alias("size"), F.array_append(acc["ends"], done["ends"]).alias("ends")
+            ),
+        )
+
     def cut(lines: Column) -> Column:
         n = F.size(lines)
-        ends = F.aggregate(lines, start, step, lambda acc: acc["ends"])
+        firsts = F.when(n > 0, F.sequence(F.lit(1), n, F.lit(FOLD_LINES))).otherwise(F.array().cast("array<int>"))
+        blocks = F.transform(firsts, lambda first: F.slice(lines, first, F.lit(FOLD_LINES)))
+        none = F.struct(
+            F.lit(0).alias("at"), F.lit(0).alias("size"), F.array().cast("array<array<int>>").alias("ends")
+        )
+        ends = F.aggregate(blocks, none, block_step, lambda acc: F.flatten(acc["ends"]))
         return let(
             ends,
             lambda e: let(

@@ -6,7 +6,7 @@ import re
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marginalia.functions import features as ft
@@ -276,6 +276,25 @@ def cue_spans(spark, folder):
     return asr.cue_spans(documents(spark, folder), CUES)
 
 
+def cue_table(spark, folder):
+    """A dictionary out of the benchmark: its long words, and the pairs and triples of its neighbouring words."""
+    rows = ot.tokenize(read_table(spark, folder, "benchmark"), doc="item_id").filter(F.col("token").rlike("^[A-Za-z]+$"))
+    behind = Window.partitionBy("item_id").orderBy("pos")
+    words = rows.select("pos", F.lower("token").alias("w1"), *[
+        F.when(F.lead("pos", n).over(behind) == F.col("pos") + n, F.lower(F.lead("token", n).over(behind))).alias(f"w{n + 1}")
+        for n in (1, 2)
+    ])
+    single = words.filter(F.length("w1") > 6).select(F.col("w1").alias("cue"), F.lit("pre").alias("kind"))
+    double = words.filter("w2 IS NOT NULL").select(F.concat_ws(" ", "w1", "w2"), F.lit("post"))
+    triple = words.filter("w2 IS NOT NULL AND w3 IS NOT NULL").select(F.concat_ws(" ", "w1", "w2", "w3"), F.lit("term"))
+    return single.unionAll(double).unionAll(triple).distinct()
+
+
+def cue_table_spans(spark, folder):
+    """Cues of a table of thousands, which is joined."""
+    return asr.cue_spans(documents(spark, folder), cue_table(spark, folder))
+
+
 def assertions(spark, folder):
     return jobs.entity_rows(jobs.sentence_job(documents(spark, folder), cues=CUES)).drop("n", "section")
 
@@ -462,7 +481,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         entity_counts, rule_labels, lexicon_labels, label_align, token_offsets, token_offset_rows, bio_entities,
         bio_entity_rows, entity_arrays, run_entities, blank_rule, role_runs, event_runs, turn_sections,
         event_sections, sentence_offsets, section_carry, entity_trim, page_entities, in_lexicon, lemma_lookup,
-        stem_vocab, stem_function, feature_table, feature_lines, cue_spans, assertions, entity_records,
+        stem_vocab, stem_function, feature_table, feature_lines, cue_spans, cue_table_spans, assertions, entity_records,
         user_sequence_tagger, feature_tagger, user_sentence_model, failed_taggings, pending_after_failures, key_filter, key_prefix,
         doc_key, batches, pending_docs, run_summary, output_count, align_diagnostics, failed_docs, processed_keys,
     ):

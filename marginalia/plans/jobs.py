@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from marginalia.functions import features as ft
 from marginalia.functions import spans as sp
 from marginalia.functions import text as tx
-from marginalia.functions.sequence import let
+from marginalia.functions.sequence import let, running_total
 from marginalia.operators import assertion as asr
 from marginalia.operators import tagging as tg
 from marginalia.operators.markup import markup_text
@@ -65,10 +65,13 @@ def sentence_job(
     if open_model is None:
         raw = docs.select(doc, *keep, text, tg.rule_entities(tx.marked_model_text(text), kind).alias("entities"))
     else:
-        split = docs.select(doc, *keep, text, tx.sentences(tx.model_text(text)).alias("sentences"))
-        found = tg.tag_sentences(split, open_model)
-        moved = tg.document_offsets(F.coalesce("found", F.array().cast(tg.FOUND_TYPE)), F.col("sentences"))
-        raw = found.select(doc, *keep, "status", "error", text, moved.alias("entities"))
+        # The text itself goes along only where cues are to be found in it.
+        also = [text] if cues is not None else []
+        split = docs.select(doc, *keep, *also, tx.sentences(tx.model_text(text)).alias("sentences"))
+        begins = let(F.col("sentences"), lambda ss: running_total(F.transform(ss, F.length)))
+        found = tg.tag_sentences(split.withColumn("_begins", begins), open_model, keep_sentences=False)
+        moved = tg.moved_by(F.coalesce("found", F.array().cast(tg.FOUND_TYPE)), F.col("_begins"))
+        raw = found.select(doc, *keep, "status", "error", *also, moved.alias("entities"))
     finished = let(
         sp.trim_entity_text(F.col("entities")), lambda es: sp.drop_empty_entities(sp.carry_sections(es))
     )

@@ -165,6 +165,16 @@ cues AS (SELECT doc_id, sent_id, pos AS first, last, start, "end", cue, kind FRO
     SELECT *, max(last) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
       AS seen FROM longest WHERE rn = 1) WHERE seen IS NULL OR seen < last)"""
 
+# Long words of the benchmark, and pairs and triples of neighbouring ones, as a cue table.
+BENCHMARK_CUES = f"""
+blist AS (SELECT item_id, list_filter(string_split_regex(text, '{SEP}+'), lambda x: x <> '') AS a FROM benchmark),
+brows AS ({numbered('blist', 'a', 'item_id', 'token', 'pos')}),
+bwords AS (SELECT item_id, pos, lower(token) AS w FROM brows WHERE regexp_matches(token, '^[A-Za-z]+$')),
+cue_table AS (SELECT w AS cue, 'pre' AS kind FROM bwords WHERE length(w) > 6
+  UNION SELECT x.w || ' ' || y.w, 'post' FROM bwords x JOIN bwords y ON y.item_id = x.item_id AND y.pos = x.pos + 1
+  UNION SELECT x.w || ' ' || y.w || ' ' || z.w, 'term' FROM bwords x JOIN bwords y ON y.item_id = x.item_id AND y.pos = x.pos + 1
+    JOIN bwords z ON z.item_id = x.item_id AND z.pos = x.pos + 2)"""
+
 ASSERTED = f"""{sentence_entities('documents', 'doc_id')}, {CUE_MATCHES},
 placed AS (SELECT e.*, a.pos AS first, b.pos AS last, a.sent_id FROM entities e
     JOIN stok a ON a.doc_id = e.doc_id AND a.start = e.start
@@ -413,6 +423,8 @@ def oracle_sql() -> dict[str, str]:
         "page_entities": f"""WITH {PAGE_TEXT}, {sentence_entities('page_text', 'page_id')}
             SELECT page_id, text, start, "end", type FROM entities""",
         "cue_spans": f'WITH {CUE_MATCHES} SELECT doc_id, sent_id, start, "end", cue, kind FROM cues',
+        "cue_table_spans": f"""WITH {BENCHMARK_CUES}, {CUE_MATCHES.replace(f"cue_table(cue, kind) AS (VALUES {CUE_VALUES}),", "")}
+            SELECT doc_id, sent_id, start, "end", cue, kind FROM cues""",
         "assertions": f"""WITH {ASSERTED} SELECT e.doc_id, text, e.start, "end", type,
             CASE WHEN n.doc_id IS NULL THEN 'affirmed' ELSE 'negated' END AS assertion
             FROM entities e LEFT JOIN negated n ON n.doc_id = e.doc_id AND n.start = e.start""",

@@ -89,12 +89,24 @@ def write_pending(
 
 
 def write_feature_lines(
-    features: DataFrame, folder: str, *, doc: str = "doc_id", pos: str = "pos", mode: str = "append"
+    features: DataFrame, folder: str, *, run: str = "all", doc: str = "doc_id", pos: str = "pos", per_document: bool = False,
 ) -> None:
-    """Blank-separated feature lines without header, in token order per document."""
-    lines = features.select(doc, pos, feature_line().alias("value"))
-    ordered = lines.repartition(doc).sortWithinPartitions(doc, pos)
-    ordered.select(doc, "value").write.mode(mode).partitionBy(doc).text(folder)
+    """Blank-separated feature lines without header, in token order per document.
+
+    The output is divided by ``run``; a run that is written again replaces what
+    it wrote before and leaves other runs alone.  Lines begin with the document's id and a
+    tab; ``per_document`` writes bare lines to a folder ``<doc>=<id>`` for each document instead.
+
+    Tokens are sorted within their task, and nothing is shuffled: a document's
+    lines are together as long as its tokens are, as they come out of ``tokenize``.
+    """
+    line = feature_line()
+    value = line if per_document else F.concat(F.coalesce(F.col(doc).cast("string"), F.lit("")), F.lit("\t"), line)
+    divided = ["run", doc] if per_document else ["run"]
+    lines = features.select(F.lit(run).alias("run"), doc, pos, value.alias("value"))
+    ordered = lines if not per_document else lines.sortWithinPartitions("run", doc, pos)
+    writer = ordered.select(*divided, "value").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*divided).text(folder)
 
 
 def append_run_summary(summary: DataFrame, folder: str) -> None:

@@ -169,7 +169,7 @@ def test_feature_lines_and_labels_round_trip(spark, tmp_path):
     table = of.feature_table(ot.tokenize(docs), lexicon=words, lemmas=lemmas, stemmer=str.lower)
     assert table.columns[2:] == of.ft.FEATURE_ORDER
     out = str(tmp_path / "features")
-    sink.write_feature_lines(table, out)
+    sink.write_feature_lines(table, out, per_document=True)
     lines = spark.read.text(out).filter("doc_id = 'd1'").collect()
     assert lines[0]["value"].split(" ")[:6] == ["Mr", "False", "False", "False", "True", "Mr"]
 
@@ -194,6 +194,40 @@ def test_feature_lines_and_labels_round_trip(spark, tmp_path):
     assert flags == {"d1": (6, 6, False), "d2": (1, 0, True)}
 
 
+@pytest.mark.parametrize("each", [False, True])
+def test_feature_lines_written_twice_are_one_copy(spark, tmp_path, each):
+    texts = [(f"d{i}", " ".join(f"w{n} Mr" for n in range(i * 7 % 11))) for i in range(20)]
+    docs = spark.createDataFrame(texts, "doc_id string, text string").repartition(3)
+    words = spark.createDataFrame([("Mr",)], "word string")
+    table = of.feature_table(
+        ot.tokenize(docs), lexicon=words, lemmas=words.withColumn("lemma", F.lit("mister")), stemmer=str.lower
+    )
+    out = str(tmp_path / "lines")
+    sink.write_feature_lines(table, out, run="a", per_document=each)
+    sink.write_feature_lines(table, out, run="b", per_document=each)
+    sink.write_feature_lines(table, out, run="a", per_document=each)
+
+    def written():
+        rows = spark.read.text(out).collect()
+        if each:
+            return sorted((r["run"], r["doc_id"], r["value"]) for r in rows)
+        return sorted((r["run"], *r["value"].split("\t")) for r in rows)
+
+    first = written()
+    want = [(r["doc_id"], r["line"]) for r in table.select("doc_id", of.feature_line().alias("line")).collect()]
+    assert first == sorted((run, *x) for run in "ab" for x in want) and len(want[0][1].split(" ")) == 19
+    sink.write_feature_lines(table.filter("doc_id = 'd3'" if each else "true"), out, run="a", per_document=each)
+    assert written() == first
+    # A document's lines are in token order, in one file.
+    for path in (tmp_path / "lines").rglob("part-*.txt"):
+        seen = {}
+        for x in path.read_text().splitlines():
+            doc, line = (path.parent.name, x) if each else x.split("\t")
+            seen.setdefault(doc, []).append(line.split(" ")[0])
+        for tokens in seen.values():
+            assert tokens[::2] == [f"w{n}" for n in range(len(tokens) // 2)]
+
+
 def test_json_keeps_null_sections_and_empty_documents(spark, corpus, tmp_path):
     result = jobs.sentence_job(source.text_documents(spark, corpus))
     sink.write_json(result, str(tmp_path / "lines"))
@@ -302,6 +336,51 @@ def test_sentence_model_sees_batches_of_fifty(spark):
     assert len(sizes) == 120 and set(sizes) == {"50", "20"}
 
 
+def test_sentence_batches_are_filled_across_documents(spark):
+    texts = [(i, "A b. " * (i * 13 % 60 + 1)) for i in range(30)] + [(30, ""), (31, None)]
+    docs = spark.createDataFrame(texts, "doc_id int, text string").coalesce(1)
+    split = docs.select("doc_id", tx.sentences(tx.model_text("text")).alias("sentences"))
+    total = sum(i * 13 % 60 + 2 for i in range(30)) + 1  # the rest behind the last cut is one, as is the empty text
+
+    def open_model():
+        calls = iter(range(10**6))
+
+        def find(batch):
+            call = next(calls)
+            return [[(f"{call}:{len(batch)}", 0, 1, "N")] for _ in batch]
+
+        return find
+
+    rows = tg.tag_sentences(split, open_model, keep_sentences=False).collect()
+    assert [r["doc_id"] for r in rows] == list(range(32)) and "sentences" not in rows[0].asDict()
+    calls = [e["text"] for r in rows for e in r["found"]]
+    sizes = split.select(F.size("sentences").alias("n")).agg(F.sum(F.greatest("n", F.lit(0)))).first()[0]
+    assert len(calls) == sizes and abs(sizes - total) <= 30
+    assert len(set(calls)) == -(-sizes // 50) and all(c.endswith(":50") for c in calls[: sizes // 50 * 50])
+    assert all([e["sent_id"] for e in r["found"]] == list(range(len(r["found"]))) for r in rows)
+
+
+def test_a_sentence_model_fails_by_document(spark):
+    docs = spark.createDataFrame([(i, "Good one. " * 3 + ("Bad here. " if i % 4 == 1 else "End.")) for i in range(40)], "doc_id int, text string")
+
+    def open_model():
+        def find(batch):
+            if any("Bad" in x for x in batch):
+                raise ValueError("bad sentence")
+            return [[(x.strip(), 0, len(x.strip()), "S")] for x in batch]
+
+        return find
+
+    rows = jobs.sentence_job(docs.coalesce(2), open_model).collect()
+    assert {r["doc_id"] for r in rows if r["status"] == "error"} == {i for i in range(40) if i % 4 == 1}
+    assert all(len(r["entities"]) == 4 for r in rows if r["status"] == "ok")
+    assert all(r["entities"] == [] and r["error"] == "ValueError: bad sentence" for r in rows if r["status"] == "error")
+    assert [(e["start"], e["end"]) for e in rows[0]["entities"]] == [(0, 9), (9, 18), (19, 28), (29, 33)]
+    plan = jobs.sentence_job(docs, open_model)._jdf.queryExecution().executedPlan().toString()
+    python = next(x for x in plan.splitlines() if "MapInArrow" in x)
+    assert "text" not in python.split("run(")[1].split(")")[0]
+
+
 def feature_docs(spark):
     texts = ["Mr 12 cats; naïve Cats", "", None, "12", "the " * 900 + "Mr", "naïve naive"]
     return spark.createDataFrame([(i, f"k{i}", t) for i, t in enumerate(texts)] + [(None, "k", "the")], "doc_id int, kept string, text string")

@@ -275,3 +275,50 @@ def test_keys(value):
     assert value(ky.document_id(key)) == "a.1"
     assert value(ky.has_suffix(key, ".txt")) and not value(ky.has_suffix(F.lit("b/x.txt/"), ".txt/"))
     assert value(ky.listed_after(F.lit("p/b"), "p/", "p/a")) and not value(ky.listed_after(F.lit("p/a"), "p/", "p/a"))
+
+
+def folded(lines):
+    """The chunk rule, line by line."""
+    chunks, chunk = [], []
+    for line in lines:
+        chunk.append(line)
+        if len(chunk) == 50 or "." in line and len(chunk) > 10:
+            chunks.append(" ".join(chunk))
+            chunk = []
+    return chunks + ([" ".join(chunk)] if chunk else [])
+
+
+@pytest.mark.parametrize("block", [1, 7, 50, 1024])
+def test_line_chunks_over_blocks(spark, monkeypatch, block):
+    import random
+
+    monkeypatch.setattr(ot, "FOLD_LINES", block)
+    rnd = random.Random(block)
+    texts = [[f"l{n}" + "." * (rnd.random() < share) for n in range(size)] for size in (0, 1, 10, 11, 12, 49, 50, 51, 101, 1500) for share in (0, 0.05, 0.5, 1)]
+    docs = spark.createDataFrame([(i, "\n".join(t)) for i, t in enumerate(texts)], "doc_id int, text string")
+    found = {}
+    for r in ot.line_chunks(docs).orderBy("doc_id", "chunk").collect():
+        found.setdefault(r["doc_id"], []).append(r["chunk_text"])
+    assert found == {i: folded(t) for i, t in enumerate(texts) if t}
+
+
+def test_quoted_values_may_hold_the_end_of_a_tag(spark):
+    from marginalia.operators import markup as mk
+
+    how = {"page": "article", "line": "p", "content": mk.inner_text, "skip": ("script",)}
+    cases = {
+        '<article x="a>b"><p title="a>b">text</p></article>': ["text"],
+        "<article><p title='1 > 0' class=\"x\">one</p><p>t<b id='>'>w</b>o</p></article>": ["one", "two"],
+        '<article><p title="open>still</p><p class="y">more</p></article>': ["still", "more"],
+        '<article><script type="a>b">x<p>no</p></script><p>yes</p></article>': ["yes"],
+        '<article><p title="a>b"/><p>after</p></article>': ["", "after"],
+        "<article><p>a < b and c > d</p><p>3 <4</p></article>": ["a  d", "3 <4"],
+        '<article><p>cut</p><p title="a>b': ["cut"],
+        "<article><p a=b/c>slash</p><p a='/' />": ["slash", ""],
+        "<article><p " + "x='>' " * 2000 + ">many</p></article>": ["many"],
+    }
+    docs = spark.createDataFrame([(i, c) for i, c in enumerate(cases)], "doc_id int, text string")
+    got = {i: [] for i in range(len(cases))}
+    for r in mk.page_lines(docs, **how).orderBy("doc_id", "line_no").collect():
+        got[r["doc_id"]].append(r["line"])
+    assert list(got.values()) == list(cases.values())
