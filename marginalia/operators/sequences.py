@@ -3,17 +3,23 @@
 For sequences that arrive as rows (label streams, events, turns) rather than
 inside a document row.  One key may own a large share of all rows, so a plain
 window per key would put that share in one task.  Here every key is cut into
-chunks, a column that never falls along the order: the heavy windows run per
+chunks, a number that never falls along the order: the heavy windows run per
 (key, chunk), and only one summary row per chunk (or the two runs at its edges)
-goes through a window per key.
+goes through a window per key.  Chunks come from dense positions, or are measured:
+only keys of more than ``CHUNK_ROWS`` rows are cut, at quantiles of their order.
 """
 
 from __future__ import annotations
 
+from math import ceil, isqrt
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marginalia.functions.sequence import let
 from marginalia.functions.spans import begins, continues, label_type
+from marginalia.operators.lookup import lookup
+from marginalia.session import ensure_checkpoint_dir
 
 CHUNK_ROWS = 65_536
 
@@ -23,6 +29,46 @@ def position_chunk(pos: str = "pos", rows: int = CHUNK_ROWS) -> Column:
     return F.floor(F.col(pos) / rows)
 
 
+def _cuts_below(cuts: Column, value: Column, width: int) -> Column:
+    """How many of the ascending ``cuts`` are at most ``value``: by every ``width``-th of them, then those in between."""
+    coarse = F.size(F.filter(cuts, lambda c, i: (i % width == width - 1) & (c <= value)))
+    return let(coarse, lambda n: n * width + F.size(F.filter(F.slice(cuts, n * width + 1, F.lit(width)), lambda c: c <= value)))
+
+
+def with_chunks(df: DataFrame, key: str, order: list[str], chunk: Column | None, rows: int | None = None) -> DataFrame:
+    """Add ``_chunk``: the given one, or one by which no key has many more than ``rows`` rows of a chunk.
+
+    Rows are counted by key.  Keys that are too large, if there are any, are cut
+    at quantiles of the first order column, a number, date or time; rows that
+    are equal in it stay together.  The cuts are checkpointed, so they hold for
+    all that is made of the rows, also after an executor is lost.
+    """
+    if chunk is not None:
+        return df.withColumn("_chunk", chunk)
+    rows = rows or CHUNK_ROWS
+    by_hash = F.xxhash64(key).alias("_hash")  # keys that share a hash share cuts, which is as good
+    large = df.groupBy(by_hash).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > rows)
+    ensure_checkpoint_dir(df.sparkSession)
+    found = large.agg(F.max("_rows").alias("most"), F.count("*").alias("keys"), F.sum("_rows").alias("all")).first()
+    if not found["keys"]:
+        return df.withColumn("_chunk", F.lit(0))
+    large = large.checkpoint()
+    parts = ceil(found["most"] / rows)
+    shares = F.array(*[F.lit(n / parts) for n in range(1, parts)])
+    place = F.col(order[0])
+    keyed = df.select(by_hash, place.alias("_place"))
+    of_large = keyed.join(F.broadcast(large) if found["keys"] <= 100_000 else large, "_hash")
+    cuts = of_large.groupBy("_hash", "_rows").agg(F.percentile_approx("_place", shares, 10 * parts).alias("_all"))
+    # A key has as many cuts as its own size asks for.
+    step = F.greatest(F.floor(F.lit(parts) * rows / F.col("_rows")), F.lit(1)).cast("int")
+    cuts = cuts.select(F.col("_hash").alias("_of"), F.array_distinct(F.filter("_all", lambda c, i: (i + 1) % step == 0)).alias("_cuts"))
+    cuts = cuts.checkpoint()
+    size = 64 * found["keys"] + 16 * ceil(2 * found["all"] / rows)
+    joined = lookup(df, cuts, F.xxhash64(key), word="_of", salt_by=order, measured=size)
+    number = _cuts_below(F.col("_cuts"), place, isqrt(parts) + 1)
+    return joined.withColumn("_chunk", F.when(F.col("_cuts").isNotNull() & place.isNotNull(), number).otherwise(0)).drop("_cuts")
+
+
 def _chunk_windows(key: str, order: list[str]):
     per_chunk = Window.partitionBy(key, "_chunk").orderBy(*order)
     over_chunks = Window.partitionBy(key).orderBy("_chunk")
@@ -41,12 +87,12 @@ def _with_carry(df: DataFrame, key: str, summary: Column, carry) -> DataFrame:
 
 
 def running_sum(
-    df: DataFrame, value: Column, out: str, *, key: str, order: list[str], chunk: Column
+    df: DataFrame, value: Column, out: str, *, key: str, order: list[str], chunk: Column | None = None
 ) -> DataFrame:
     """Add the sum of ``value`` over the earlier rows of the key (0 for the first)."""
     per_chunk, _ = _chunk_windows(key, order)
     earlier = per_chunk.rowsBetween(Window.unboundedPreceding, -1)
-    rows = df.withColumn("_chunk", chunk).withColumn("_value", value)
+    rows = with_chunks(df, key, order, chunk).withColumn("_value", value)
     rows = _with_carry(
         rows, key, F.sum("_value"),
         lambda s, w: F.coalesce(F.sum(s).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
@@ -56,12 +102,12 @@ def running_sum(
 
 
 def carry_forward(
-    df: DataFrame, value: Column, out: str, *, key: str, order: list[str], chunk: Column
+    df: DataFrame, value: Column, out: str, *, key: str, order: list[str], chunk: Column | None = None
 ) -> DataFrame:
     """Add the last non-null ``value`` among the earlier rows of the key."""
     per_chunk, _ = _chunk_windows(key, order)
     earlier = per_chunk.rowsBetween(Window.unboundedPreceding, -1)
-    rows = df.withColumn("_chunk", chunk).withColumn("_value", value)
+    rows = with_chunks(df, key, order, chunk).withColumn("_value", value)
     place = F.when(F.col("_value").isNotNull(), F.struct(*order))
     rows = _with_carry(
         rows, key, F.max_by("_value", place),
@@ -81,7 +127,7 @@ def token_offsets(
 
 
 def section_carry(
-    rows: DataFrame, is_header: Column, text: Column, *, key: str, order: list[str], chunk: Column,
+    rows: DataFrame, is_header: Column, text: Column, *, key: str, order: list[str], chunk: Column | None = None,
     out: str = "section",
 ) -> DataFrame:
     """Add the text of the last header before the row; headers themselves get null."""
@@ -110,7 +156,7 @@ def _edges(segments: DataFrame, key: str, number: str) -> tuple[DataFrame, DataF
 
 
 def runs(
-    df: DataFrame, label: str, *, key: str, order: list[str], chunk: Column
+    df: DataFrame, label: str, *, key: str, order: list[str], chunk: Column | None = None
 ) -> DataFrame:
     """Runs of equal labels: ``(key, label, first, last, rows)``.
 
@@ -119,7 +165,7 @@ def runs(
     """
     per_chunk, _ = _chunk_windows(key, order)
     changed = ~F.col(label).eqNullSafe(F.lag(label).over(per_chunk)) | F.row_number().over(per_chunk).eqNullSafe(1)
-    rows = df.withColumn("_chunk", chunk).withColumn("_changed", changed.cast("int"))
+    rows = with_chunks(df, key, order, chunk).withColumn("_changed", changed.cast("int"))
     rows = rows.withColumn("_run", F.sum("_changed").over(per_chunk))
     place = F.struct(*order)
     local = rows.groupBy(key, "_chunk", "_run", label).agg(

@@ -37,7 +37,6 @@ CUES = [
 ]
 RUN_START = datetime(2024, 1, 1, 8, 0, 0)
 RUN_END = datetime(2024, 1, 1, 9, 30, 30)
-DAY = "date_trunc('DAY', ts)"
 
 
 def documents(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
@@ -156,19 +155,17 @@ def run_entities(spark, folder):
 
 
 def blank_rule(spark, folder):
-    rows = line_labels(spark, folder).withColumnRenamed("label", "raw_label")
-    lines = ot.tokenize_lines(documents(spark, folder)).select("doc_id", "pos", tx.ascii_drop("line").alias("raw"))
-    joined = sq.align_labels(lines, rows)
-    return joined.select(
-        "doc_id", "pos",
-        sp.blank_rule_token(F.col("raw")).alias("token"),
-        sp.blank_rule_label(F.col("raw"), F.col("raw_label")).alias("label"),
+    """The rule on each line and its label, which are columns of one row."""
+    lines = ot.tokenize_lines(documents(spark, folder)).withColumn("raw", tx.ascii_drop("line"))
+    label = F.coalesce(ft.rule_type(F.col("raw")), F.lit(sp.OUTSIDE))
+    return lines.select(
+        "doc_id", "pos", sp.blank_rule_token(F.col("raw")).alias("token"), sp.blank_rule_label(F.col("raw"), label).alias("label"),
     )
 
 
 def role_runs(spark, folder):
     turns = read_table(spark, folder, "conversations", "conv_id", "turn", "role")
-    found = sq.runs(turns, "role", key="conv_id", order=["turn"], chunk=sq.position_chunk("turn"))
+    found = sq.runs(turns, "role", key="conv_id", order=["turn"])
     return found.select(
         "conv_id", "role", F.col("first.turn").alias("first_turn"), F.col("last.turn").alias("last_turn"), "rows"
     )
@@ -176,7 +173,7 @@ def role_runs(spark, folder):
 
 def event_runs(spark, folder):
     events = read_table(spark, folder, "events", "event_id", "ts", "user_id", "event_type")
-    found = sq.runs(events, "event_type", key="user_id", order=["ts", "event_id"], chunk=F.expr(DAY))
+    found = sq.runs(events, "event_type", key="user_id", order=["ts", "event_id"])
     return found.select(
         "user_id", "event_type",
         F.col("first.event_id").alias("first_event"), F.col("last.event_id").alias("last_event"), "rows",
@@ -187,7 +184,7 @@ def turn_sections(spark, folder):
     turns = read_table(spark, folder, "conversations")
     carried = sq.section_carry(
         turns, F.col("role") == "system", F.col("text"),
-        key="conv_id", order=["turn"], chunk=sq.position_chunk("turn"),
+        key="conv_id", order=["turn"],
     )
     return carried.select("conv_id", "turn", "role", "section")
 
@@ -196,7 +193,7 @@ def event_sections(spark, folder):
     events = read_table(spark, folder, "events", "event_id", "ts", "user_id", "event_type")
     carried = sq.section_carry(
         events, F.col("event_type") == "error", F.col("event_id").cast("string"),
-        key="user_id", order=["ts", "event_id"], chunk=F.expr(DAY),
+        key="user_id", order=["ts", "event_id"],
     )
     return carried.select("user_id", "event_id", "event_type", "section")
 

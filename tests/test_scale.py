@@ -82,6 +82,30 @@ def test_chunked_runs(spark, size):
     assert rows(got.select("doc_id", "label", "first.pos", "last.pos", "rows")) == rows(plain)
 
 
+@pytest.mark.parametrize("size", [1, 3, 40, 1000])
+def test_measured_chunks(spark, monkeypatch, size):
+    monkeypatch.setattr(sq, "CHUNK_ROWS", size)
+    df = sequence_table(spark, lambda r: r.choice(["H", None, "x"])).withColumn("at", F.expr("timestamp_seconds(pos * 7)"))
+    extra = spark.createDataFrame([(None, i, "H" if i % 9 else None) for i in range(70)], "doc_id int, pos int, label string")
+    df = df.unionByName(extra.withColumn("at", F.expr("timestamp_seconds(pos)")))
+    df = df.withColumn("at", F.when((F.col("doc_id") == 2) & (F.col("pos") < 9), F.lit(None)).otherwise(F.col("at")))
+    chunked = sq.with_chunks(df, "doc_id", ["at"], None)
+    if size == 40:
+        sizes = {(r["doc_id"], r["_chunk"]): r["count"] for r in chunked.groupBy("doc_id", "_chunk").count().collect()}
+        assert max(sizes.values()) <= 60 and len([k for k in sizes if k[0] == 0]) >= 9 and len([k for k in sizes if k[0] is None]) >= 2
+        falling = Window.partitionBy("doc_id").orderBy("at", "pos")
+        assert chunked.withColumn("fell", F.col("_chunk") < F.lag("_chunk").over(falling)).filter("fell").isEmpty()
+    w = Window.partitionBy("doc_id").orderBy("at", "pos")
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    args = {"key": "doc_id", "order": ["at", "pos"]}
+    plain = df.withColumn("out", F.last("label", ignorenulls=True).over(before))
+    assert rows(sq.carry_forward(df, F.col("label"), "out", **args)) == rows(plain)
+    flagged = df.withColumn("new", (~F.col("label").eqNullSafe(F.lag("label").over(w)) | (F.row_number().over(w) == 1)).cast("int"))
+    plain = flagged.withColumn("run", F.sum("new").over(w)).groupBy("doc_id", "label", "run").agg(F.min("pos"), F.max("pos"), F.count("*"))
+    got = sq.runs(df, "label", **args).select("doc_id", "label", "first.pos", "last.pos", "rows")
+    assert rows(got) == rows(plain.drop("run"))
+
+
 @pytest.mark.parametrize("size", [1, 2, 5, 1000])
 def test_row_decode_equals_array_decode(spark, size):
     labels = ["O", "B-X", "I-X", "I-Y", "I-X", "B-Y"]
