@@ -10,6 +10,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from marginalia.session import ensure_checkpoint_dir
 
@@ -46,6 +47,11 @@ def settled(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def with_columns(df: DataFrame, more: str) -> StructType:
+    """The schema of ``df``, whatever its columns are called, and further columns."""
+    return StructType(df.schema.fields + StructType.fromDDL(more).fields)
+
+
 def narrowed(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     """The rows of ``df`` whose key is in the settled, distinct ``keys``.
 

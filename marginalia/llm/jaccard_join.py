@@ -331,9 +331,16 @@ def links(docs: DataFrame, about: DataFrame, similarity: Similarity) -> DataFram
     if not many.isEmpty():
         again = signed(shingle_sets(narrowed(docs, settled(many.select("id").distinct()), "id")), similarity, seed=1)
         pool = pool.unionByName(many.join(again.withColumnRenamed("sig", "sig2"), "id").select("sig", "sig2", "id", "root"))
-    one = pool.select("sig", "sig2", F.col("id").alias("a"), F.col("root").alias("root_a"))
-    two = pool.select("sig", "sig2", F.col("id").alias("b"), F.col("root").alias("root_b"))
-    pairs = one.join(two, ["sig", "sig2"]).filter("a < b AND root_a <> root_b").select("a", "b").distinct()
+    # Components are paired first, ids only where theirs differ: a large component costs no pairs within itself.
+    roots_of = pool.select("sig", "sig2", "root").distinct()
+    apart = roots_of.withColumnRenamed("root", "root_a").join(
+        roots_of.withColumnRenamed("root", "root_b"), ["sig", "sig2"]
+    ).filter("root_a < root_b")
+    one = pool.select("sig", "sig2", F.col("id").alias("x"), F.col("root").alias("root_a"))
+    two = pool.select("sig", "sig2", F.col("id").alias("y"), F.col("root").alias("root_b"))
+    pairs = apart.join(one, ["sig", "sig2", "root_a"]).join(two, ["sig", "sig2", "root_b"]).select(
+        F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")
+    ).filter("a < b").distinct()
     more = settled(verified(pairs, docs, about, percent))
     return roots if more.isEmpty() else settled(components(found.unionByName(more)))
 

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marginalia.llm.bpe import Remembered
-from marginalia.llm.common import stretches
+from marginalia.llm.common import stretches, with_columns
 
 UNKNOWN = "und"
 START = "▁"  # fixed value: the vocabulary's mark for the start of a word
@@ -294,5 +294,4 @@ def languages(
                 [*kept.schema.names, "lang_pred", "score"],
             )
 
-    kept = ", ".join(f"{n} {k}" for n, k in rows.dtypes if n != "__text")
-    return rows.mapInArrow(run, f"{kept}, lang_pred string, score double")
+    return rows.mapInArrow(run, with_columns(rows.drop("__text"), "lang_pred string, score double"))

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from marginalia.llm.common import BLANKS, fold
 
@@ -16,6 +17,8 @@ MIN_CHARS = 10
 #: Ids that share a chunk of a hash: the most rows that one sorted run of a hash can have
 #: (each id once), whatever share of all documents holds the line.
 CHUNK_IDS = 4096
+#: Ids that are no numbers are cut by the upper bits of a hash, all but so many.
+HASHED_BITS = 48
 WORD_BITS = 63
 
 
@@ -37,7 +40,12 @@ def first_holders(held: DataFrame) -> DataFrame:
     runs; their first rows meet in a sum of partial sums.
     """
     run = Window.partitionBy("hash", "chunk").orderBy("doc_id")
-    chunked = held.withColumn("chunk", F.floor(F.col("doc_id").cast("double") / CHUNK_IDS))
+    number = held.schema["doc_id"].dataType
+    if isinstance(number, NumericType):
+        chunk = F.floor(F.col("doc_id").cast("double") / CHUNK_IDS)
+    else:  # ids that are no numbers: parts of equal size, by a hash
+        chunk = F.shiftrightunsigned(F.xxhash64("doc_id"), HASHED_BITS)
+    chunked = held.withColumn("chunk", chunk)
     runs = chunked.repartitionByRange("hash", "chunk").sortWithinPartitions("hash", "chunk", "doc_id")
     whole = run.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     firsts = runs.select(
@@ -56,7 +64,7 @@ def keep_bitmaps(
     the last one that is not full of ones are left off (``is_kept`` reads it).
     A row is told by its id and its text's hash: rows that repeat both lose the
     same lines, rows that repeat an id alone do not lose lines to each other.
-    A null id neither claims nor loses lines. Keys shorter than ``min_chars``
+    Ids are of any type that has an order. A null id neither claims nor loses lines. Keys shorter than ``min_chars``
     code points are never dropped.
     """
     rows = docs.select(

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marginalia.llm.common import Memo, stretches, word_hash
+from marginalia.llm.common import with_columns, Memo, stretches, word_hash
 
 TERM = re.compile(rb"[0-9A-Za-z\x80-\xff]+|[^0-9A-Za-z\x80-\xff]")
 STRETCH_BYTES = 1_000_000
@@ -156,5 +156,4 @@ def scores(
                 [*kept.schema.names, "score", "predicted"],
             )
 
-    kept = ", ".join(f"{n} {k}" for n, k in rows.dtypes if n != "__text")
-    return rows.mapInArrow(run, f"{kept}, score double, predicted int")
+    return rows.mapInArrow(run, with_columns(rows.drop("__text"), "score double, predicted int"))

@@ -34,11 +34,11 @@ def reversed_host(host: Column) -> Column:
     return F.concat(F.array_join(F.reverse(F.split(host, r"\.", -1)), "."), F.lit("."))
 
 
-def parent_keys(host: Column) -> Column:
-    """The reversed keys of the host and of its parent domains, the host's first."""
+def parent_keys(host: Column, most: int) -> Column:
+    """The reversed keys of the host and its parent domains that have at most ``most`` labels, the longest first."""
     labels = F.split(host, r"\.", -1)
     return F.transform(
-        F.sequence(F.lit(1), F.size(labels)),
+        F.sequence(F.greatest(F.size(labels) - (most - 1), F.lit(1)), F.size(labels)),
         lambda i: reversed_host(F.array_join(F.slice(labels, i, F.size(labels)), ".")),
     )
 
@@ -74,7 +74,8 @@ def judged(
     ``rules`` has ``(host, path, verdict)``; a rule fits its host and every
     subdomain where the url's path begins with the rule's. The longest host
     plus path wins, the longer host among equals. Without a rule the verdict is
-    ``default``. Null urls have no host and fit no rule; rows may repeat;
+    ``default``. Null urls have no host and fit no rule, urls may be of any
+    length and hosts of any number of labels; rows may repeat;
     other columns are not read. An empty ``rules`` leaves the default everywhere.
     """
     host, path = url_parts(F.col(url))
@@ -82,8 +83,10 @@ def judged(
         F.count("*").alias("copies")
     ).select("page_id", "url", "copies", host.alias("host"), path.alias("path"))
     stacks = nested(rules)
+    # Longer parents than the longest rule's host have no rule.
+    most = rules.agg(F.max(F.size(F.split("host", r"\.", -1)))).first()[0] or 1
     probes = urls.filter("host <> ''").select(
-        "page_id", "url", F.col("path").alias("at"), F.explode(parent_keys(F.col("host"))).alias("host_key")
+        "page_id", "url", F.col("path").alias("at"), F.explode(parent_keys(F.col("host"), most)).alias("host_key")
     )
     ruled = stacks.groupBy("host_key").agg(F.count("*").alias("rules"))
     probes = probes.join(ruled.select("host_key"), "host_key", "left_semi")

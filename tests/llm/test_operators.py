@@ -312,3 +312,64 @@ def test_query_equals_sql(spark, name):
     from check import compare, connect
 
     assert compare(spark, connect(SF), SF, name).startswith("ok")
+
+
+def clashing(spark):
+    """Columns with names that operators use inside, or that need quoting; null, empty and repeated rows."""
+    text = " ".join(f"the word{i} and of it" for i in range(60))
+    rows = [(1, text, "en", 11, "r", "t", 1, "x y"), (1, text, "en", 11, "r", "t", 1, "x y"), (2, text + " more", "en", 12, None, "u", 2, ""),
+            (3, None, None, 13, "", "", 3, None), (4, "", "en", 14, "", "", 3, None), (None, "other text of its own", "en", 15, "", "", 3, None)]
+    return spark.createDataFrame(
+        rows, "doc_id long, text string, lang string, _row long, row string, _text string, _document int, `a b.c` string"
+    ).repartition(2)
+
+
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES[:-1])
+def test_stages_keep_columns_of_any_name(spark, name, stage):
+    docs = clashing(spark)
+    kept = stage(spark, docs, SF)
+    assert kept.columns == docs.columns and kept.schema["a b.c"].dataType == docs.schema["a b.c"].dataType
+    before, after = (sorted(map(str, map(tuple, x.collect()))) for x in (docs, kept))
+    assert set(after) <= set(before)
+    if name in ("exact_dedup", "ngram_jaccard_join"):
+        numbers = sorted(r["_row"] for r in kept.collect())
+        assert numbers == ([11, 12, 13, 15] if name == "exact_dedup" else [11, 13, 14, 15])
+    assert stage(spark, docs.filter("_row > 99"), SF).collect() == []
+
+
+def test_packing_of_columns_of_any_name(spark):
+    docs = clashing(spark)
+    rows = corpus_pipeline.best_fit_packing(spark, docs, SF).collect()
+    assert len(rows) == 6 and corpus_pipeline.best_fit_packing(spark, docs.filter("_row > 99"), SF).collect() == []
+
+
+def test_lines_of_ids_that_are_no_numbers(spark):
+    line = "a line that is long enough"
+    docs = spark.createDataFrame([(f"d{i}", f"{line}\nown line of number {i}") for i in range(40)] + [(None, line)], "doc_id string, text string")
+    rows = {r["doc_id"]: (r["n_dropped"], r["kept_text"]) for r in line_dedup.deduplicated(docs).collect()}
+    assert rows["d0"] == (0, f"{line}\nown line of number 0") and rows[None] == (0, line)
+    assert all(rows[f"d{i}"] == (1, f"own line of number {i}") for i in range(1, 40))
+
+
+def test_urls_of_many_labels_and_any_length(spark):
+    rules = spark.createDataFrame([("b.com", "/", "block"), ("com", "/x", "allow")], "host string, path string, verdict string")
+    many = "a." * 30_000 + "b.com"
+    pages = spark.createDataFrame([(1, f"http://{many}/x"), (2, "http://b.com/" + "y" * 200_000), (3, "http://.com/x")], "page_id long, url string")
+    rows = {r["page_id"]: (r["host"], r["rule"], r["verdict"]) for r in url_filter.judged(pages, rules).collect()}
+    assert rows == {1: (many, "b.com/", "block"), 2: ("b.com", "b.com/", "block"), 3: (".com", "com/x", "allow")}
+
+
+def test_no_rows_for_empty_tables_of_pages(spark):
+    rules = spark.createDataFrame(queries.URL_RULES, "host string, path string, verdict string")
+    assert url_filter.judged(spark.createDataFrame([], "page_id long, url string"), rules).collect() == []
+
+
+def test_near_groups_of_one_large_component(spark):
+    """A component of a third of all rows costs no pairs within itself, and no link to another is lost."""
+    base = [f"w{i}" for i in range(120)]
+    texts = [" ".join(base + [f"end{i}"]) for i in range(300)]
+    texts += [" ".join(base[: 120 - k]) for k in (10, 14, 18)]  # linked with the large one, or with each other
+    texts += [" ".join(f"o{i}x{j}" for j in range(50)) for i in range(100)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = {r["doc_id"]: r["component_id"] for r in jaccard_join.near_groups(docs).collect()}
+    assert all(got[i] == 0 for i in range(303)) and all(got[i] == i for i in range(303, 403))
