@@ -20,22 +20,31 @@ ORACLE_SQL = None
 
 
 def _carried(docs: DataFrame) -> tuple:
-    """The columns of ``docs``, to be carried along by a stage that scores rows where they are."""
-    return tuple(F.col(c).alias(f"_{c}") for c in docs.columns)
+    """The row of ``docs`` as one column, to be carried along by a stage that scores rows where they are."""
+    return (F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_document"),)
 
 
 def _kept(scored: DataFrame, docs: DataFrame, condition) -> DataFrame:
-    return scored.filter(condition).select(*(F.col(f"_{c}").alias(c) for c in docs.columns))
+    return scored.filter(condition).select("_document.*")
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents that the classifier, learned from the labels of four folds of five, predicts as 0."""
+    """Drops the documents that the classifier, learned from the labels of four folds of five, predicts as 0.
+
+    Null and empty texts are scored as the empty text; rows that repeat or share an id are judged each by its
+    text; equal texts have equal scores; all columns, whatever they are called, come back as they are; an
+    empty table gives an empty one.
+    """
     labels = table(spark, sf_dir, "labels", "doc_id", "quality").filter(fold_remainder(F.col("doc_id")) != 0)
     return _kept(quality.scores(docs, labels, extra=_carried(docs)), docs, "predicted = 1")
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents without a language: no letter in them, or none that is probable enough."""
+    """Drops the documents without a language: no letter in them, or none that is probable enough.
+
+    Null and empty texts have no letter and go; rows that repeat or share an id are judged each by its text; all
+    columns come back as they are; an empty table gives an empty one, as does one without labelled rows.
+    """
     labelled = docs.filter(fold_remainder(F.col("doc_id")) != 0)
     found = langid.languages(docs, labelled, piece_vocabulary(), extra=_carried(docs))
     return _kept(found, docs, (F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE_SCORE))
@@ -44,28 +53,33 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def _one_of_each(docs: DataFrame, group_of) -> DataFrame:
     """One row of each group: of the smallest id, null being larger than any, and the first of several.
 
-    ``group_of`` gives ``(row, part)`` of rows that are numbered by ``_row``, a number of
-    their own, so rows that share an id or have none are judged each by its text.
+    ``group_of`` gives ``(row, part)`` of rows ``(row, text)``; ``row`` is a number of its own, so rows that share
+    an id or have none are judged each by its text. The document stays in one column beside it, so that its
+    columns may have any names. A null text is as good as an empty one; an empty table gives an empty one.
     """
-    rows = settled(docs.withColumn("_row", F.monotonically_increasing_id()))
-    parts = group_of(rows).toDF("_row", "_part")
-    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")
-    first = parts.join(rows.select("_row", "doc_id"), "_row").groupBy("_part").agg(F.min(order).alias("first"))
-    return rows.join(first.select(F.col("first._row").alias("_row")), "_row", "left_semi").select(docs.columns)
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document")
+    rows = settled(docs.select(F.monotonically_increasing_id().alias("row"), whole))
+    parts = group_of(rows.select("row", "document.text")).toDF("row", "part")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
+    first = parts.join(rows.select("row", "document.doc_id"), "row").groupBy("part").agg(F.min(order).alias("first"))
+    return rows.join(first.select(F.col("first.row").alias("row")), "row", "left_semi").select("document.*")
 
 
 def exact_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of equal texts stays, that of the smallest id."""
-    return _one_of_each(docs, lambda rows: exact_dedup.exact_groups(rows, key="_row").select("doc_id", "keep_id"))
+    return _one_of_each(docs, lambda rows: exact_dedup.exact_groups(rows, key="row").select("doc_id", "keep_id"))
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of near copies stays, that of the smallest id."""
-    return _one_of_each(docs, lambda rows: jaccard_join.near_groups(rows, key="_row").select("doc_id", "component_id"))
+    """One row of each group of near copies stays, that of the smallest id; texts without words stay all."""
+    return _one_of_each(docs, lambda rows: jaccard_join.near_groups(rows, key="row").select("doc_id", "component_id"))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents, and their places in sequences of at most 2048 tokens."""
+    """The pieces of all documents, and their places in sequences of at most 2048 tokens.
+
+    A null or empty text is one piece of one token; rows that repeat are packed each for itself.
+    """
     return packing.packed(docs, word_vocabulary())
 
 
