@@ -1,6 +1,7 @@
 """Each operator against brute force, a library or held-out rows, and over awkward tables."""
 
 import hashlib
+import math
 import random
 import zlib
 
@@ -222,8 +223,6 @@ def test_language_forward_sums_all_segmentations():
 
 def test_language_pieces_of_any_length_over_stretches():
     """Counts and probabilities are those of the whole word, however it is read; nothing underflows."""
-    import math
-
     import numpy as np
 
     pieces = {"a": 1, "b": 2, "ab": 3, "abababababab": 4, "bbb": 5}
@@ -250,8 +249,106 @@ def test_language_pieces_of_any_length_over_stretches():
     assert max(map(len, langid.load_pieces(PIECES))) == 16
 
 
-def test_word_probabilities_are_a_distribution(spark):
-    """Over a small alphabet of bytes, what the model gives to words of at most two bytes sums to less than one."""
+def random_model(bits: int, seed: int):
+    import numpy as np
+
+    rnd = np.random.default_rng(seed)
+    mix = lm_score.Mixer(rnd.normal(0.2, 0.3, (lm_score.GATES, lm_score.INPUTS)), rnd.uniform(1, 5, (256, lm_score.STEPS)), np.full((256, lm_score.STEPS), 6.0))
+    return mix, rnd.normal(0, 2, 2 << bits), rnd.integers(0, 9, 2 << bits).astype(np.uint8)
+
+
+@pytest.mark.parametrize("stem", [b"", b"a", b"word", b"\xc3\xa9t\xc3"])
+def test_probabilities_of_the_next_byte_sum_to_one(stem):
+    import numpy as np
+
+    mix, table, often = random_model(10, 4)
+    rows = lm_score.Bits([stem + bytes([x]) for x in range(256)], 10)
+    here = np.flatnonzero(rows.pos == len(stem))
+    total = np.ones(256)
+    for bit in range(8):
+        node, value, slots = rows.slots(bit)
+        chance = mix.predict(node, [table[s] for s in slots], often[slots[-1]], often[slots[-2]])[3]
+        total *= np.where(value == 1, chance, 1 - chance)[here]
+    assert len(set(total)) > 100 and total.sum() == pytest.approx(1)
+
+
+def test_mixer_by_plain_arithmetic():
+    import numpy as np
+
+    mix, table, often = random_model(8, 5)
+    rnd = random.Random(6)
+    size, rate = 40, 0.05
+    node = np.array([rnd.randrange(1, 256) for _ in range(size)], np.uint32)
+    inputs = [np.array([rnd.uniform(-6, 6) for _ in range(size)]) for _ in range(lm_score.INPUTS)]
+    word, order = (np.array([rnd.randrange(9) for _ in range(size)], np.uint8) for _ in range(2))
+    value, weight = np.array([rnd.randrange(2) for _ in range(size)]), np.array([rnd.uniform(0.5, 3) for _ in range(size)])
+    weights, hits, seen = mix.weights.copy(), mix.hits.copy(), mix.seen.copy()
+    gate, mixed, cell, chance = mix.predict(node, inputs, word, order)
+    logistic = lambda x: 1 / (1 + math.exp(-x))
+    slopes, totals = {}, {}
+    for i in range(size):
+        g = int(word[i]) * 5 + int(order[i]) // 2
+        x = max(-12, min(12, sum(weights[g, n] * inputs[n][i] for n in range(lm_score.INPUTS))))
+        step = max(0, min(lm_score.STEPS - 1, round((x + 8) * 2)))
+        assert (gate[i], mixed[i]) == (g, pytest.approx(x))
+        assert chance[i] == pytest.approx((logistic(x) + hits[node[i], step] / seen[node[i], step]) / 2)
+        totals[g] = totals.get(g, 0) + weight[i]
+        for n in range(lm_score.INPUTS):
+            slopes[g, n] = slopes.get((g, n), 0) + (value[i] - logistic(x)) * weight[i] * inputs[n][i]
+    mix.learn(gate, mixed, cell, inputs, value, weight, rate)
+    for (g, n), slope in slopes.items():
+        slope /= totals[g]
+        assert mix.weights[g, n] == pytest.approx(weights[g, n] + rate * slope / math.sqrt(1e-4 + slope**2))
+    assert mix.seen.sum() == pytest.approx(seen.sum() + weight.sum()) and mix.hits.sum() == pytest.approx(hits.sum() + (weight * value).sum())
+
+
+def test_outcomes_of_contexts_by_brute_force():
+    import numpy as np
+
+    rnd = random.Random(8)
+    for _ in range(60):
+        counted = {(rnd.randrange(5), rnd.randrange(6)): rnd.randrange(5) for _ in range(rnd.randrange(1, 25))}
+        keys = sorted(counted)
+        packed = np.array([(c << lm_score.WORD_BITS) | w for c, w in keys], np.uint64)
+        plain, without = lm_score.outcomes(packed, np.array([counted[k] for k in keys]))
+        for i, (context, word) in enumerate(keys):
+            for found, less in ((plain[i], 0), (without[i], 1)):
+                if counted[context, word] < less:
+                    continue  # no learned token to be left out
+                left = {w: n - less * (w == word) for (c, w), n in counted.items() if c == context}
+                total = sum(left.values())
+                if not total:
+                    assert found == 0
+                    continue
+                top = min(left, key=lambda w: (-left[w], w))
+                steps = [0 if x == 0 else min(x.bit_length(), 7) for x in (left[top], total - left[top])]
+                assert found == 1 + (top == word) + 2 * (8 * steps[0] + steps[1])
+
+
+def test_lm_sees_over_words_and_not_tasks(spark):
+    """A text told by another's order of words scores above the same words shuffled, whatever the partitions."""
+    rnd = random.Random(9)
+    words = [f"w{i}" for i in range(60)]
+    texts = [" ".join(rnd.choices(words, k=80)) for _ in range(10)] * 2  # copies, so that contexts tell something
+    shuffled = texts[0].split()
+    rnd.shuffle(shuffled)
+    rows = [(i, t, True) for i, t in enumerate(texts)] + [(100, texts[0], False), (101, " ".join(shuffled), False), (102, None, None), (102, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, learn boolean")
+    small = lm_score.Settings(bits=12, block_bytes=2_000, range_tokens=300, lane_words=20, common=5)
+    found = []
+    for parts in (1, 7):
+        out = lm_score.scores(docs.repartition(parts), F.col("learn"), extra=(F.col("text").alias("score"),), settings=small)
+        assert out.columns[:2] == ["doc_id", "score"]
+        found.append(sorted((r["doc_id"], r[6], r["bits_per_byte"]) for r in out.collect()))
+    one, seven = found
+    assert [x[0] for x in one] == [x[0] for x in seven]
+    assert [x[1] for x in one] == pytest.approx([x[1] for x in seven]) and [x[2] for x in one] == pytest.approx([x[2] for x in seven])
+    of = {x[0]: x[1] for x in one}
+    assert of[100] > of[101] + 20
+    assert of[102] < 0
+
+
+def test_lm_counts_of_tokens(spark):
     rows = queries.op5_lm_scoring(spark, SF).toPandas()
     assert (rows["score"] < 0).all() and (rows["n_known"] <= rows["n_tokens"]).all()
     known = rows[~rows["held_out"]]
