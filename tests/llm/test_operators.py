@@ -249,6 +249,57 @@ def test_language_pieces_of_any_length_over_stretches():
     assert max(map(len, langid.load_pieces(PIECES))) == 16
 
 
+def test_ftrl_by_plain_arithmetic():
+    """McMahan et al., "Ad click prediction" (2013), algorithm 1, feature by feature."""
+    import numpy as np
+
+    settings = quality.Settings(bits=5, l1=0.05, l2=0.1, alpha=0.7, beta=1.0)
+    model, rnd = quality.Ftrl(settings), random.Random(10)
+    z, n = [0.0] * 32, [0.0] * 32
+
+    def weight(i):
+        if abs(z[i]) <= settings.l1:
+            return 0.0
+        return -(z[i] - math.copysign(settings.l1, z[i])) / ((settings.beta + math.sqrt(n[i])) / settings.alpha + settings.l2)
+
+    for _ in range(300):
+        at = sorted(rnd.sample(range(32), rnd.randrange(1, 9)))
+        values, label = [rnd.uniform(0.1, 1) for _ in at], rnd.randrange(2)
+        w = [weight(i) for i in at]
+        chance = 1 / (1 + math.exp(-sum(x * y for x, y in zip(w, values))))
+        for i, own, value in zip(at, w, values):
+            gradient = (chance - label) * value
+            step = (math.sqrt(n[i] + gradient**2) - math.sqrt(n[i])) / settings.alpha
+            z[i] += gradient - step * own
+            n[i] += gradient**2
+        model.learn(np.array(at), np.array(values), label)
+    got = model.weights(np.arange(32))
+    assert list(got) == pytest.approx([weight(i) for i in range(32)]) and any(got)
+
+
+def test_quality_features_by_plain_counts():
+    """A feature for each term, pair of neighbours and equality of neighbours, and one for the text."""
+    from collections import Counter
+
+    from marginalia.llm.common import Memo, word_hash
+
+    def plain(text):
+        parts = [t for w in text.split() for t in quality.TERM.findall(w)]
+        spread, full = 0xD6E8FEB86659FD93, 1 << 64
+        number = lambda x: (x * spread % full) >> 46
+        hashed = [word_hash(t) % full for t in parts]
+        pairs = list(zip(hashed, hashed[1:]))
+        return Counter([0] + [number(x) for x in hashed] + [number((b * 0x9E3779B97F4A7C15 + a) % full) for a, b in pairs]
+                       + [2 if a == b else 1 for a, b in pairs])
+
+    known = Memo(quality.terms)
+    for text in (b"", b" ", b"one", b"a a b, b", "\u00e9t\u00e9 -- no. No!".encode(), b"x" * 5000, b"w " * 3000):
+        counts = plain(text)
+        index, value = quality.scaled(quality.features(text, known, 18))
+        assert list(index) == sorted(counts)
+        assert list(value) == pytest.approx([math.sqrt(counts[i] / sum(counts.values())) for i in sorted(counts)])
+
+
 def random_model(bits: int, seed: int):
     import numpy as np
 
