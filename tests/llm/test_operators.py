@@ -300,6 +300,57 @@ def test_quality_features_by_plain_counts():
         assert list(value) == pytest.approx([math.sqrt(counts[i] / sum(counts.values())) for i in sorted(counts)])
 
 
+def plain_sketch(text: bytes) -> list[int]:
+    """The parse of one text, symbol by symbol."""
+    full, odd, base = 1 << 64, 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
+
+    def mix(x):
+        x = (x ^ (x >> 32)) * odd % full
+        x = (x ^ (x >> 29)) * 0xBF58476D1CE4E5B9 % full
+        return x ^ (x >> 32)
+
+    def toss(symbols):
+        out = []
+        for i, x in enumerate(symbols):
+            differ = x ^ symbols[i - 1] if i else 1
+            bit = (differ & -differ).bit_length() - 1
+            out.append(2 * bit + (x >> bit & 1))
+        return out
+
+    least, symbols = {}, list(text)
+    for level in (1, 2, 3):
+        runs = []
+        for x in symbols:
+            if runs and runs[-1][0] == x:
+                runs[-1][1] += 1
+            else:
+                runs.append([x, 1])
+        labels = [x for x, _ in runs]
+        for _ in range(3 if level == 1 else 4):
+            labels = toss(labels)
+        assert all(x < 6 for x in labels)
+        parts = []
+        for i, run in enumerate(runs):
+            if not i or i + 1 < len(runs) and labels[i - 1] < labels[i] > labels[i + 1]:
+                parts.append([])
+            parts[-1].append(run)
+        symbols = [
+            mix(sum(mix((x + n * odd) % full) * pow(base, min(i, 63) + 1, full) for i, (x, n) in enumerate(part)) % full) for part in parts
+        ]
+        if level > 1:
+            for x in symbols:
+                name = mix((x + level) % full)
+                least[name >> 58] = min(least.get(name >> 58, full), name % (1 << 58))
+    return [min(mix(least[i]) >> 48, 0xFFFE) if i in least else 0xFFFF for i in range(fingerprints.BINS)]
+
+
+def test_parse_by_plain_steps():
+    rnd = random.Random(11)
+    texts = [b"", b"a", b"ab", b"aaaa", b"a" * 500, "\u00e9t\u00e9 d'hiver".encode(), bytes(range(256))]
+    texts += [" ".join(rnd.choices(["one", "two", "three", "quite", "longer"], k=n)).encode() for n in (3, 40, 400)]
+    assert fingerprints.sketches(texts).tolist() == [plain_sketch(t) for t in texts]
+
+
 def random_model(bits: int, seed: int):
     import numpy as np
 
