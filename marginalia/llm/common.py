@@ -19,6 +19,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BLANKS = " \t\n\x0b\x0c\r"
 #: Keys of eight bytes that are broadcast at most: some tens of MB in a hash table.
 BROADCAST_KEYS = 500_000
+#: Whether Spark deletes the shuffle files of a statement when it ends.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
@@ -40,11 +42,18 @@ def settled(df: DataFrame) -> DataFrame:
     """The rows, computed once and kept as a table in the folder that ``spark.checkpoint.dir`` names.
 
     Later stages read the table, so a lost executor costs a read, not the work.
-    Columns are stored compressed, which takes far less room than a checkpoint of rows.
+    Columns are stored compressed, which takes far less room than a checkpoint of rows. What was
+    shuffled to compute them is of no use once the table is there, and its files are deleted.
     """
-    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/settled-{uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/settled-{uuid4().hex}"
+    before = spark.conf.get(FREE_SHUFFLES, "false")
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(FREE_SHUFFLES, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def with_columns(df: DataFrame, more: str) -> StructType:

@@ -7,9 +7,12 @@ of those elements. Each part is dealt into ``n2`` cells; for each choice of ``k2
 cells to leave out, a set has one signature: a hash of its elements in the others. So
 in each of the remaining parts similar sets share a signature.
 
-``n1`` is larger by ``spare`` parts than it need be. A signature without elements
-would be shared by many unlike sets; a set of which at most ``spare`` parts have
-such a signature leaves these out, and still shares another one with each similar
+A band is stretched upwards by what a set of it can be similar to, so a set signs for its
+own band and, if it is small enough, for the one below.
+
+A signature without elements would be shared by many unlike sets. ``n1`` is larger than it
+need be, so that similar sets share several signatures for certain; a set of which fewer
+than that have no elements leaves these out, and still shares another one with each similar
 set. Sets with more of them sign for all, apart, as only such a pair needs those.
 """
 
@@ -18,7 +21,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import lru_cache
 from itertools import combinations
-from math import ceil, floor, log
+from math import ceil, comb, floor, log
 
 import numpy as np
 import pyarrow as pa
@@ -36,40 +39,52 @@ OPEN_PAIRS = 2_000
 
 @dataclass(frozen=True)
 class Similarity:
-    """At least ``percent`` of the union is common. Sizes of one band differ by less than ``width`` times."""
+    """At least ``percent`` of the union is common. Sizes of one band differ by less than ``width`` times.
+
+    A band is at least as wide as similar sets differ in size, so these are in one band or in neighbours.
+    """
 
     percent: int = 80
-    width: float = 1.5
+    width: float = 1.3
+
+    def __post_init__(self):
+        if self.width * self.percent < 100:
+            raise ValueError(f"bands of width {self.width} are narrower than {100 / self.percent}")
 
     def bottom(self, band: int) -> int:
         """The smallest size in a band."""
         return ceil(self.width**band - 1e-9)
 
     def bands(self, size: int) -> list[int]:
-        """The size's own band, and the next if a similar set can be in it."""
+        """The size's own band, and the one below if a similar set can be in it."""
         own = floor(log(size) / log(self.width) + 1e-9)
         own += (self.bottom(own + 1) <= size) - (self.bottom(own) > size)
-        return [own, own + 1] if 100 * size >= self.percent * self.bottom(own + 1) else [own]
+        return [own, own - 1] if own and self.percent * size <= 100 * (self.bottom(own) - 1) else [own]
 
     def differing(self, band: int) -> int:
-        """How many elements two similar sets that both sign for a band differ in at most."""
-        return 2 * (self.bottom(band + 1) - 1) * (100 - self.percent) // (100 + self.percent)
+        """How many elements two similar sets, the smaller one of this band, differ in at most."""
+        small = self.bottom(band + 1) - 1
+        return (small + 100 * small // self.percent) * (100 - self.percent) // (100 + self.percent)
 
 
 @lru_cache(None)
 def layout(k: int) -> tuple[int, int, int, np.ndarray]:
-    """(n1, n2, spare, kept cells by choice) for sets that differ in at most ``k`` elements.
+    """(n1, n2, sure, kept cells by choice) for sets that differ in at most ``k`` elements.
 
-    Small sets have one part, so that signatures still cover several elements.
+    ``sure`` is how many signatures such sets share at least. Small sets have one
+    part, so that signatures still cover several elements.
     """
     if k <= 5:
         k2, n2 = k, (1, 4, 5, 6, 8, 9)[k]
     else:
-        k2, n2 = (3, 6) if k <= 20 else (1, 3)
+        k2, n2 = 1, 2 + (k <= 20)
     least = k // (k2 + 1) + 1
-    spare = 0 if least == 1 else least // 10 + 1
+    n1 = least + (least + 7) // 8 if least > 1 else 1
+    # The d-th differing cell of a part spoils as many signatures; the first ones of all parts spoil most.
+    kept = n2 - k2
+    spoiled = sorted((comb(n2 - d, kept - 1) for d in range(1, n2 + 1) for _ in range(n1)), reverse=True)
     choices = [[cell not in out for cell in range(n2)] for out in combinations(range(n2), k2)]
-    return least + spare, n2, spare, np.array(choices, np.int64).T
+    return n1, n2, n1 * comb(n2, k2) - sum(spoiled[:k]), np.array(choices, np.int64).T
 
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -100,7 +115,7 @@ def signatures(elements: np.ndarray, similarity: Similarity, seed: int = 0) -> n
     value = mixed(spread ^ _ODD)
     part_of, cell_of = spread >> np.uint64(34), spread & np.uint64(0x3FFFFFFF)
     for band in similarity.bands(len(elements)):
-        n1, n2, spare, kept = layout(similarity.differing(band))
+        n1, n2, sure, kept = layout(similarity.differing(band))
         # Numbers of 30 bits, scaled to the parts and to their cells.
         part, cell = (part_of * np.uint64(n1)) >> np.uint64(30), (cell_of * np.uint64(n2)) >> np.uint64(30)
         at = (part * np.uint64(n2) + cell).astype(np.int64)
@@ -112,7 +127,7 @@ def signatures(elements: np.ndarray, similarity: Similarity, seed: int = 0) -> n
         place = np.arange(sums.size, dtype=np.uint64).reshape(sums.shape) + np.uint64(band << 40) + np.uint64(seed << 56)
         signed = mixed(sums + mixed(place))
         out.append(signed[full])
-        if (~full).any(1).sum() > spare:
+        if (~full).sum() >= sure:
             out.append(mixed(signed[~full] + _ODD))
     return np.concatenate(out).view(np.int64)
 

@@ -572,3 +572,19 @@ def test_near_groups_of_one_large_component(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
     got = {r["doc_id"]: r["component_id"] for r in jaccard_join.near_groups(docs).collect()}
     assert all(got[i] == 0 for i in range(303)) and all(got[i] == i for i in range(303, 403))
+
+
+def test_similar_sets_share_a_band_and_a_signature():
+    rnd, similarity = np.random.default_rng(3), jaccard_join.Similarity()
+    for small in range(1, 3000):
+        band, large = similarity.bands(small)[0], 100 * small // 80
+        assert all(band in similarity.bands(size) for size in {small, (small + large) // 2, large})
+        assert (small + large) * 20 // 180 <= similarity.differing(band)
+    for _ in range(1000):
+        all_of = np.unique(rnd.integers(0, 2**63, int(np.exp(rnd.uniform(np.log(2), np.log(3000)))), dtype=np.uint64))
+        mixed = rnd.permutation(all_of)
+        common = -(-80 * len(mixed) // 100)
+        cut = common + rnd.integers(0, len(mixed) - common + 1)
+        a, b = np.sort(mixed[:cut]), np.sort(np.concatenate([mixed[:common], mixed[cut:]]))
+        assert jaccard_join.similar(a, b, 80)
+        assert len(np.intersect1d(jaccard_join.signatures(a, similarity), jaccard_join.signatures(b, similarity)))
