@@ -14,6 +14,11 @@ A signature without elements would be shared by many unlike sets. ``n1`` is larg
 need be, so that similar sets share several signatures for certain; a set of which fewer
 than that have no elements leaves these out, and still shares another one with each similar
 set. Sets with more of them sign for all, apart, as only such a pair needs those.
+
+As similar sets share several signatures, each may leave out all but one of those that it
+shares for certain. Those that join the most pairs are left out, such as of a passage
+that many documents hold; sets that share m of their signatures share one without the
+m - 1 last of each in any one order.
 """
 
 from __future__ import annotations
@@ -25,7 +30,7 @@ from math import ceil, comb, floor, log
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marginalia.llm.common import Memo, narrowed, settled, stretches, word_hash
@@ -33,6 +38,7 @@ from marginalia.llm.common import Memo, narrowed, settled, stretches, word_hash
 SHINGLE_WORDS = 5
 STRETCH_BYTES = 1_000_000
 SKETCH_BITS = 2048
+SPARE_BITS = 20
 #: A signature's open pairs beyond so many are told apart by a second, independent set of signatures first.
 OPEN_PAIRS = 2_000
 
@@ -108,9 +114,12 @@ def shingles(words: list[bytes], known: Memo) -> np.ndarray:
     return np.unique(total)
 
 
-def signatures(elements: np.ndarray, similarity: Similarity, seed: int = 0) -> np.ndarray:
-    """The signatures of a set for the bands it signs for."""
-    out = []
+def signatures(elements: np.ndarray, similarity: Similarity, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """The signatures of a set for the bands it signs for, and each one's band and how many of that band it can spare.
+
+    These two are one number, ``band << SPARE_BITS | spare``.
+    """
+    out, codes = [], []
     spread = mixed(elements + np.uint64(seed) * np.uint64(0xD6E8FEB86659FD93))
     value = mixed(spread ^ _ODD)
     part_of, cell_of = spread >> np.uint64(34), spread & np.uint64(0x3FFFFFFF)
@@ -126,10 +135,13 @@ def signatures(elements: np.ndarray, similarity: Similarity, seed: int = 0) -> n
         full = counts > 0
         place = np.arange(sums.size, dtype=np.uint64).reshape(sums.shape) + np.uint64(band << 40) + np.uint64(seed << 56)
         signed = mixed(sums + mixed(place))
+        empty = int((~full).sum())
         out.append(signed[full])
-        if (~full).sum() >= sure:
+        if empty >= sure:
             out.append(mixed(signed[~full] + _ODD))
-    return np.concatenate(out).view(np.int64)
+        spare = min(max(sure - empty - 1, 0), (1 << SPARE_BITS) - 1)
+        codes.append(np.full(signed.size if empty >= sure else signed.size - empty, band << SPARE_BITS | spare, np.int32))
+    return np.concatenate(out).view(np.int64), np.concatenate(codes)
 
 
 def sketch(elements: np.ndarray) -> bytes:
@@ -171,22 +183,36 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, f"id {dict(docs.dtypes)['id']}, elements binary")
 
 
-def described(docs: DataFrame) -> DataFrame:
-    """``(id, n_shingles, hash, sketch)`` of each row of ``(id, text)``; the hash names the set."""
+def described(docs: DataFrame, similarity: Similarity) -> DataFrame:
+    """``(id, n_shingles, hash, sketch, sigs, codes)`` of each row of ``(id, text)``; the hash names the set.
+
+    A task signs for equal sets once: the others have no signatures and find their group by the hash.
+    """
 
     def run(batches):
         from xxhash import xxh3_128_digest
 
-        known = Memo(word_hash)
+        known, seen = Memo(word_hash), set()
+        none = np.zeros(0, np.int64), np.zeros(0, np.int32)
         for batch in stretches(batches, "text", STRETCH_BYTES):
             sets = [shingles((x or b"").lower().split(), known) for x in batch.column("text").to_pylist()]
+            names = [xxh3_128_digest(x) for x in sets]
+            signs = []
+            for name, elements, key in zip(names, sets, batch.column("id").is_valid().to_pylist()):
+                new = key and len(elements) > 0 and name not in seen
+                signs.append(signatures(elements, similarity) if new else none)
+                if new:
+                    seen.add(name)
+            starts = pa.array(np.cumsum([0, *(len(x) for x, _ in signs)]), pa.int32())
             columns = (
-                pa.array([len(x) for x in sets], pa.int64()), pa.array([xxh3_128_digest(x) for x in sets], pa.binary()),
+                pa.array([len(x) for x in sets], pa.int64()), pa.array(names, pa.binary()),
                 pa.array([sketch(x) for x in sets], pa.binary()),
+                *(pa.ListArray.from_arrays(starts, pa.array(np.concatenate(x))) for x in zip(*signs)),
             )
-            yield pa.RecordBatch.from_arrays([batch.column("id"), *columns], ["id", "n_shingles", "hash", "sketch"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), *columns], ["id", "n_shingles", "hash", "sketch", "sigs", "codes"])
 
-    return docs.mapInArrow(run, f"id {dict(docs.dtypes)['id']}, n_shingles long, hash binary, sketch binary")
+    kind = dict(docs.dtypes)["id"]
+    return docs.mapInArrow(run, f"id {kind}, n_shingles long, hash binary, sketch binary, sigs array<long>, codes array<int>")
 
 
 def signed(sets: DataFrame, similarity: Similarity, seed: int = 0) -> DataFrame:
@@ -205,7 +231,7 @@ def signed(sets: DataFrame, similarity: Similarity, seed: int = 0) -> DataFrame:
                 name = xxh3_128_digest(body)
                 if name not in seen:
                     seen.add(name)
-                    found.append(signatures(np.frombuffer(body, np.uint64), similarity, seed))
+                    found.append(signatures(np.frombuffer(body, np.uint64), similarity, seed)[0])
                     at.append(np.full(len(found[-1]), row))
             if found:
                 ids = batch.column("id").take(pa.array(np.concatenate(at)))
@@ -215,7 +241,7 @@ def signed(sets: DataFrame, similarity: Similarity, seed: int = 0) -> DataFrame:
 
 
 def shared(sigs: DataFrame) -> DataFrame:
-    """``(sig, id, low, before)`` of the signatures that several rows have: the smallest id and the one before.
+    """``(sig, id, code, low)`` of the signatures that several rows have, with the smallest id of each.
 
     Rows are dealt by signature and sorted by signature and id, and each task
     streams through them with a row in hand. A group of documents, whatever its
@@ -224,28 +250,45 @@ def shared(sigs: DataFrame) -> DataFrame:
     kind = dict(sigs.dtypes)["id"]
 
     def run(batches):
-        held = None  # the last row: its signature and id, its run's smallest id, whether the run goes back
+        names, held = ["sig", "id", "code", "low"], None  # the last row, and whether its run goes back
         for batch in batches:
-            sig, ids = batch.column("sig").to_numpy(), batch.column("id").to_numpy()
+            rows = [batch.column(x).to_numpy() for x in names[:3]]
             if held is not None:
-                sig, ids = np.concatenate([[held[0]], sig]), np.concatenate([[held[1]], ids])
-            again = np.concatenate([[held is not None and held[3]], sig[1:] == sig[:-1]])
+                rows = [np.concatenate([[x], column]) for x, column in zip(held, rows)]
+            sig, ids, _ = rows
+            back = held is not None and held[4]
+            again = np.concatenate([[back], sig[1:] == sig[:-1]])
             start = np.maximum.accumulate(np.where(again, 0, np.arange(len(sig))))
             low = ids[start]
-            if held is not None and held[3]:
-                low[start == 0] = held[2]
-            before = np.concatenate([[held[4] if held is not None else ids[0]], ids[:-1]])
-            more = np.concatenate([again[1:], [False]])
-            out = np.flatnonzero(again[:-1] | more[:-1])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x[out]) for x in (sig, ids, low, np.where(again, before, ids))], ["sig", "id", "low", "before"]
-            )
-            held = (sig[-1], ids[-1], low[-1], bool(again[-1]), before[-1])
-        if held is not None and held[3]:
-            yield pa.RecordBatch.from_arrays([pa.array([x]) for x in (held[0], held[1], held[2], held[4])], ["sig", "id", "low", "before"])
+            if back:
+                low[start == 0] = held[3]
+            out = np.flatnonzero(again[:-1] | again[1:])
+            yield pa.RecordBatch.from_arrays([pa.array(x[out]) for x in (*rows, low)], names)
+            held = (*(x[-1] for x in rows), low[-1], bool(again[-1]))
+        if held is not None and held[4]:
+            yield pa.RecordBatch.from_arrays([pa.array([x]) for x in held[:4]], names)
 
     rows = sigs.repartition("sig").sortWithinPartitions("sig", "id")
-    return rows.mapInArrow(run, f"sig long, id {kind}, low {kind}, before {kind}")
+    return rows.mapInArrow(run, f"sig long, id {kind}, code int, low {kind}")
+
+
+def without_spared(placed: DataFrame) -> DataFrame:
+    """The rows of ``(sig, id, code, root, open)`` without those that each set of a band can spare, of the most open pairs.
+
+    Where an id has several texts in a band, it spares as many as the one that can spare least.
+    """
+    of_set = Window.partitionBy("id", F.shiftright("code", SPARE_BITS))
+    spare = F.col("code").bitwiseAND((1 << SPARE_BITS) - 1)
+    numbered = placed.withColumn("nth", F.row_number().over(of_set.orderBy(F.desc("open"), "sig")))
+    return numbered.withColumn("spare", F.min(spare).over(of_set)).filter("nth > spare").drop("nth", "spare")
+
+
+def still_open(placed: DataFrame) -> DataFrame:
+    """``(sig, open)``: signatures that hold several components, with the number of pairs between them."""
+    held = placed.groupBy("sig", "root").agg(F.count("*").alias("n"))
+    return held.groupBy("sig").agg(
+        F.sum("n").alias("all"), F.sum(F.col("n") * F.col("n")).alias("inner"), F.count("*").alias("roots")
+    ).filter("roots > 1").select("sig", ((F.col("all") * F.col("all") - F.col("inner")) / 2).alias("open"))
 
 
 def verified(pairs: DataFrame, docs: DataFrame, about: DataFrame, percent: int) -> DataFrame:
@@ -322,25 +365,22 @@ def links(docs: DataFrame, about: DataFrame, similarity: Similarity) -> DataFram
     First each set is compared with one other, the smallest id of most of the
     signatures it shares, and the links found are joined into components: most of a
     group of near copies, however large, is one then.
-    What is left are pairs of one signature but of different components. Each of
-    them is compared too, so no link is lost; where a signature has many, both
+    What is left are pairs of one signature but of different components, once sets have
+    left out what they can spare. Each of them is compared too, so no link is lost; where a signature has many, both
     sides must also share a signature of a second, independent deal.
     """
     percent = similarity.percent
-    buckets = settled(shared(signed(shingle_sets(docs), similarity)))
+    each = about.select("id", F.explode(F.arrays_zip("sigs", "codes")).alias("x"))
+    buckets = settled(shared(each.select("id", F.col("x.sigs").alias("sig"), F.col("x.codes").alias("code"))))
     # Of the smallest ids that a set shares a signature with, the one it shares most with.
     near = buckets.filter("low < id").groupBy("low", "id").agg(F.count("*").alias("n")).groupBy("id").agg(
         F.max_by("low", F.struct("n", -F.col("low"))).alias("a")
     ).select("a", F.col("id").alias("b"))
     found = settled(verified(near, docs, about, percent))
     roots = settled(components(found))
-    placed = buckets.select("sig", "id").join(roots, "id", "left").select("sig", "id", F.coalesce("root", "id").alias("root"))
-    # Signatures that still hold several components, with the number of pairs between them.
-    held = placed.groupBy("sig", "root").agg(F.count("*").alias("n"))
-    still = held.groupBy("sig").agg(
-        F.sum("n").alias("all"), F.sum(F.col("n") * F.col("n")).alias("inner"), F.count("*").alias("roots")
-    ).filter("roots > 1").select("sig", ((F.col("all") * F.col("all") - F.col("inner")) / 2).alias("open"))
-    rest = settled(placed.join(still, "sig"))
+    placed = buckets.join(roots, "id", "left").select("sig", "id", "code", F.coalesce("root", "id").alias("root"))
+    kept = settled(without_spared(placed.join(still_open(placed), "sig")).drop("open"))
+    rest = settled(kept.join(still_open(kept), "sig"))
     pool = rest.filter(F.col("open") <= OPEN_PAIRS).select("sig", F.lit(0).cast("long").alias("sig2"), "id", "root")
     many = rest.filter(F.col("open") > OPEN_PAIRS).select("sig", "id", "root")
     if not many.isEmpty():
@@ -374,7 +414,7 @@ def near_groups(
     Other columns are not read; an empty table gives no row.
     """
     rows = docs.select(F.col(key).alias("id"), F.col(text).cast("binary").alias("text"))
-    about = settled(described(rows))
+    about = settled(described(rows, similarity))
     some = about.filter("n_shingles > 0 AND id IS NOT NULL")
     roots = links(rows.filter("id IS NOT NULL AND text IS NOT NULL"), some, similarity)
     # Equal sets have one hash; ids with several texts join the groups of all of them.
