@@ -39,6 +39,10 @@ SHINGLE_WORDS = 5
 STRETCH_BYTES = 1_000_000
 SKETCH_BITS = 2048
 SPARE_BITS = 20
+#: The sketch folded to four numbers of 64 bits, which travel with a signature.
+FOLDED = ("f0", "f1", "f2", "f3")
+#: A signature's rows are paired directly if at most so many pairs within components come on one between them.
+INNER_PAIRS = 4
 #: A signature's open pairs beyond so many are told apart by a second, independent set of signatures first.
 OPEN_PAIRS = 2_000
 
@@ -184,7 +188,7 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
 
 
 def described(docs: DataFrame, similarity: Similarity) -> DataFrame:
-    """``(id, n_shingles, hash, sketch, sigs, codes)`` of each row of ``(id, text)``; the hash names the set.
+    """``(id, n_shingles, hash, sketch, f0, f1, f2, f3, sigs, codes)`` of each row of ``(id, text)``; the hash names the set.
 
     A task signs for equal sets once: the others have no signatures and find their group by the hash.
     """
@@ -203,16 +207,19 @@ def described(docs: DataFrame, similarity: Similarity) -> DataFrame:
                 signs.append(signatures(elements, similarity) if new else none)
                 if new:
                     seen.add(name)
+            sketches = [sketch(x) for x in sets]
+            folded = np.bitwise_xor.reduce(np.frombuffer(b"".join(sketches), np.int64).reshape(len(sets), -1, len(FOLDED)), 1)
             starts = pa.array(np.cumsum([0, *(len(x) for x, _ in signs)]), pa.int32())
             columns = (
                 pa.array([len(x) for x in sets], pa.int64()), pa.array(names, pa.binary()),
-                pa.array([sketch(x) for x in sets], pa.binary()),
+                pa.array(sketches, pa.binary()), *(pa.array(x) for x in folded.T.copy()),
                 *(pa.ListArray.from_arrays(starts, pa.array(np.concatenate(x))) for x in zip(*signs)),
             )
-            yield pa.RecordBatch.from_arrays([batch.column("id"), *columns], ["id", "n_shingles", "hash", "sketch", "sigs", "codes"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), *columns], list(names_of))
 
-    kind = dict(docs.dtypes)["id"]
-    return docs.mapInArrow(run, f"id {kind}, n_shingles long, hash binary, sketch binary, sigs array<long>, codes array<int>")
+    names_of = ("id", "n_shingles", "hash", "sketch", *FOLDED, "sigs", "codes")
+    kinds = (dict(docs.dtypes)["id"], "long", "binary", "binary", *["long"] * len(FOLDED), "array<long>", "array<int>")
+    return docs.mapInArrow(run, ", ".join(f"{name} {kind}" for name, kind in zip(names_of, kinds)))
 
 
 def signed(sets: DataFrame, similarity: Similarity, seed: int = 0) -> DataFrame:
@@ -284,11 +291,11 @@ def without_spared(placed: DataFrame) -> DataFrame:
 
 
 def still_open(placed: DataFrame) -> DataFrame:
-    """``(sig, open)``: signatures that hold several components, with the number of pairs between them."""
+    """``(sig, open, inner)``: signatures that hold several components, with the numbers of pairs between and within them."""
     held = placed.groupBy("sig", "root").agg(F.count("*").alias("n"))
     return held.groupBy("sig").agg(
         F.sum("n").alias("all"), F.sum(F.col("n") * F.col("n")).alias("inner"), F.count("*").alias("roots")
-    ).filter("roots > 1").select("sig", ((F.col("all") * F.col("all") - F.col("inner")) / 2).alias("open"))
+    ).filter("roots > 1").select("sig", ((F.col("all") * F.col("all") - F.col("inner")) / 2).alias("open"), "inner")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, about: DataFrame, percent: int) -> DataFrame:
@@ -359,6 +366,24 @@ def components(links: DataFrame) -> DataFrame:
     )
 
 
+def paired(rows: DataFrame, about: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``(a, b)`` of different components in a signature of ``(sig, id, root)`` that sizes and folded sketches allow.
+
+    Folding keeps the parity of cells, so the bits that differ still count no more than the elements that do.
+    """
+    held = rows.select("sig", "id", "root").join(about.select("id", "n_shingles", *FOLDED), "id")
+    one, two = (held.select("sig", *(F.col(c).alias(f"{c}_{side}") for c in held.columns if c != "sig")) for side in "xy")
+    n_x, n_y = F.col("n_shingles_x"), F.col("n_shingles_y")
+    differing = sum((F.bit_count(F.col(f"{f}_x").bitwiseXOR(F.col(f"{f}_y"))) for f in FOLDED), F.lit(0))
+    fits = (
+        (F.col("root_x") < F.col("root_y")) & (F.least(n_x, n_y) * 100 >= F.greatest(n_x, n_y) * percent)
+        & ((n_x + n_y - differing) * 100 >= (n_x + n_y + differing) * percent)
+    )
+    return one.join(two, "sig").filter(fits).select(
+        F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b")
+    ).filter("a < b")
+
+
 def links(docs: DataFrame, about: DataFrame, similarity: Similarity) -> DataFrame:
     """``(id, root)`` of the ids of ``docs`` ``(id, text)`` that are linked with another.
 
@@ -379,9 +404,10 @@ def links(docs: DataFrame, about: DataFrame, similarity: Similarity) -> DataFram
     found = settled(verified(near, docs, about, percent))
     roots = settled(components(found))
     placed = buckets.join(roots, "id", "left").select("sig", "id", "code", F.coalesce("root", "id").alias("root"))
-    kept = settled(without_spared(placed.join(still_open(placed), "sig")).drop("open"))
+    kept = settled(without_spared(placed.join(still_open(placed), "sig")).drop("open", "inner"))
     rest = settled(kept.join(still_open(kept), "sig"))
-    pool = rest.filter(F.col("open") <= OPEN_PAIRS).select("sig", F.lit(0).cast("long").alias("sig2"), "id", "root")
+    few, direct = F.col("open") <= OPEN_PAIRS, F.col("inner") <= INNER_PAIRS * F.col("open")
+    pool = rest.filter(few & ~direct).select("sig", F.lit(0).cast("long").alias("sig2"), "id", "root")
     many = rest.filter(F.col("open") > OPEN_PAIRS).select("sig", "id", "root")
     if not many.isEmpty():
         again = signed(shingle_sets(narrowed(docs, settled(many.select("id").distinct()), "id")), similarity, seed=1)
@@ -395,7 +421,8 @@ def links(docs: DataFrame, about: DataFrame, similarity: Similarity) -> DataFram
     two = pool.select("sig", "sig2", F.col("id").alias("y"), F.col("root").alias("root_b"))
     pairs = apart.join(one, ["sig", "sig2", "root_a"]).join(two, ["sig", "sig2", "root_b"]).select(
         F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")
-    ).filter("a < b").distinct()
+    ).filter("a < b")
+    pairs = pairs.unionByName(paired(rest.filter(few & direct), about, percent)).distinct()
     more = settled(verified(pairs, docs, about, percent))
     return roots if more.isEmpty() else settled(components(found.unionByName(more)))
 
