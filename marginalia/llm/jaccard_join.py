@@ -290,12 +290,12 @@ def without_spared(placed: DataFrame) -> DataFrame:
     return numbered.withColumn("spare", F.min(spare).over(of_set)).filter("nth > spare").drop("nth", "spare")
 
 
-def still_open(placed: DataFrame) -> DataFrame:
-    """``(sig, open, inner)``: signatures that hold several components, with the numbers of pairs between and within them."""
-    held = placed.groupBy("sig", "root").agg(F.count("*").alias("n"))
-    return held.groupBy("sig").agg(
+def still_open(placed: DataFrame, *keys: str) -> DataFrame:
+    """``(*keys, open, inner)``: signatures that hold several components, with the numbers of pairs between and within them."""
+    held = placed.groupBy(*keys, "root").agg(F.count("*").alias("n"))
+    return held.groupBy(*keys).agg(
         F.sum("n").alias("all"), F.sum(F.col("n") * F.col("n")).alias("inner"), F.count("*").alias("roots")
-    ).filter("roots > 1").select("sig", ((F.col("all") * F.col("all") - F.col("inner")) / 2).alias("open"), "inner")
+    ).filter("roots > 1").select(*keys, ((F.col("all") * F.col("all") - F.col("inner")) / 2).alias("open"), "inner")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, about: DataFrame, percent: int) -> DataFrame:
@@ -366,20 +366,20 @@ def components(links: DataFrame) -> DataFrame:
     )
 
 
-def paired(rows: DataFrame, about: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` of different components in a signature of ``(sig, id, root)`` that sizes and folded sketches allow.
+def paired(rows: DataFrame, about: DataFrame, percent: int, *keys: str) -> DataFrame:
+    """The pairs ``(a, b)`` of different components of ``(*keys, id, root)`` with equal keys that sizes and folded sketches allow.
 
     Folding keeps the parity of cells, so the bits that differ still count no more than the elements that do.
     """
-    held = rows.select("sig", "id", "root").join(about.select("id", "n_shingles", *FOLDED), "id")
-    one, two = (held.select("sig", *(F.col(c).alias(f"{c}_{side}") for c in held.columns if c != "sig")) for side in "xy")
+    held = rows.select(*keys, "id", "root").join(about.select("id", "n_shingles", *FOLDED), "id")
+    one, two = (held.select(*keys, *(F.col(c).alias(f"{c}_{side}") for c in held.columns if c not in keys)) for side in "xy")
     n_x, n_y = F.col("n_shingles_x"), F.col("n_shingles_y")
     differing = sum((F.bit_count(F.col(f"{f}_x").bitwiseXOR(F.col(f"{f}_y"))) for f in FOLDED), F.lit(0))
     fits = (
         (F.col("root_x") < F.col("root_y")) & (F.least(n_x, n_y) * 100 >= F.greatest(n_x, n_y) * percent)
         & ((n_x + n_y - differing) * 100 >= (n_x + n_y + differing) * percent)
     )
-    return one.join(two, "sig").filter(fits).select(
+    return one.join(two, list(keys)).filter(fits).select(
         F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b")
     ).filter("a < b")
 
@@ -404,14 +404,18 @@ def links(docs: DataFrame, about: DataFrame, similarity: Similarity) -> DataFram
     found = settled(verified(near, docs, about, percent))
     roots = settled(components(found))
     placed = buckets.join(roots, "id", "left").select("sig", "id", "code", F.coalesce("root", "id").alias("root"))
-    kept = settled(without_spared(placed.join(still_open(placed), "sig")).drop("open", "inner"))
-    rest = settled(kept.join(still_open(kept), "sig"))
+    kept = settled(without_spared(placed.join(still_open(placed, "sig"), "sig")).drop("open", "inner"))
+    rest = settled(kept.join(still_open(kept, "sig"), "sig"))
     few, direct = F.col("open") <= OPEN_PAIRS, F.col("inner") <= INNER_PAIRS * F.col("open")
     pool = rest.filter(few & ~direct).select("sig", F.lit(0).cast("long").alias("sig2"), "id", "root")
+    close = paired(rest.filter(few & direct), about, percent, "sig")
     many = rest.filter(F.col("open") > OPEN_PAIRS).select("sig", "id", "root")
     if not many.isEmpty():
         again = signed(shingle_sets(narrowed(docs, settled(many.select("id").distinct()), "id")), similarity, seed=1)
-        pool = pool.unionByName(many.join(again.withColumnRenamed("sig", "sig2"), "id").select("sig", "sig2", "id", "root"))
+        twice = many.join(again.withColumnRenamed("sig", "sig2"), "id").select("sig", "sig2", "id", "root").distinct()
+        twice = settled(twice.join(still_open(twice, "sig", "sig2"), ["sig", "sig2"]))
+        pool = pool.unionByName(twice.filter(~direct).select("sig", "sig2", "id", "root"))
+        close = close.unionByName(paired(twice.filter(direct), about, percent, "sig", "sig2"))
     # Components are paired first, ids only where theirs differ: a large component costs no pairs within itself.
     roots_of = pool.select("sig", "sig2", "root").distinct()
     apart = roots_of.withColumnRenamed("root", "root_a").join(
@@ -422,7 +426,7 @@ def links(docs: DataFrame, about: DataFrame, similarity: Similarity) -> DataFram
     pairs = apart.join(one, ["sig", "sig2", "root_a"]).join(two, ["sig", "sig2", "root_b"]).select(
         F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")
     ).filter("a < b")
-    pairs = pairs.unionByName(paired(rest.filter(few & direct), about, percent)).distinct()
+    pairs = pairs.unionByName(close).distinct()
     more = settled(verified(pairs, docs, about, percent))
     return roots if more.isEmpty() else settled(components(found.unionByName(more)))
 
