@@ -5,10 +5,19 @@ The token is expected to be ASCII (``ascii_drop``); it may be empty.
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 PUNCT = r"\p{Punct}"
+MIXED_CASE = "(^|[^A-Za-z])[a-z]|[A-Za-z][A-Z]"
+
+# A character that stands for each class of ASCII characters.
+CLASSES = {
+    "0": string.digits, ".": string.punctuation, "e": "aeiou", "E": "AEIOU",
+    "b": "bcdfghjklmnpqrstvwxyz", "B": "BCDFGHJKLMNPQRSTVWXYZ",
+}
 
 # The output order of the feature table.
 FEATURE_ORDER = [
@@ -23,12 +32,16 @@ def last_chars(t: Column, n: int) -> Column:
 
 
 def is_digit(t: Column) -> Column:
-    return t.rlike("^[0-9]+$")
+    """The pattern is tried only where the first character is a digit."""
+    return (t >= "0") & (t < ":") & t.rlike("^[0-9]+$")
 
 
 def is_title(t: Column) -> Column:
-    """A capital only after a caseless character, a small letter only after a cased one."""
-    return t.rlike("[A-Z]") & ~t.rlike("(^|[^A-Za-z])[a-z]|[A-Za-z][A-Z]")
+    """A capital only after a caseless character, a small letter only after a cased one.
+
+    The patterns are tried only where lower case differs from the token.
+    """
+    return (F.lower(t) != t) & t.rlike("[A-Z]") & ~t.rlike(MIXED_CASE)
 
 
 def vowel_count(t: Column) -> Column:
@@ -56,13 +69,16 @@ def share(t: Column, char_class: str) -> Column:
 def token_features(t: Column) -> dict[str, Column]:
     """All features that need the token alone, by output name.
 
-    Counts of the four character classes serve flags and shares alike; the
-    generated code computes each count once per token.
+    The token is read once: each character becomes its class, and the classes
+    are counted by length.  The generated code does both once per token.
     """
     size = F.length(t)
-    digits, punct, upper, lower = (
-        F.regexp_count(t, F.lit(c)) for c in ("[0-9]", PUNCT, "[A-Z]", "[a-z]")
-    )
+    shape = F.translate(t, "".join(CLASSES.values()), "".join(k * len(of) for k, of in CLASSES.items()))
+
+    def count(mark: str) -> Column:
+        return size - F.length(F.replace(shape, F.lit(mark), F.lit("")))
+
+    digits, punct, upper, lower = count("0"), count("."), count("E") + count("B"), count("e") + count("b")
 
     def part(count: Column) -> Column:
         return F.when(size == 0, F.lit(0.0)).otherwise(count / size)
@@ -72,9 +88,9 @@ def token_features(t: Column) -> dict[str, Column]:
         "HasPunctuation": punct > 0,
         "Digit": (digits == size) & (size > 0),
         "Lowercase": F.lower(t),
-        "Title": is_title(t),
+        "Title": (upper > 0) & ~shape.rlike(MIXED_CASE),
         "Uppercase": F.upper(t),
-        "Vowel_count": vowel_count(t),
+        "Vowel_count": count("e") + count("E"),
         "digit_in_words": digits > 0,
         "last_2": last_chars(t, 2),
         "last_3": last_chars(t, 3),

@@ -12,9 +12,13 @@ from pyspark.sql import functions as F
 from marginalia.functions.sequence import MARK, let, starts
 
 # The characters that end a token, and those a trim removes.
+# Single characters below 256 are one look into a bit table of the pattern, each range
+# is a test of its own on every character: so the first are listed one by one, and the
+# others stand behind the range that holds them all.
+_ASCII_SPACES = r"\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x20"
 SPACE_RANGES = (
-    r"\t-\r\x1c-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
-    r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+    _ASCII_SPACES + r"\x{85}\x{A0}"
+    r"[\x{1680}-\x{3000}&&[\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]]"
 )
 SEPARATOR = f"[{SPACE_RANGES};.,:]"
 NOT_SEPARATOR = f"[^{SPACE_RANGES};.,:]"
@@ -131,7 +135,7 @@ def with_starts(pieces) -> Column:
 # ASCII, the text itself cannot hold them.
 FOREIGN = "\ue001"
 ASCII_SEPARATORS = ASCII_SPACES + ";.,:"
-_ASCII_SEPARATOR = r"\t-\r\x1c-\x20;.,:" + MARK + FOREIGN
+_ASCII_SEPARATOR = _ASCII_SPACES + f";.,:{MARK}-{FOREIGN}"
 PIECE_CUT = f"(?<=[{_ASCII_SEPARATOR}])(?=[^{_ASCII_SEPARATOR}])"
 
 
