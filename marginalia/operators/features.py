@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -56,12 +57,15 @@ def word_function(fn: Callable[[str], str]) -> Callable[[Column], Column]:
     def apply(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         memo: dict[str, str] = {}
         for words in batches:
-            fresh = [w for w in words.dropna().unique() if w not in memo]
+            codes, distinct = pd.factorize(words)  # a missing word has no code
+            fresh = [w for w in distinct if w not in memo]
             if len(memo) + len(fresh) > MEMO_WORDS:
-                memo = {}
-                fresh = list(words.dropna().unique())
+                memo.clear()
+                fresh = list(distinct)
             memo.update((w, fn(w)) for w in fresh)
-            yield words.map(memo)
+            # A batch looks up its own words only: its time does not grow with what is remembered.
+            found = np.array([*(memo[w] for w in distinct), None], dtype=object)
+            yield pd.Series(found[codes])
 
     return apply
 
