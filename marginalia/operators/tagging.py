@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,6 +21,8 @@ from marginalia.operators.lookup import BROADCAST_BYTES, lookup, measured_bytes
 from marginalia.operators.text import explode_rows
 
 SENTENCE_BATCH = 50  # fixed value: sentences handed to an entity model at once
+HELD = 65_536  # tokens or chunks that are Python objects at once, or those of one document
+MEMO_FEATURES = 50_000  # words whose features a task remembers before it starts afresh
 
 FOUND_TYPE = "array<struct<sent_id:int,text:string,start:int,end:int,type:string>>"
 
@@ -176,12 +179,13 @@ def _annotate(
     """
     added = T.StructType.fromDDL(f"{out} {kind}, status string, error string")
     schema = T.StructType(df.schema.fields + added.fields)
+    arrow = to_arrow_schema(schema)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = open_model()
-        for frame in batches:
+        for part in _small(batches, column):
             results, errors = [], []
-            for value in frame[column]:
+            for value in part.column(column).to_pylist():
                 try:
                     results.append(apply(model, list(value)))
                     errors.append(None)
@@ -189,9 +193,22 @@ def _annotate(
                     results.append(None)
                     errors.append(f"{type(failure).__name__}: {failure}")
             status = ["ok" if e is None else "error" for e in errors]
-            yield frame.assign(**{out: results, "status": status, "error": errors})
+            made = [pa.array(v, arrow.field(n).type) for n, v in ((out, results), ("status", status), ("error", errors))]
+            yield pa.RecordBatch.from_arrays([*part.columns, *made], names=arrow.names)
+
+    return df.mapInArrow(run, schema)
+
 
-    return df.mapInPandas(run, schema)
+def _small(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
+    """Slices of the batches with about ``HELD`` elements of ``column``, so that few of them are Python objects at once."""
+    for part in batches:
+        ends = np.cumsum(pc.fill_null(pc.list_value_length(part.column(column)), 0).to_numpy(zero_copy_only=False) + 1)
+        first = 0
+        while first < part.num_rows:
+            before = ends[first - 1] if first else 0
+            after = max(int(np.searchsorted(ends, before + HELD, "right")), first + 1)
+            yield part.slice(first, after - first)
+            first = after
 
 
 def tag_sequences(
@@ -232,18 +249,35 @@ def _labelled(sequences: Iterator[tuple[dict, list[dict]]], open_tagger: Callabl
 
 
 def _streamed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, list[dict]]]:
-    """Documents whose feature rows stream by in order; each begins with a row that has its columns."""
-    head, features = None, []
+    """Documents whose distinct words stream by; each begins with a row that has its columns and its tokens.
+
+    Features are read once for each word that is not remembered; the tagger gets copies of its own.
+    """
+    memo: dict[str, dict] = {}
+    head, raw, values = None, [], {}
+
+    def features() -> list[dict]:
+        return [dict(values[t]) for t in raw]
+
     for batch in batches:
-        for first, feature in zip(batch.column("_head").to_pylist(), batch.column("_feature").to_pylist()):
-            if first is not None:
-                if head is not None:
-                    yield head, features
-                head, features = first, []
-            if feature["names"] is not None:
-                features.append(feature)
+        words, made = batch.column("token").to_pylist(), batch.column("_feature")
+        fresh = {w: n for n, w in enumerate(words) if w is not None and w not in memo}
+        if len(memo) + len(fresh) > MEMO_FEATURES:
+            memo = {}
+            fresh = {w: n for n, w in enumerate(words) if w is not None}
+        memo.update(zip(fresh, made.take(pa.array(fresh.values(), pa.int32())).to_pylist()))
+        firsts = pc.is_valid(batch.column("_head")).to_numpy(zero_copy_only=False).nonzero()[0]
+        heads = iter(batch.column("_head").take(firsts).to_pylist())
+        tokens = iter(batch.column("_raw").take(firsts).to_pylist())
+        # Rows before the first head go on with the document at hand.
+        values.update((w, memo[w]) for w in words[:firsts[0] if len(firsts) else None])
+        for at, end in zip(firsts, [*firsts[1:], len(words)]):
+            if head is not None:
+                yield head, features()
+            head, raw = next(heads), next(tokens) or []
+            values = {w: memo[w] for w in words[at:end] if w is not None}
     if head is not None:
-        yield head, features
+        yield head, features()
 
 
 def _with_vocabulary(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, list[dict]]]:
@@ -270,9 +304,9 @@ def tag_features(
     The tagger gets a document's tokens as a list of dicts of the 19 features,
     in order, and gives one label for each; a null or empty text is an empty list.
 
-    A word table up to ``broadcast_bytes`` is broadcast: tokens are rows only
-    between the scan and the tagger, in the order of their document, and
-    nothing of a document is shuffled.  Beyond it, the distinct words of a part
+    A word table up to ``broadcast_bytes`` is broadcast: the distinct words of a
+    document are rows only between the scan and the tagger, behind its tokens,
+    and nothing of a document is shuffled.  Beyond it, the distinct words of a part
     of the documents are looked up, and the part's documents are dealt behind
     their words' values; a frequent word counts once in each part.
     """
@@ -284,10 +318,11 @@ def tag_features(
         "tokens array<string>, labels array<string>, status string, error string").fields])
     arrow = to_arrow_schema(kinds)
     if size <= broadcast_bytes:
-        tokens = raw.select("_doc", F.posexplode_outer("_raw").alias("pos", "token"))
-        rows = tokens.select(F.when(F.coalesce("pos", F.lit(0)) == 0, F.col("_doc")).alias("_head"), "token")
+        tokens = raw.select("_doc", "_raw", F.posexplode_outer(F.array_distinct("_raw")).alias("pos", "token"))
+        is_first = F.coalesce("pos", F.lit(0)) == 0
+        rows = tokens.select(F.when(is_first, F.col("_doc")).alias("_head"), F.when(is_first, F.col("_raw")).alias("_raw"), "token")
         valued = with_word_values(rows, table, salt_by=["token"], stemmer=stemmer, broadcast_bytes=broadcast_bytes, measured=size)
-        made = valued.select("_head", F.struct(*feature_columns()).alias("_feature"))
+        made = valued.select("_head", "_raw", "token", F.struct(*feature_columns()).alias("_feature"))
         return made.mapInArrow(lambda batches: _labelled(_streamed(batches), open_tagger, arrow), kinds)
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = raw.withColumn("_part", F.pmod(F.xxhash64("_raw"), F.lit(parts)).cast("int"))
