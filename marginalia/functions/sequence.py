@@ -22,11 +22,11 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def _scan(values: Column) -> Column:
+def _scan(values: Column, kind: str = "int") -> Column:
     """Exclusive running total of a short array."""
     return F.aggregate(
         values,
-        F.struct(F.lit(0).alias("sum"), F.array().cast("array<int>").alias("out")),
+        F.struct(F.lit(0).cast(kind).alias("sum"), F.array().cast(f"array<{kind}>").alias("out")),
         lambda acc, x: F.struct(
             (acc["sum"] + x).alias("sum"), F.array_append(acc["out"], acc["sum"]).alias("out")
         ),
@@ -34,8 +34,8 @@ def _scan(values: Column) -> Column:
     )
 
 
-def running_total(values: Column) -> Column:
-    """Sum of the earlier elements, for every element of an ``array<int>``.
+def running_total(values: Column, kind: str = "int") -> Column:
+    """Sum of the earlier elements, for every element of an ``array<int>`` (or of ``kind``).
 
     Spark arrays are immutable, so one long fold would copy quadratically.  The
     array is cut in about sqrt(n) blocks; totals run inside and over blocks.
@@ -51,25 +51,24 @@ def running_total(values: Column) -> Column:
             ),
         )
 
-    def total(block: Column) -> Column:
-        return F.aggregate(block, F.lit(0), lambda acc, x: acc + x)
+    def last(block: Column) -> Column:
+        return F.coalesce(F.get(block, F.size(block) - 1), F.lit(0).cast(kind))
+
+    def added(blocks: Column, inside: Column) -> Column:
+        """A block's total is its last running total and its last element."""
+        totals = F.transform(blocks, lambda block, b: last(F.get(inside, b)) + last(block))
+        return let(
+            _scan(totals, kind),
+            lambda bases: F.flatten(
+                F.transform(inside, lambda block, b: let(F.get(bases, b), lambda base: F.transform(block, lambda x: x + base)))
+            ),
+        )
 
     return let(
         values,
         lambda v: let(
             blocks_of(v),
-            lambda blocks: let(
-                _scan(F.transform(blocks, total)),
-                lambda bases: F.flatten(
-                    F.transform(
-                        blocks,
-                        lambda block, b: let(
-                            F.get(bases, b),
-                            lambda base: F.transform(_scan(block), lambda x: x + base),
-                        ),
-                    )
-                ),
-            ),
+            lambda blocks: let(F.transform(blocks, lambda block: _scan(block, kind)), lambda inside: added(blocks, inside)),
         ),
     )
 

@@ -154,6 +154,14 @@ def piece_token(piece: Column) -> Column:
     return F.rtrim(piece, F.lit(ASCII_SEPARATORS + MARK + FOREIGN))
 
 
+def piece_words(marked: Column) -> Column:
+    """The tokens of the pieces of a marked text, in one pass over it: ``piece_token`` of the k-th piece is element k.
+
+    Only the first piece can be without a token; behind the last one an empty element may follow.
+    """
+    return F.split(F.regexp_replace(marked, f"[{_ASCII_SEPARATOR}]+", " "), " ", -1)
+
+
 def ascii_tokens(c) -> Column:
     """``tokens`` with ``ascii_drop`` on each, in passes over the whole text.
 

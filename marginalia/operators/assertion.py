@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marginalia.functions import text as tx
-from marginalia.functions.sequence import MARK, counts_up_to, let, positions, starts
+from marginalia.functions.sequence import MARK, counts_up_to, let, positions, running_total, segments
 from marginalia.operators.lookup import BROADCAST_BYTES, lookup
 from marginalia.operators.phrases import found_phrases, phrase_table
 from marginalia.operators.text import explode_rows
@@ -35,35 +35,37 @@ def scope_tokens(text: Column) -> Column:
     ``word`` is the token in lower case.  No cue runs on past a token with
     ``stop``: a line end, a sentence end or a non-ASCII character follows it.
     """
-    pieces = F.flatten(
-        F.transform(
-            F.split(tx.marked_scope_text(text), MARK, -1),
-            lambda s, i: F.transform(
-                F.split(s, tx.PIECE_CUT, -1), lambda p: F.struct(i.alias("sent_id"), p.alias("piece"))
-            ),
+    low = 1 << 32  # a piece's characters, and above them the sentences that end in it
+
+    def measure(p: Column) -> Column:
+        """Marks are no characters of the text."""
+        size = F.length(p).cast("long")
+        marks = size - F.length(F.replace(p, F.lit(MARK), F.lit("")))
+        return F.when(p.contains(MARK), size + marks * (low - 1)).otherwise(size)
+
+    def described(p: Column, word: Column, at: Column) -> Column:
+        own = F.substring_index(p, MARK, 1)  # what follows a mark is of another sentence
+        ends = (p.contains("\n") | p.contains(tx.FOREIGN)) & (own.contains("\n") | own.contains(tx.FOREIGN))
+        start = at.bitwiseAND(low - 1).cast("int")
+        return F.struct(
+            F.lower(word).alias("word"),
+            start.alias("start"),
+            (start + F.length(word)).alias("end"),
+            ends.alias("stop"),
+            F.shiftright(at, 32).cast("int").alias("sent_id"),
         )
-    )
 
-    def described(p: Column, at: Column) -> Column:
-        return let(
-            F.lower(tx.piece_token(p["piece"])),
-            lambda word: F.struct(
-                word.alias("word"),
-                at.alias("start"),
-                (at + F.length(word)).alias("end"),
-                (p["piece"].contains("\n") | p["piece"].contains(tx.FOREIGN)).alias("stop"),
-                p["sent_id"].alias("sent_id"),
-            ),
-        )
+    def tokens(ps: Column, words: Column, at: Column) -> Column:
+        every = F.transform(ps, lambda p, i: described(p, F.get(words, i), F.get(at, i)))
+        # Separators at the text's begin are a piece without a token.
+        return F.when(F.get(words, F.lit(0)) == "", F.slice(every, F.lit(2), F.size(ps))).otherwise(every)
 
     return let(
-        pieces,
-        lambda ps: let(
-            starts(F.transform(ps, lambda p: p["piece"]), 0),
-            lambda at: F.filter(
-                F.transform(ps, lambda p, i: described(p, F.get(at, i))), lambda t: t["word"] != ""
-            ),
-        ),
+        tx.marked_scope_text(text),
+        lambda m: let(F.split(m, tx.PIECE_CUT, -1), lambda ps: let(tx.piece_words(m), lambda words: let(
+            running_total(F.transform(ps, measure), "long"),
+            lambda at: tokens(ps, words, at),
+        ))),
     )
 
 
@@ -97,21 +99,38 @@ def _longest(phrases: DataFrame) -> int:
 def _table_cues(texts: DataFrame, phrases: DataFrame, longest: int, by: list[str], text: str, broadcast_bytes: int) -> DataFrame:
     """``(by..., found)`` of texts that hold cues: ``array<struct<i, n, phrase, value, ends>>`` by scope tokens."""
 
-    def ahead(tk: Column, i: Column) -> Column:
-        """The token and those behind it in its sentence up to the first with ``stop``, as far as any cue goes."""
-        window = F.slice(tk, i + 1, F.lit(longest))
-        return let(window, lambda ws: let(
-            positions(ws, lambda w, k: (w["sent_id"] != F.get(ws, F.lit(0))["sent_id"]) | ((k > 0) & F.get(ws, k - 1)["stop"])),
-            lambda cuts: F.transform(
-                F.slice(ws, F.lit(1), F.coalesce(F.get(cuts, F.lit(0)), F.size(ws))),
-                lambda w: F.struct(w["word"].alias("word"), F.struct(w["end"].alias("end"), F.get(ws, F.lit(0))["start"].alias("start"),
-                                                                    F.get(ws, F.lit(0))["sent_id"].alias("sent_id")).alias("end")),
+    def begins(tk: Column) -> Column:
+        """The tokens no cue runs on to: a sentence's first ones, and those behind a ``stop``."""
+
+        def fresh(t: Column, before: Column) -> Column:
+            return before["stop"] | (before["sent_id"] != t["sent_id"])
+
+        return positions(tk, lambda t, i: (i == 0) | fresh(t, F.get(tk, i - 1)))
+
+    def ahead(words: Column, ends: Column, t: Column, i: Column, last: Column) -> Column:
+        """The token and those behind it up to ``last``, as far as any cue goes, as text and as their ends."""
+        n = F.least(last - i + 1, F.lit(longest))
+        return F.struct(
+            i.alias("i"), t["word"].alias("opener"), F.array_join(F.slice(words, i + 1, n), " ").alias("ahead"),
+            F.slice(ends, i + 1, n).alias("ends"), t["start"].alias("start"), t["sent_id"].alias("sent_id"),
+        )
+
+    def windows(tk: Column, words: Column, ends: Column) -> Column:
+        return F.flatten(F.transform(
+            segments(begins(tk), F.size(tk)),
+            lambda s: F.transform(
+                F.slice(tk, s["first"] + 1, s["last"] - s["first"] + 1),
+                lambda t, k: ahead(words, ends, t, s["first"] + k, s["last"]),
             ),
         ))
 
-    rows = let(scope_tokens(F.col(text)), lambda tk: F.transform(tk, lambda t, i: ahead(tk, i)))
-    words = explode_rows(texts, rows, *by, pos="i", item="ahead")
-    return found_phrases(words, phrases, by=by, longest=longest, broadcast_bytes=broadcast_bytes)
+    rows = let(scope_tokens(F.col(text)), lambda tk: let(
+        F.transform(tk, lambda t: t["word"]), lambda words: let(
+            F.transform(tk, lambda t: t["end"]), lambda ends: windows(tk, words, ends)
+        )
+    ))
+    words = explode_rows(texts, rows, *by, pos="_nth", item="_item").select(*by, "_item.*")
+    return found_phrases(words, phrases, by=by, longest=longest, keep=("start", "sent_id"), broadcast_bytes=broadcast_bytes)
 
 
 def _dense(found: Column, size: Column) -> Column:
@@ -261,7 +280,7 @@ def cue_spans(
     found = _table_cues(numbered, phrases, _longest(phrases), [doc, "_row"], text, broadcast_bytes)
     found = found.select(doc, F.explode("found").alias("x"))
     return found.select(
-        doc, "x.ends.sent_id", "x.ends.start", "x.ends.end", F.col("x.phrase").alias("cue"), F.col("x.value").alias("kind")
+        doc, "x.sent_id", "x.start", "x.end", F.col("x.phrase").alias("cue"), F.col("x.value").alias("kind")
     )
 
 
@@ -285,7 +304,7 @@ def assert_entities(
         texts = df.select(F.md5(F.col(text).cast("binary")).alias("_digest"), F.col(text).alias("_text"))
         longest = _longest(phrases)
         found = _table_cues(texts, phrases, longest, ["_digest"], "_text", broadcast_bytes)
-        found = found.withColumn("found", F.transform("found", lambda f: f.dropFields("ends")))
+        found = found.withColumn("found", F.transform("found", lambda f: f.dropFields("end", "start", "sent_id")))
         size = found.agg(F.sum(64 + 48 * F.size("found"))).first()[0] or 0
         joined = lookup(
             df, found, F.md5(F.col(text).cast("binary")), word="_digest", salt_by=[text], broadcast_bytes=broadcast_bytes, measured=size

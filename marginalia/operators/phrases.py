@@ -24,28 +24,28 @@ def phrase_table(table: DataFrame, phrase: str, value: str) -> DataFrame:
 
 
 def found_phrases(
-    words: DataFrame, phrases: DataFrame, *, by: list[str], longest: int, at: str = "i", broadcast_bytes: int = BROADCAST_BYTES
+    words: DataFrame, phrases: DataFrame, *, by: list[str], longest: int, at: str = "i", keep: tuple[str, ...] = (),
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """The longest phrase that begins at each word: ``by``, ``at``, ``n``, ``phrase``, ``value``, and ``ends`` of its last word.
+    """``by`` and ``found``, the phrases of a text in order: ``array<struct<at, n, phrase, value, end, keep...>>``.
 
-    ``words`` has a row for each word, with ``ahead``, an ``array<struct<word, end>>`` of the
-    word and those behind it that a phrase of up to ``longest`` words may run on to.  A phrase
-    inside another one is dropped.
+    ``words`` has a row for each word, the ``opener``, with ``ahead``, the text of it and of
+    those behind it that a phrase of up to ``longest`` words may run on to, and ``ends``, where
+    each of these words ends.  At each word the longest phrase counts; one inside another one is dropped.
     """
     openers = phrases.groupBy("opener").agg(F.sort_array(F.collect_set("words")).alias("lengths"))
     size = measured_bytes(phrases)
     args = {"broadcast_bytes": broadcast_bytes, "measured": size, "salt_by": [*by, at]}
-    opening = lookup(words, openers, F.col("ahead")[0]["word"], word="opener", **args).filter("lengths IS NOT NULL")
-    lengths = F.filter("lengths", lambda n: n <= F.size("ahead"))
-    tried = opening.select(*by, at, "ahead", F.explode(lengths).alias("n"))
-    spelled = F.array_join(F.transform(F.slice("ahead", F.lit(1), F.col("n")), lambda w: w["word"]), " ")
-    ends = F.get("ahead", F.col("n") - 1)["end"]
-    tried = tried.select(*by, at, "n", spelled.alias("phrase"), ends.alias("ends"))
+    opening = lookup(words, openers.withColumnRenamed("opener", "_opens"), F.col("opener"), word="_opens", **args)
+    opening = opening.filter("lengths IS NOT NULL")
+    tried = opening.select(*by, at, "ahead", "ends", *keep, F.explode("lengths").alias("n")).filter(F.col("n") <= F.size("ends"))
+    spelled = F.call_function("substring_index", F.col("ahead"), F.lit(" "), F.col("n"))
+    tried = tried.select(*by, at, "n", spelled.alias("phrase"), F.get("ends", F.col("n") - 1).alias("end"), *keep)
     values = phrases.select(F.col("phrase").alias("_known"), "value")
     hits = lookup(tried, values, F.col("phrase"), word="_known", **args).filter("value IS NOT NULL")
-    best = hits.groupBy(*by, at).agg(F.max(F.struct("n", "phrase", "value", "ends")).alias("x"))
-    # What a text holds is grouped by text: at most one phrase for each of its words.
-    rows = best.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct(at, "x.n", "x.phrase", "x.value", "x.ends"))).alias("found"))
+    # What a text holds is grouped by text, once: at most a phrase of each length for each of its words.
+    rows = hits.groupBy(*by).agg(F.sort_array(F.collect_set(F.struct(at, "n", "phrase", "value", "end", *keep))).alias("found"))
+    rows = rows.withColumn("found", F.filter("found", lambda p, k: ~F.coalesce(F.get("found", k + 1)[at] == p[at], F.lit(False))))
     # One that begins so many words before this one, or phrases, cannot hold it.
     before = F.lit(longest - 1)
     return rows.withColumn("found", F.filter("found", lambda p, k: ~F.exists(
