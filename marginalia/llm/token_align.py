@@ -29,11 +29,12 @@ from tokenizers import Tokenizer
 
 from marginalia.llm.common import BROADCAST_KEYS, settled, stretches
 
-#: Bytes of text that are aligned at a time, and chunks whose tokens are remembered.
-STRETCH_BYTES = 1_000_000
+#: Bytes of text that are aligned at a time, and chunks whose tokens are remembered. A stretch takes about a hundred
+#: times its size in lists and arrays; half the text in lanes half as long takes as many steps a token.
+STRETCH_BYTES = 500_000
 MEMO_CHUNKS = 300_000
 #: Tokens of a lane: a longer document goes on in another lane.
-LANE_TOKENS = 256
+LANE_TOKENS = 128
 #: A group of more links than this is counted by its distinct ids instead of link by link.
 WIDE_LINKS = 4096
 DOC_BITS = 24  # of a row's number in its batch
@@ -253,6 +254,21 @@ def summed(doc: np.ndarray, pair: np.ndarray, links: np.ndarray) -> tuple[np.nda
     return key[begins] >> (63 - DOC_BITS), key[begins] & ((1 << (63 - DOC_BITS)) - 1), total
 
 
+def links_by_row(a_ids, b_ids, groups: tuple, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (row, pair) in order, and how many links each has; ``starts`` has where each row's groups begin, and the end."""
+    group, pair, links = links_of(a_ids, b_ids, groups)
+    row = np.repeat(np.arange(len(starts) - 1), np.diff(starts))[group]
+    del group
+    return summed(row, pair, links)
+
+
+def group_digests(a_ids, b_ids, groups: tuple, starts: np.ndarray) -> list[str]:
+    """The digest of each row's groups as they are shown; '' for a row without groups."""
+    out, places = shown_groups(a_ids, b_ids, groups)
+    places, whole = places[starts], out.data
+    return [sha256(whole[x : y - 1]).hexdigest() if x < y else "" for x, y in zip(places[:-1], places[1:])]
+
+
 @lru_cache(1)
 def digits(count: int) -> tuple[np.ndarray, np.ndarray]:
     """For each number below ``count``: its decimal digits, the last one first, and how many they are."""
@@ -335,14 +351,11 @@ def alignments(docs: DataFrame, byte_path: str, piece_path: str, *, text: str =
         for batch in stretches(batches, "_text_of_row", STRETCH_BYTES):
             texts = [x or "" for x in batch.column("_text_of_row").to_pylist()]
             n_a, n_b, starts, a_ids, b_ids, groups = aligned(chunks, texts)
-            group, pair, links = links_of(a_ids, b_ids, groups)
-            doc = np.repeat(np.arange(len(texts)), np.diff(starts))[group]
-            doc, pair, total = summed(doc, pair, links)
+            sums = group_digests(a_ids, b_ids, groups, starts)
+            doc, pair, total = links_by_row(a_ids, b_ids, groups, starts)
             n_links = np.zeros(len(texts), np.int64)
             np.add.at(n_links, doc, total)
-            out, places = shown_groups(a_ids, b_ids, groups)
-            places, whole = places[starts], out.tobytes()
-            sums = [sha256(whole[x : y - 1]).hexdigest() if x < y else "" for x, y in zip(places[:-1], places[1:])]
+            del a_ids, b_ids, groups  # not needed while the links are handed on
             structs = pa.StructArray.from_arrays([pa.array(pair), pa.array(total)], ["pair", "links"])
             pairs = pa.ListArray.from_arrays(pa.array(np.searchsorted(doc, np.arange(len(texts) + 1)), pa.int32()), structs)
             made = [pa.array(x) for x in (n_a, n_b, np.diff(starts), n_links)] + [pa.array(sums, pa.string()), pairs]
