@@ -24,6 +24,12 @@ def _carried(docs: DataFrame) -> tuple:
     return (F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_document"),)
 
 
+def _text_within(docs: DataFrame) -> tuple[str, int]:
+    """Where the carried row has its text, which then goes to a task once."""
+    names = docs.columns
+    return "_document", names.index("text") if "text" in names else [c.lower() for c in names].index("text")
+
+
 def _kept(scored: DataFrame, docs: DataFrame, condition) -> DataFrame:
     return scored.filter(condition).select("_document.*")
 
@@ -36,7 +42,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     empty table gives an empty one.
     """
     labels = table(spark, sf_dir, "labels", "doc_id", "quality").filter(fold_remainder(F.col("doc_id")) != 0)
-    return _kept(quality.scores(docs, labels, extra=_carried(docs)), docs, "predicted = 1")
+    return _kept(quality.scores(docs, labels, extra=_carried(docs), within=_text_within(docs)), docs, "predicted = 1")
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,7 +52,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     columns come back as they are; an empty table gives an empty one, as does one without labelled rows.
     """
     labelled = docs.filter(fold_remainder(F.col("doc_id")) != 0)
-    found = langid.languages(docs, labelled, piece_vocabulary(), extra=_carried(docs))
+    found = langid.languages(docs, labelled, piece_vocabulary(), extra=_carried(docs), within=_text_within(docs))
     return _kept(found, docs, (F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE_SCORE))
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marginalia.llm.bpe import Remembered
-from marginalia.llm.common import stretches, with_columns
+from marginalia.llm.common import stretches, with_columns, with_text
 
 UNKNOWN = "und"
 START = "▁"  # fixed value: the vocabulary's mark for the start of a word
@@ -246,7 +246,7 @@ def trained(docs: DataFrame, path: str, settings: Settings, *, key: str, text: s
 
 def languages(
     docs: DataFrame, labelled: DataFrame, path: str, *, key: str = "doc_id", text: str = "text", lang: str = "lang",
-    settings: Settings = Settings(), extra: tuple[Column, ...] = (),
+    settings: Settings = Settings(), extra: tuple[Column, ...] = (), within: tuple[str, int] | None = None,
 ) -> DataFrame:
     """``(doc_id, *extra, lang_pred, score)``, a row for each row of ``docs``.
 
@@ -257,11 +257,11 @@ def languages(
     score 0; so are all rows if nothing could be learned. Words of any length are
     read whole, and pieces of any length. Equal probabilities go to the language that sorts
     first. Scoring is one narrow pass: the model has a row for each piece of the
-    fixed vocabulary and a column for each language.
+    fixed vocabulary and a column for each language. ``within`` is as for the quality scores.
     """
     names, chance = trained(labelled, path, settings, key=key, text=text, lang=lang)
     model = docs.sparkSession.sparkContext.broadcast(np.vstack([chance, np.zeros((1, len(names)))]) if names else None)
-    rows = docs.select(F.col(key).alias("doc_id"), *extra, F.col(text).cast("binary").alias("__text"))
+    rows = docs.select(F.col(key).alias("doc_id"), *extra, *([] if within else [F.col(text).cast("binary").alias("__text")]))
 
     def run(batches):
         pieces, table = PieceTrie(load_pieces(path)), model.value
@@ -274,7 +274,7 @@ def languages(
             of = dict(zip(order, log_chances(order, pieces, table, settings.word_chars).astype(np.float32)))
             return {w: of.get(x) for w, x in texts.items()}
 
-        for batch in stretches(batches, "__text", STRETCH_BYTES):
+        for batch in stretches(with_text(batches, "__text", within), "__text", STRETCH_BYTES):
             texts = [(x or b"").split() for x in batch.column("__text").to_pylist()]
             predicted, score = [], []
             known = memo.take(set().union(*texts), scored) if names else {}

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marginalia.llm.common import with_columns, Memo, stretches, word_hash
+from marginalia.llm.common import with_columns, Memo, stretches, with_text, word_hash
 
 TERM = re.compile(rb"[0-9A-Za-z\x80-\xff]+|[^0-9A-Za-z\x80-\xff]")
 STRETCH_BYTES = 1_000_000
@@ -126,24 +126,25 @@ def trained(docs: DataFrame, labels: DataFrame, settings: Settings, *, key: str,
 
 def scores(
     docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", label: str = "quality",
-    settings: Settings = Settings(), threshold: float = 0.3, extra: tuple[Column, ...] = (),
+    settings: Settings = Settings(), threshold: float = 0.3, extra: tuple[Column, ...] = (), within: tuple[str, int] | None = None,
 ) -> DataFrame:
     """``(doc_id, *extra, score, predicted)``, a row for each row of ``docs``.
 
     ``labels`` has ``(key, label)`` of the rows to learn from; labels that are
     null or contradict each other are not learned from. The score depends on the
-    text alone; null counts as empty. Rows may repeat. Without any labelled
+    text alone; null counts as empty. Rows may repeat. ``within`` names a struct of ``extra`` and the number of its
+    field that is the text: then tasks read it there and it is not sent beside it. Without any labelled
     document all weights are 0 and each score is 0.5. Scoring is one narrow pass
     with ``2**bits`` weights in hand.
     """
     weights = docs.sparkSession.sparkContext.broadcast(
         trained(docs, labels, settings, key=key, text=text, label=label)
     )
-    rows = docs.select(F.col(key).alias("doc_id"), *extra, F.col(text).cast("binary").alias("__text"))
+    rows = docs.select(F.col(key).alias("doc_id"), *extra, *([] if within else [F.col(text).cast("binary").alias("__text")]))
 
     def run(batches):
         known, w = Memo(terms), weights.value
-        for batch in stretches(batches, "__text", STRETCH_BYTES):
+        for batch in stretches(with_text(batches, "__text", within), "__text", STRETCH_BYTES):
             found = []
             for body in batch.column("__text").to_pylist():
                 numbers = features(body or b"", known, settings.bits)
