@@ -8,19 +8,99 @@ the pieces of its length.
 
 from __future__ import annotations
 
+import gc
+import os
+import re
 import zlib
+from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
-from marginalia.llm.bpe import encoded_batches, id_bytes
-from marginalia.llm.common import settled
+from marginalia.llm.bpe import MEMO_CHUNKS, STRETCH_BYTES, Remembered, id_bytes
+from marginalia.llm.common import settled, stretches
 
 CAPACITY = 2048
 END_ID = 0
 PIECE = "piece int, start long, length long, ids_crc32 long"
+#: Chunks that the library encodes in one call.
+JOINED_CHUNKS = 2000
+#: A line of chunks that may be cut or joined otherwise than at its line breaks: further white space, special tokens.
+LOOSE = re.compile(r"[^\S\n]|[\x00-\x09\x0b-\x1f\x7f\u180e\u200b\u2060\ufeff]|<\|")
+
+
+class ChunkIds:
+    """Token ids of chunks by the library, of many chunks in one call.
+
+    The vocabulary splits at blanks, and no merge crosses a blank, so the ids of
+    chunks joined by line breaks are those of each in order. Which are whose is
+    read off the bytes that the tokens stand for.
+    """
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        self.library = Tokenizer.from_file(path)
+        self.library.no_truncation()
+        self.library.no_padding()
+        suffix, vocab = self.library.model.end_of_word_suffix or "", self.library.get_vocab()
+        # In a byte-level vocabulary each character of a token stands for a byte.
+        self.size = np.zeros(max(vocab.values()) + 1, np.int64)
+        for token, i in vocab.items():
+            self.size[i] = len(token.removesuffix(suffix))
+
+    def ids(self, chunks: Iterable[bytes]) -> dict[bytes, bytes]:
+        """The ids of distinct chunks, as little-endian unsigned numbers of 32 bits."""
+        out = {}
+        ascii_ones, others = [], []
+        for chunk in chunks:
+            (ascii_ones if chunk.isascii() else others).append(chunk)
+        for alike in (ascii_ones, others):
+            for at in range(0, len(alike), JOINED_CHUNKS):
+                some = alike[at : at + JOINED_CHUNKS]
+                out.update(zip(some, self._joined(some) or self._alone(some)))
+        return out
+
+    def _alone(self, chunks: list[bytes]) -> list[bytes]:
+        return [id_bytes(x.ids) for x in self.library.encode_batch_fast([c.decode() for c in chunks], add_special_tokens=False)]
+
+    def _joined(self, chunks: list[bytes]) -> list[bytes] | None:
+        """The ids of each chunk, or none if it is not certain where they end."""
+        text = b"\n".join(chunks).decode()
+        if LOOSE.search(text):
+            return None
+        normal = chunks if text.isascii() else [x.encode() for x in self.library.normalizer.normalize_str(text).split(" ")]
+        if len(normal) != len(chunks):
+            return None
+        ids = np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+        bytes_until, ends = np.cumsum(self.size[ids]), np.cumsum([len(x) for x in normal])
+        at = np.searchsorted(bytes_until, ends)
+        if len(ids) == 0 or bytes_until[-1] != ends[-1] or (bytes_until[at] != ends).any():
+            return None
+        flat, places = ids.tobytes(), [0, *(4 * (at + 1)).tolist()]
+        return [flat[x:y] for x, y in zip(places, places[1:])]
+
+
+@lru_cache(1)
+def opened(path: str) -> tuple[ChunkIds, Remembered]:
+    """The vocabulary and remembered chunks of a worker, which its next tasks go on with."""
+    found = ChunkIds(path), Remembered(MEMO_CHUNKS)
+    gc.freeze()  # the vocabulary's tables are many objects and never garbage
+    return found
+
+
+def row_ids(path: str, batches: Iterator[pa.RecordBatch], text: str) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Each stretch of rows with the ids of each row's whole text, which are those of its chunks between ``[\\x20\\x09-\\x0D]``."""
+    encoder, chunks = opened(path)
+    for batch in stretches(batches, text, STRETCH_BYTES):
+        texts = [x or b"" for x in batch.column(text).cast(pa.binary()).to_pylist()]
+        # The vocabulary is of lower case; special tokens are not.
+        rows = [(x.lower() if x.isascii() and b"<|" not in x else x).split() for x in texts]
+        known = chunks.take(set().union(*rows), encoder.ids)
+        yield batch, [b"".join(map(known.__getitem__, row)) for row in rows]
 
 
 def best_two_fit(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[list[int], int]]:
@@ -102,10 +182,10 @@ def token_pieces(docs: DataFrame, path: str, *, key: str = "doc_id", text: str =
         from pyspark import TaskContext
 
         part, seen, end = TaskContext.get().partitionId(), {}, id_bytes([END_ID])
-        for batch, found in encoded_batches(path, batches, "text", lambda _: id_bytes):
+        for batch, found in row_ids(path, batches, "text"):
             at, out = [], []
-            for row, chunks in enumerate(found):
-                ids = b"".join(chunks) + end
+            for row, ids in enumerate(found):
+                ids += end
                 for piece, start in enumerate(range(0, len(ids), 4 * capacity)):
                     own = ids[start : start + 4 * capacity]
                     length = len(own) // 4
