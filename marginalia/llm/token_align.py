@@ -33,6 +33,9 @@ from marginalia.llm.common import BROADCAST_KEYS, settled, stretches
 #: times its size in lists and arrays; half the text in lanes half as long takes as many steps a token.
 STRETCH_BYTES = 500_000
 MEMO_CHUNKS = 300_000
+#: New chunks that are joined for one call of each library at most; fewer than the second go one by one if joined they cannot be told apart.
+JOINED_CHUNKS = 1000
+LEAST_JOINED = 15
 #: Tokens of a lane: a longer document goes on in another lane.
 LANE_TOKENS = 128
 #: A group of more links than this is counted by its distinct ids instead of link by link.
@@ -109,8 +112,10 @@ class Chunks:
                 found = list(map(self.number.get, chunks))
                 fresh = dict.fromkeys(c for c, n in zip(chunks, found) if n is None)
             new = list(fresh)
-            for at in range(0, len(new), 1000):
-                self.learn(new[at : at + 1000])
+            plain, others = [c for c in new if c.isascii()], [c for c in new if not c.isascii()]
+            for alike in (plain, others):
+                for at in range(0, len(alike), JOINED_CHUNKS):
+                    self.learn(alike[at : at + JOINED_CHUNKS])
             found = [self.number[c] if n is None else n for c, n in zip(chunks, found)]
         numbers = np.array(found, np.int64)
         self.met = np.append(self.met, np.zeros(len(self.number) - len(self.met), np.int32))
@@ -118,6 +123,44 @@ class Chunks:
         return numbers
 
     def learn(self, chunks: list[str]) -> None:
+        """Remembers new chunks: of many joined by blanks, if their tokens are certain to be those of each."""
+        if len(chunks) > 1 and self.learn_joined(chunks):
+            return
+        if len(chunks) > LEAST_JOINED:
+            half = len(chunks) // 2
+            self.learn(chunks[:half])
+            self.learn(chunks[half:])
+        elif chunks:
+            self.learn_each(chunks)
+
+    def learn_joined(self, chunks: list[str]) -> bool:
+        """Whether the joined chunks are cut as given and both sides give them back byte by byte, with a token's end at each chunk's."""
+        text = " ".join(chunks)
+        if chunks_of(text) != chunks:
+            return False
+        a = self.a.encode_batch_fast([" " + text], add_special_tokens=False)[0].ids
+        b = self.b.encode(text, num_threads=1)
+        everything = (" " + text).encode("utf-8")
+        ends = np.cumsum([len(c.encode("utf-8")) + 1 for c in chunks])
+        found = []
+        for ids, table, sizes in ((a, self.a_bytes, self.a_size), (b, self.b_bytes, self.b_size)):
+            flat = np.array(ids, np.int32)
+            until = np.cumsum(sizes[flat])
+            if not ids or until[-1] != ends[-1] or b"".join([table[i] for i in ids]) != everything:
+                return False
+            # Tokens without bytes, if there are any, are not dealt to chunks.
+            at = np.searchsorted(until, ends)
+            if (until[at] != ends).any() or not sizes[flat].all():
+                return False
+            found.append((flat, at + 1))
+        first = len(self.number)
+        self.number.update(zip(chunks, range(first, first + len(chunks))))
+        for rows, (flat, cuts) in zip((self.a_ids, self.b_ids), found):
+            rows.put(flat, cuts)
+        self.whole = np.append(self.whole, np.ones(len(chunks), bool))
+        return True
+
+    def learn_each(self, chunks: list[str]) -> None:
         texts = [" " + c for c in chunks]
         a = [x.ids for x in self.a.encode_batch_fast(texts, add_special_tokens=False)]
         b = self.b.encode(chunks, num_threads=1)
@@ -162,12 +205,16 @@ class Ragged:
         """Puts rows at the end; gives their numbers and where each row ends in them."""
         flat = np.array(list(chain.from_iterable(rows)), np.int32)
         ends = np.cumsum([len(r) for r in rows], dtype=np.int64)
+        self.put(flat, ends)
+        return flat, ends
+
+    def put(self, flat: np.ndarray, ends: np.ndarray) -> None:
+        """Puts rows at the end that are already joined, with where each ends."""
         begin = int(self.starts[-1])
         if begin + len(flat) > len(self.room):
             self.room = np.append(self.room[:begin], np.empty(begin + len(flat), np.int32))
         self.room[begin : begin + len(flat)] = flat
         self.starts = np.append(self.starts, begin + ends)
-        return flat, ends
 
     def kept(self, rows: np.ndarray) -> "Ragged":
         out = Ragged()
@@ -346,8 +393,7 @@ def alignments(docs: DataFrame, byte_path: str, piece_path: str, *, text: str =
     kinds = ", ".join(f"`{n}` {t}" for n, t in rows.dtypes[:-1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunks = Chunks(byte_path, piece_path)
-        gc.freeze()
+        chunks = opened(byte_path, piece_path)
         for batch in stretches(batches, "_text_of_row", STRETCH_BYTES):
             texts = [x or "" for x in batch.column("_text_of_row").to_pylist()]
             n_a, n_b, starts, a_ids, b_ids, groups = aligned(chunks, texts)
