@@ -17,18 +17,21 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from marginalia.llm.bpe import MEMO_CHUNKS, STRETCH_BYTES, Remembered, id_bytes
-from marginalia.llm.common import settled, stretches
+from marginalia.llm.bpe import id_bytes
+from marginalia.llm.common import gathered, released, settled, small_batches, stretches
 
 CAPACITY = 2048
 END_ID = 0
 PIECE = "piece int, start long, length long, ids_crc32 long"
 #: Chunks that the library encodes in one call.
 JOINED_CHUNKS = 2000
+#: Text whose distinct chunks are encoded together.
+ENCODED_BYTES = 16_000_000
 #: A line of chunks that may be cut or joined otherwise than at its line breaks: further white space, special tokens.
 LOOSE = re.compile(r"[^\S\n]|[\x00-\x09\x0b-\x1f\x7f\u180e\u200b\u2060\ufeff]|<\|")
 
@@ -46,6 +49,7 @@ class ChunkIds:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
+        self.normalizer, self.plain = self.library.normalizer, False
         suffix, vocab = self.library.model.end_of_word_suffix or "", self.library.get_vocab()
         # In a byte-level vocabulary each character of a token stands for a byte.
         self.size = np.zeros(max(vocab.values()) + 1, np.int64)
@@ -53,54 +57,87 @@ class ChunkIds:
             self.size[i] = len(token.removesuffix(suffix))
 
     def ids(self, chunks: Iterable[bytes]) -> dict[bytes, bytes]:
-        """The ids of distinct chunks, as little-endian unsigned numbers of 32 bits."""
-        out = {}
-        ascii_ones, others = [], []
-        for chunk in chunks:
-            (ascii_ones if chunk.isascii() else others).append(chunk)
-        for alike in (ascii_ones, others):
-            for at in range(0, len(alike), JOINED_CHUNKS):
-                some = alike[at : at + JOINED_CHUNKS]
-                out.update(zip(some, self._joined(some) or self._alone(some)))
-        return out
-
-    def _alone(self, chunks: list[bytes]) -> list[bytes]:
-        return [id_bytes(x.ids) for x in self.library.encode_batch_fast([c.decode() for c in chunks], add_special_tokens=False)]
-
-    def _joined(self, chunks: list[bytes]) -> list[bytes] | None:
-        """The ids of each chunk, or none if it is not certain where they end."""
-        text = b"\n".join(chunks).decode()
+        """The ids of chunks, as little-endian unsigned numbers of 32 bits."""
+        chunks = list(chunks)
+        ids, first, count = self.table(pa.array(chunks, pa.binary()).cast(pa.string()))
+        return {x: ids[y : y + n].tobytes() for x, y, n in zip(chunks, first, count)}
+
+    def _encoded(self, texts: list[str], plain: bool = False) -> list[list[int]]:
+        """The library's ids; plain texts, of lower case and ASCII without blanks but line breaks, are not normalised, which changes none."""
+        if plain != self.plain:
+            self.library.normalizer, self.plain = None if plain else self.normalizer, plain
+        return [x.ids for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _told_apart(self, text: str, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+        """The ids of chunks joined by line breaks, and how many there are up to each one's end; none if that is not certain."""
         if LOOSE.search(text):
             return None
-        normal = chunks if text.isascii() else [x.encode() for x in self.library.normalizer.normalize_str(text).split(" ")]
-        if len(normal) != len(chunks):
-            return None
-        ids = np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-        bytes_until, ends = np.cumsum(self.size[ids]), np.cumsum([len(x) for x in normal])
+        plain = text.isascii()
+        if plain:
+            text = text.lower()
+        else:
+            normal = [len(x.encode()) for x in self.normalizer.normalize_str(text).split(" ")]
+            if len(normal) != len(sizes):
+                return None
+            sizes = np.array(normal)
+        ids = np.array(self._encoded([text], plain)[0], "<u4")
+        bytes_until, ends = np.cumsum(self.size[ids]), np.cumsum(sizes)
         at = np.searchsorted(bytes_until, ends)
         if len(ids) == 0 or bytes_until[-1] != ends[-1] or (bytes_until[at] != ends).any():
             return None
-        flat, places = ids.tobytes(), [0, *(4 * (at + 1)).tolist()]
-        return [flat[x:y] for x, y in zip(places, places[1:])]
+        return ids, at + 1
+
+    def table(self, chunks: pa.StringArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``(ids, first, count)`` of chunks: where each one's ids begin, and how many it has, none if it is empty."""
+        sizes, plain = pc.binary_length(chunks).to_numpy(), pc.string_is_ascii(chunks).to_numpy(zero_copy_only=False)
+        count, flat, order = np.zeros(len(chunks), np.int64), [], []
+        for alike in (np.flatnonzero(plain & (sizes > 0)), np.flatnonzero(~plain)):
+            for at in range(0, len(alike), JOINED_CHUNKS):
+                some = alike[at : at + JOINED_CHUNKS]
+                own = chunks.take(pa.array(some))
+                text = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(some)], pa.int32()), own), "\n")[0].as_py()
+                found = self._told_apart(text, sizes[some])
+                if found is None:
+                    each = [np.array(x, "<u4") for x in self._encoded(own.to_pylist())]
+                    found = np.concatenate(each), np.cumsum([len(x) for x in each])
+                flat.append(found[0])
+                order.append(some)
+                count[some] = np.diff(found[1], prepend=0)
+        places, first = np.concatenate([np.zeros(0, np.int64), *order]), np.zeros(len(chunks), np.int64)
+        first[places] = np.cumsum(count[places]) - count[places]
+        return np.concatenate([np.zeros(0, "<u4"), *flat]), first, count
 
 
 @lru_cache(1)
-def opened(path: str) -> tuple[ChunkIds, Remembered]:
-    """The vocabulary and remembered chunks of a worker, which its next tasks go on with."""
-    found = ChunkIds(path), Remembered(MEMO_CHUNKS)
+def opened(path: str) -> ChunkIds:
+    """The vocabulary of a worker, which its next tasks go on with."""
+    found = ChunkIds(path)
     gc.freeze()  # the vocabulary's tables are many objects and never garbage
     return found
 
 
 def row_ids(path: str, batches: Iterator[pa.RecordBatch], text: str) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    """Each stretch of rows with the ids of each row's whole text, which are those of its chunks between ``[\\x20\\x09-\\x0D]``."""
-    encoder, chunks = opened(path)
-    for batch in stretches(batches, text, STRETCH_BYTES):
-        texts = [x or b"" for x in batch.column(text).cast(pa.binary()).to_pylist()]
+    """Each stretch of rows with the ids of each row's whole text, which are those of its chunks between ``[\\x20\\x09-\\x0D]``.
+
+    The chunks of a stretch are numbered, and each distinct one is encoded once.
+    """
+    encoder = opened(path)
+    for batch in stretches(gathered(batches, text, ENCODED_BYTES), text, 2 * ENCODED_BYTES):
+        texts = pc.fill_null(batch.column(text).cast(pa.string()), "")
         # The vocabulary is of lower case; special tokens are not.
-        rows = [(x.lower() if x.isascii() and b"<|" not in x else x).split() for x in texts]
-        known = chunks.take(set().union(*rows), encoder.ids)
-        yield batch, [b"".join(map(known.__getitem__, row)) for row in rows]
+        plain = pc.and_not(pc.string_is_ascii(texts), pc.match_substring(texts, "<|"))
+        rows = pc.ascii_split_whitespace(pc.if_else(plain, pc.ascii_lower(texts), texts))
+        chunks = rows.flatten().dictionary_encode()
+        ids, first, count = encoder.table(chunks.dictionary)
+        of = chunks.indices.to_numpy()
+        each = count[of]
+        ends = np.cumsum(each)
+        # Where a chunk's ids are, less where they go, is one number for all of them.
+        away = np.repeat((first[of] - ends + each).astype(np.int32), each)
+        found = ids[away + np.arange(len(away), dtype=np.int32)].tobytes()
+        until = np.concatenate([[0], np.cumsum(rows.value_lengths().to_numpy())])
+        places = (4 * np.concatenate([[0], ends])[until]).tolist()
+        yield batch, [found[x:y] for x, y in zip(places, places[1:])]
 
 
 def best_two_fit(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[list[int], int]]:
@@ -198,7 +235,7 @@ def token_pieces(docs: DataFrame, path: str, *, key: str = "doc_id", text: str =
             arrays = [batch.column("doc_id").take(pa.array(at, pa.int64())), *map(pa.array, columns, kinds)]
             yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "piece", "start", "length", "ids_crc32", "part", "nth"])
 
-    return rows.mapInArrow(run, f"doc_id {dict(rows.dtypes)['doc_id']}, {PIECE}, part int, nth long")
+    return rows.mapInArrow(released(run), f"doc_id {dict(rows.dtypes)['doc_id']}, {PIECE}, part int, nth long")
 
 
 def packed(docs: DataFrame, path: str, *, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY) -> DataFrame:
@@ -208,6 +245,7 @@ def packed(docs: DataFrame, path: str, *, key: str = "doc_id", text: str = "text
     empty text is one piece of one id. Rows that repeat are packed each for
     itself; other columns are not read; an empty table gives no row.
     """
+    small_batches(docs.sparkSession)
     pieces = settled(token_pieces(docs, path, key=key, text=text, capacity=capacity))
     # A row for each length and task; then at most ``capacity`` rows for the driver.
     ends = pieces.groupBy("length", "part").agg(F.count("*").alias("n"))
@@ -239,4 +277,4 @@ def packed(docs: DataFrame, path: str, *, key: str = "doc_id", text: str = "text
             )
 
     kind = dict(ranked.dtypes)["doc_id"]
-    return ranked.mapInArrow(place, f"doc_id {kind}, {PIECE}, sequence_id long, offset long")
+    return ranked.mapInArrow(released(place), f"doc_id {kind}, {PIECE}, sequence_id long, offset long")

@@ -52,3 +52,34 @@ def test_rows_have_the_ids_of_their_whole_texts():
     for _ in range(2):
         found = [ids for _, rows in packing.row_ids(WORDS, iter([batch]), "text") for ids in rows]
         assert [np.frombuffer(x, "<u4").tolist() for x in found] == expected([t or "" for t in texts])
+
+
+def test_plain_chunks_are_not_normalised(monkeypatch):
+    encoder = packing.ChunkIds(WORDS)
+    library, seen = encoder.library, []
+
+    class Watched:
+        def __setattr__(self, name, value):
+            setattr(library, name, value)
+
+        def encode_batch_fast(self, texts, **more):
+            seen.append((library.normalizer is None, texts[0].isascii()))
+            return library.encode_batch_fast(texts, **more)
+
+    monkeypatch.setattr(encoder, "library", Watched())
+    chunks = ["plain", "Upper", "été", "Σς", "x's.", "a\x1fb"]
+    for _ in range(2):
+        ids, first, count = encoder.table(pa.array(["", *chunks]))
+        assert [ids[x : x + n].tolist() for x, n in zip(first, count)] == [[], *expected(chunks)]
+    assert encoder.table(pa.array(["plain", "Upper"]))[2].tolist() == [len(x) for x in expected(["plain", "Upper"])]
+    assert seen[-1] == (True, True) and (False, False) in seen
+
+
+def test_ids_do_not_depend_on_batches(monkeypatch):
+    texts = ["The END. the end", None, "one é two", "", "a <|endoftext|> B", "the end of one"] * 5
+    whole = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+    for limit in (1, 40, 1_000_000):
+        monkeypatch.setattr(packing, "ENCODED_BYTES", limit)
+        batches = [whole.slice(at, 4) for at in range(0, len(texts), 4)]
+        found = [ids for _, rows in packing.row_ids(WORDS, iter(batches), "text") for ids in rows]
+        assert [np.frombuffer(x, "<u4").tolist() for x in found] == expected([t or "" for t in texts])
