@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marginalia.llm.bpe import Remembered
-from marginalia.llm.common import stretches, with_columns, with_text
+from marginalia.llm.common import released, small_batches, stretches, with_columns, with_text
 
 UNKNOWN = "und"
 START = "▁"  # fixed value: the vocabulary's mark for the start of a word
@@ -229,7 +229,7 @@ def trained(docs: DataFrame, path: str, settings: Settings, *, key: str, text: s
                 ["lang", "word", "n"],
             )
 
-    words = rows.mapInArrow(counted, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    words = rows.mapInArrow(released(counted), "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
     def fit(key, frame):
         import pandas as pd
@@ -259,6 +259,7 @@ def languages(
     first. Scoring is one narrow pass: the model has a row for each piece of the
     fixed vocabulary and a column for each language. ``within`` is as for the quality scores.
     """
+    small_batches(docs.sparkSession)
     names, chance = trained(labelled, path, settings, key=key, text=text, lang=lang)
     model = docs.sparkSession.sparkContext.broadcast(np.vstack([chance, np.zeros((1, len(names)))]) if names else None)
     rows = docs.select(F.col(key).alias("doc_id"), *extra, *([] if within else [F.col(text).cast("binary").alias("__text")]))
@@ -294,4 +295,4 @@ def languages(
                 [*kept.schema.names, "lang_pred", "score"],
             )
 
-    return rows.mapInArrow(run, with_columns(rows.drop("__text"), "lang_pred string, score double"))
+    return rows.mapInArrow(released(run), with_columns(rows.drop("__text"), "lang_pred string, score double"))

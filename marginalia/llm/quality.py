@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marginalia.llm.common import with_columns, Memo, stretches, with_text, word_hash
+from marginalia.llm.common import Memo, released, small_batches, stretches, with_columns, with_text, word_hash
 
 TERM = re.compile(rb"[0-9A-Za-z\x80-\xff]+|[^0-9A-Za-z\x80-\xff]")
 STRETCH_BYTES = 1_000_000
@@ -119,9 +119,9 @@ def trained(docs: DataFrame, labels: DataFrame, settings: Settings, *, key: str,
         weights = model.weights(np.arange(1 << settings.bits)).astype(np.float32)
         yield pa.RecordBatch.from_arrays([pa.array([weights.tobytes()], pa.binary())], ["weights"])
 
-    sparse = rows.mapInArrow(vectors, "_key string, label int, index array<int>, value array<float>")
+    sparse = rows.mapInArrow(released(vectors), "_key string, label int, index array<int>, value array<float>")
     # A shuffle, not coalesce: the scan and the features stay with all tasks, one task gets the bounded vectors.
-    return np.frombuffer(sparse.repartition(1).mapInArrow(learn, "weights binary").first()["weights"], np.float32)
+    return np.frombuffer(sparse.repartition(1).mapInArrow(released(learn), "weights binary").first()["weights"], np.float32)
 
 
 def scores(
@@ -137,6 +137,7 @@ def scores(
     document all weights are 0 and each score is 0.5. Scoring is one narrow pass
     with ``2**bits`` weights in hand.
     """
+    small_batches(docs.sparkSession)
     weights = docs.sparkSession.sparkContext.broadcast(
         trained(docs, labels, settings, key=key, text=text, label=label)
     )
@@ -157,4 +158,4 @@ def scores(
                 [*kept.schema.names, "score", "predicted"],
             )
 
-    return rows.mapInArrow(run, with_columns(rows.drop("__text"), "score double, predicted int"))
+    return rows.mapInArrow(released(run), with_columns(rows.drop("__text"), "score double, predicted int"))

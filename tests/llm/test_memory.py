@@ -41,3 +41,40 @@ def test_digests_and_links_of_rows_without_groups():
     ids, starts = np.zeros(0, np.int32), np.zeros(3, np.int64)
     assert token_align.group_digests(ids, ids, none, starts) == ["", ""]
     assert [len(x) for x in token_align.links_by_row(ids, ids, none, starts)] == [0, 0, 0]
+
+
+def test_batches_of_whole_texts_are_small(spark):
+    docs = spark.createDataFrame([(n, "word " * 400) for n in range(4_000)], "doc_id long, text string").coalesce(1)
+    before = spark.conf.get(common.BATCH_LIMIT, None)
+    most = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["bytes"])
+
+    spark.conf.unset(common.BATCH_LIMIT)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 10_000)
+    try:
+        corpus_pipeline.language_id(spark, docs.selectExpr("*", "'en' AS lang"), SF)
+        found = [r["bytes"] for r in docs.mapInArrow(sizes, "bytes long").collect()]
+        assert sum(found) > 8_000_000 and max(found) < 5_000_000
+        spark.conf.set(common.BATCH_LIMIT, "1000000")
+        common.small_batches(spark)
+        assert spark.conf.get(common.BATCH_LIMIT) == "1000000"
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", most)
+        spark.conf.unset(common.BATCH_LIMIT) if before is None else spark.conf.set(common.BATCH_LIMIT, before)
+
+
+def test_a_task_gives_back_unused_memory_at_its_end(monkeypatch):
+    class Pool:
+        calls = 0
+
+        def release_unused(self):
+            self.calls += 1
+
+    pool = Pool()
+    monkeypatch.setattr(common.pa, "default_memory_pool", lambda: pool)
+    run = common.released(lambda batches: (b + 1 for b in batches))(iter([1, 2]))
+    assert next(run) == 2 and pool.calls == 0
+    assert list(run) == [3] and pool.calls == 1
