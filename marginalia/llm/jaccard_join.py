@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marginalia.llm.common import Memo, narrowed, settled, stretches, word_hash
+from marginalia.llm.common import Memo, narrowed, released, settled, small_batches, stretches, word_hash
 
 SHINGLE_WORDS = 5
 STRETCH_BYTES = 1_000_000
@@ -184,7 +184,7 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
             found = pa.array([x.tobytes() for x in sets], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("id"), found], ["id", "elements"]).filter(some)
 
-    return docs.mapInArrow(run, f"id {dict(docs.dtypes)['id']}, elements binary")
+    return docs.mapInArrow(released(run), f"id {dict(docs.dtypes)['id']}, elements binary")
 
 
 def described(docs: DataFrame, similarity: Similarity) -> DataFrame:
@@ -219,7 +219,7 @@ def described(docs: DataFrame, similarity: Similarity) -> DataFrame:
 
     names_of = ("id", "n_shingles", "hash", "sketch", *FOLDED, "sigs", "codes")
     kinds = (dict(docs.dtypes)["id"], "long", "binary", "binary", *["long"] * len(FOLDED), "array<long>", "array<int>")
-    return docs.mapInArrow(run, ", ".join(f"{name} {kind}" for name, kind in zip(names_of, kinds)))
+    return docs.mapInArrow(released(run), ", ".join(f"{name} {kind}" for name, kind in zip(names_of, kinds)))
 
 
 def signed(sets: DataFrame, similarity: Similarity, seed: int = 0) -> DataFrame:
@@ -244,7 +244,7 @@ def signed(sets: DataFrame, similarity: Similarity, seed: int = 0) -> DataFrame:
                 ids = batch.column("id").take(pa.array(np.concatenate(at)))
                 yield pa.RecordBatch.from_arrays([ids, pa.array(np.concatenate(found))], ["id", "sig"])
 
-    return sets.select("id", "elements").mapInArrow(run, f"id {dict(sets.dtypes)['id']}, sig long")
+    return sets.select("id", "elements").mapInArrow(released(run), f"id {dict(sets.dtypes)['id']}, sig long")
 
 
 def shared(sigs: DataFrame) -> DataFrame:
@@ -276,7 +276,7 @@ def shared(sigs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([x]) for x in held[:4]], names)
 
     rows = sigs.repartition("sig").sortWithinPartitions("sig", "id")
-    return rows.mapInArrow(run, f"sig long, id {kind}, code int, low {kind}")
+    return rows.mapInArrow(released(run), f"sig long, id {kind}, code int, low {kind}")
 
 
 def without_spared(placed: DataFrame) -> DataFrame:
@@ -329,13 +329,13 @@ def verified(pairs: DataFrame, docs: DataFrame, about: DataFrame, percent: int)
     counted = pairs.select("a", "b").distinct().join(left, "a").join(right, "b").filter(fits).select(
         "a", "b", "left", "right", (F.col("n_a") + F.col("n_b")).alias("sizes"), (F.col("hash_a") == F.col("hash_b")).alias("equal")
     )
-    likely = settled(counted.mapInArrow(can_be, f"a {kind}, b {kind}, equal boolean").distinct())
+    likely = settled(counted.mapInArrow(released(can_be), f"a {kind}, b {kind}, equal boolean").distinct())
     equal, other = likely.filter("equal").select("a", "b"), likely.filter("NOT equal").select("a", "b")
     first, second = settled(other.select("a").distinct()), settled(other.select("b").distinct())
     lefts = narrowed(docs.withColumnRenamed("id", "a"), first, "a").select("a", F.col("text").alias("left"))
     rights = narrowed(docs.withColumnRenamed("id", "b"), second, "b").select("b", F.col("text").alias("right"))
     both = other.join(rights, "b").join(lefts, "a").select("a", "b", "left", "right")
-    return both.mapInArrow(are, f"a {kind}, b {kind}").unionByName(equal).distinct()
+    return both.mapInArrow(released(are), f"a {kind}, b {kind}").unionByName(equal).distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -444,6 +444,7 @@ def near_groups(
     texts, linked by any of them. Equal sets are a group from the start.
     Other columns are not read; an empty table gives no row.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(key).alias("id"), F.col(text).cast("binary").alias("text"))
     about = settled(described(rows, similarity))
     some = about.filter("n_shingles > 0 AND id IS NOT NULL")
