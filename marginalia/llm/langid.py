@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marginalia.llm.bpe import Remembered
-from marginalia.llm.common import released, small_batches, stretches, with_columns, with_text
+from marginalia.llm.common import give_back, released, small_batches, stretches, with_columns, with_text
 
 UNKNOWN = "und"
 START = "▁"  # fixed value: the vocabulary's mark for the start of a word
@@ -236,6 +236,7 @@ def trained(docs: DataFrame, path: str, settings: Settings, *, key: str, text: s
 
         pieces = load_pieces(path)
         chance = fitted(dict(zip(frame["word"], frame["n"])), pieces, settings)
+        give_back()
         return pd.DataFrame({"lang": [key[0]], "chance": [chance.tobytes()]})
 
     models = words.groupBy("lang").applyInPandas(fit, "lang string, chance binary").orderBy("lang").collect()
