@@ -1,6 +1,7 @@
 """Python workers hold few objects at once, and do the work of a word once."""
 
 import pyarrow as pa
+import pytest
 
 from marginalia.operators import tagging as tg
 
@@ -57,3 +58,33 @@ def test_words_of_a_document_come_once_and_give_a_copy_for_each_token(monkeypatc
 
 def test_no_batch_gives_no_document():
     assert list(tg._streamed(iter([]))) == []
+
+
+def test_words_are_rows_without_the_tokens_of_their_document(spark):
+    """The tokens would be copied for each distinct word of a document, a square of its length."""
+    from marginalia.plans import catalog
+
+    plan = catalog.feature_tagger(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    made = [x for x in plan.split("BroadcastExchange")[0].splitlines() if "Generate " in x and "token" in x]
+    assert len(made) == 1 and made[0].rstrip().endswith("]") and "), false, [_row#" in made[0]
+
+
+@pytest.mark.parametrize("values", [
+    pa.array([None, "a", "\u00e9\x00"]), pa.array([], pa.string()), pa.array([1, 2], pa.int32()), pa.array([1, None]), pa.array([True, False]),
+    pa.array([True, None]), pa.array([1.5, 2.0]), pa.array([None, 0.5]), pa.array([["a"], None, [], ["b", None], ["x"]])[1:4], pa.array([None]),
+    pa.array([], pa.list_(pa.string())),
+])
+def test_columns_become_the_same_objects(values):
+    found, want = tg._objects(values), values.to_pylist()
+    assert found == want and [type(x) for x in found] == [type(x) for x in want]
+
+
+def test_long_documents_of_many_words(spark):
+    words = [f"w{n}" for n in range(12_000)]
+    docs = spark.createDataFrame([(1, " ".join([*words, "W1", *words])), (2, "."), (3, None), (4, "w1 w1")], "doc_id long, text string").coalesce(1)
+    empty = spark.createDataFrame([], "word string, lemma string")
+    tagged = tg.tag_features(docs, lambda: lambda fs: [f"{f['names']}/{f['Lowercase']}" for f in fs], lexicon=empty, lemmas=empty)
+    rows = {r["doc_id"]: (r["tokens"], r["labels"], r["status"]) for r in tagged.collect()}
+    tokens = [*words, "W1", *words]
+    assert rows[1] == (tokens, [f"{t}/{t.lower()}" for t in tokens], "ok")
+    assert rows[2] == ([], [], "ok") == rows[3] and rows[4] == (["w1", "w1"], ["w1/w1"] * 2, "ok")
